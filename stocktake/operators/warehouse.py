@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktake.operators.ordered import number_rows, ordered_groups
-from stocktake.session import broadcast_if_few
+from stocktake.session import broadcast_if_few, stage
 
 # Fixed value: the end date of a current version.
 OPEN_END = "9999-12-31"
@@ -158,7 +158,9 @@ def scd2_merge(
     """The dimension after a batch of changes: changed versions are closed, new ones
     inserted with fresh keys, everything else is passed through unshuffled when the
     batch touches few keys. ``dim`` should be a stored table."""
-    compared = scd2_compare(dim, changes, key, tracked, day, sequence, hot_rows)
+    compared = stage(
+        scd2_compare(dim, changes, key, tracked, day, sequence, hot_rows), "scd2-batch"
+    )
     merged = (
         compared.where(F.col("_status").isNull() | F.col("_status").isin(INSERTED, UPDATED))
         .withColumn("end_date", F.coalesce("_next", open_end()))

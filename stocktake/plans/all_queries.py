@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from stocktake.plans import ranking, sales, warehouse  # noqa: F401
+from stocktake.plans import documents, ranking, sales, warehouse  # noqa: F401
 from stocktake.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

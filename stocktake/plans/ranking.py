@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktake.functions import scalar as S
-from stocktake.operators.ordered import number_rows, ntile_of, ordered_groups, sliced_groups
+from stocktake.operators.ordered import (
+    keep_one,
+    ntile_of,
+    number_rows,
+    ordered_groups,
+    sliced_groups,
+)
 from stocktake.plans.registry import query, scaled
 from stocktake.plans.sales import per_customer, total
 from stocktake.sources.tables import TOTAL
@@ -38,13 +44,6 @@ def spending_rank(shop) -> DataFrame:
     )
 
 
-def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """First row per key in the given order. The row limit is applied before the
-    shuffle too, so at most one row per key and input task is moved."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 @query(
     "b10_first_order_per_customer",
     """SELECT order_id, customer_id, order_date, amount FROM (
