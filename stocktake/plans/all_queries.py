@@ -1,6 +1,12 @@
 """Importing this module registers every query."""
 
-from stocktake.plans import documents, ranking, sales, warehouse  # noqa: F401
+from stocktake.plans import (  # noqa: F401
+    documents,
+    quality,
+    ranking,
+    sales,
+    warehouse,
+)
 from stocktake.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stocktake.functions.scalar import parse_as, quote_sql
-from stocktake.session import stage
+from stocktake.session import broadcast_if_few, stage
 
 CORRUPT = "_corrupt_record"
 
@@ -58,7 +58,8 @@ def read_csv_numbered(
     )
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    numbered = staged.join(F.broadcast(offsets), ["_file", "_block"])  # one row per file block
+    offsets = broadcast_if_few(offsets, staged.select("_file", "_block"))
+    numbered = staged.join(offsets, ["_file", "_block"])
     place = F.col("_before") + F.col("_at") - F.col("_first") + 1
     return numbered.withColumn(name, place).drop("_file", "_block", "_at", "_first", "_before")
 
@@ -104,18 +105,23 @@ def write_inserts(df: DataFrame, table: str, path: str) -> None:
 # --- stored summaries -------------------------------------------------------
 
 
+def _write_partitioned(df: DataFrame, path: str, by: str, mode: str) -> DataFrame:
+    # The rebalance hint gathers the rows of a partition value into few files and still
+    # splits a value that is much larger than the others.
+    df.hint("rebalance", F.col(by)).write.mode("overwrite").option(
+        "partitionOverwriteMode", mode
+    ).partitionBy(by).parquet(path)
+    return read_summary(df, path)
+
+
 def store_summary(df: DataFrame, path: str, by: str) -> DataFrame:
     """Store a computed result partitioned by ``by``: the materialized view."""
-    rows = df.repartition(by) if by else df
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(by).parquet(path)
-    return read_summary(df, path)
+    return _write_partitioned(df, path, by, "static")
 
 
 def refresh_summary(df: DataFrame, path: str, by: str) -> DataFrame:
     """Replace only the partitions that ``df`` holds, such as late months."""
-    rows = df.repartition(by)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
-    return read_summary(df, path)
+    return _write_partitioned(df, path, by, "dynamic")
 
 
 def read_summary(like: DataFrame, path: str) -> DataFrame:
