@@ -305,19 +305,19 @@ def clean(
     if stats is not None:
         stats = stage(stats, "stats")
     odd = outliers(complete, numeric, row_no, stats) if numeric else None
-    before = df.agg(F.count(F.lit(1)).alias("rows_in"))
-    after = unique.agg(
-        F.count(F.lit(1)).alias("unique_rows"),
-        F.count_if(reduce(lambda a, b: a | b, [is_missing(F.col(c)) for c in required
-                                               if c in content], F.lit(False))).alias("incomplete"),
+    lacking = reduce(
+        lambda a, b: a | b, [is_missing(F.col(c)) for c in required if c in content], F.lit(False)
     )
-    one = F.lit(1).alias("_one")
+    counts = unique.agg(
+        F.count(F.lit(1)).alias("unique_rows"), F.count_if(lacking).alias("incomplete_rows")
+    ).unionByName(df.agg(F.count(F.lit(1)).alias("rows_in")), allowMissingColumns=True)
     summary = (
-        before.select("*", one).join(after.select("*", one), "_one").select(
+        counts.agg(*[F.max(c).alias(c) for c in counts.columns])
+        .select(
             "rows_in",
             (F.col("rows_in") - F.col("unique_rows")).alias("duplicates"),
-            F.col("incomplete").alias("incomplete_rows"),
-            (F.col("unique_rows") - F.col("incomplete")).alias("rows_out"),
+            "incomplete_rows",
+            (F.col("unique_rows") - F.col("incomplete_rows")).alias("rows_out"),
         )
         .withColumn(
             "kept_pct",

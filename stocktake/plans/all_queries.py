@@ -1,10 +1,12 @@
 """Importing this module registers every query."""
 
 from stocktake.plans import (  # noqa: F401
+    basics,
     documents,
     quality,
     ranking,
     sales,
+    storage,
     warehouse,
 )
 from stocktake.plans.registry import CHECKS, QUERIES

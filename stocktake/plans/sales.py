@@ -624,14 +624,14 @@ def product_performance(shop) -> DataFrame:
     )
 
 
-def monthly_sales(shop) -> DataFrame:
+def monthly_sales(shop, sales: DataFrame) -> DataFrame:
     """Orders, customers, units and revenue per month, region and category.
 
     The two distinct counts come from grouping in steps (order, then customer, then
     the report keys), which keeps the rows from being expanded once per count.
     """
     lines = shop.items.select("order_id", "product_id", "quantity", "line_total")
-    orders = shop.sales.select("order_id", "customer_id", S.month_of(F.col("order_date")).alias("month"))
+    orders = sales.select("order_id", "customer_id", S.month_of(F.col("order_date")).alias("month"))
     per_order = (
         lines.join(shop.products.select("product_id", "category"), "product_id")
         .join(orders, "order_id")
@@ -665,4 +665,4 @@ JOIN products USING (product_id) GROUP BY ALL"""
 
 @query("b24_monthly_sales", MONTHLY_SQL, money="revenue", dates="month")
 def monthly_sales_report(shop) -> DataFrame:
-    return monthly_sales(shop)
+    return monthly_sales(shop, shop.sales)
