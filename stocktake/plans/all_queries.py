@@ -7,6 +7,7 @@ from stocktake.plans import (  # noqa: F401
     ranking,
     sales,
     storage,
+    streams,
     warehouse,
 )
 from stocktake.plans.registry import CHECKS, QUERIES

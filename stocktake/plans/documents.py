@@ -106,7 +106,7 @@ def purchase_revenue_by_tier(shop) -> DataFrame:
         SELECT NULL AS _id, count(*) AS n, sum(total_amount) AS total,
                CAST((2 * sum(coalesce(cents, 0)) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS mean,
                CAST(0 AS DOUBLE) AS unknown_sum FROM docs""",
-    money="total", retail=False,
+    money="total", ints="_id", retail=False,
 )
 def group_whole_collection(shop) -> DataFrame:
     """A constant group key; a path no document has sums to zero."""
@@ -143,7 +143,7 @@ def find_one_document(shop) -> DataFrame:
     "f15_project_documents",
     f"""WITH {DOCS_CTE.strip()} SELECT event_type, tier AS "user.tier", os AS system, 0 AS zero,
                'web' AS channel, NULL AS nothing, position FROM docs""",
-    retail=False,
+    ints="nothing", retail=False,
 )
 def project_documents(shop) -> DataFrame:
     """Kept paths, renamed paths, constants and a path that no document has."""

@@ -76,7 +76,7 @@ def latest_record_per_customer(shop) -> DataFrame:
                 dense_rank() OVER (PARTITION BY category ORDER BY sum(line_total) DESC) AS rank_in_category
          FROM items i JOIN products p ON i.product_id = p.product_id
          GROUP BY p.product_id, product_name, category) WHERE rank_in_category <= 3""",
-    money="total_revenue",
+    money="total_revenue", ints="rank_in_category",
 )
 def top_products_per_category(shop) -> DataFrame:
     revenue = shop.items.groupBy("product_id").agg(total("line_total").alias("total_revenue"))
@@ -264,7 +264,7 @@ def region_month_dashboard(shop) -> DataFrame:
                            sum(amount) AS revenue, sum(cents) AS cents
                     FROM sales JOIN customers USING (customer_id) GROUP BY 1, 2))
         WINDOW w AS (PARTITION BY region ORDER BY month)""",
-    money="revenue cumulative_revenue prev_month_revenue",
+    money="revenue cumulative_revenue prev_month_revenue", ints="best_month_rank",
 )
 def region_month_dashboard_report(shop) -> DataFrame:
     return region_month_dashboard(shop)
@@ -279,7 +279,7 @@ def region_month_dashboard_report(shop) -> DataFrame:
                              ORDER BY sum(line_total) DESC) AS rank_this_month
          FROM items JOIN sales USING (order_id) JOIN products USING (product_id)
          GROUP BY date_trunc('month', order_date), category) WHERE rank_this_month = 1""",
-    money="revenue", dates="month",
+    money="revenue", dates="month", ints="rank_this_month",
 )
 def leading_category_per_month(shop) -> DataFrame:
     """Best category of every month; ties are kept."""
@@ -408,6 +408,7 @@ def neighbour_offsets(shop) -> DataFrame:
     """SELECT region, nation, orders, rank() OVER (PARTITION BY region ORDER BY orders DESC) AS place
        FROM (SELECT region, nation, count(*) AS orders
              FROM all_orders JOIN customers USING (customer_id) GROUP BY 1, 2)""",
+    ints="place",
 )
 def rank_with_gaps(shop) -> DataFrame:
     """RANK of the nations of a region by number of orders."""

@@ -79,12 +79,14 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def check_sql(
-    body: str, money: str = "", dates: str = "", times: str = "", retail: bool = True
+    body: str, money: str = "", dates: str = "", times: str = "", ints: str = "",
+    retail: bool = True,
 ) -> str:
     """The check: ``body`` may use the retail view; listed columns take the edge form."""
     swaps = [f"CAST({c} AS DOUBLE) AS {c}" for c in money.split()]
     swaps += [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates.split()]
     swaps += [f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}" for c in times.split()]
+    swaps += [f"CAST({c} AS INTEGER) AS {c}" for c in ints.split()]
     head = f"WITH {RETAIL_SQL.strip()}\n" if retail else ""
     replace = f" REPLACE ({', '.join(swaps)})" if swaps else ""
     return f"{head}SELECT *{replace} FROM (\n{body.strip()}\n)"
@@ -92,7 +94,7 @@ def check_sql(
 
 def query(
     name: str, sql: str | None = None, money: str = "", dates: str = "", times: str = "",
-    retail: bool = True,
+    ints: str = "", retail: bool = True,
 ) -> Callable[[Callable[[Retail], DataFrame]], Callable[[Retail], DataFrame]]:
     """Register ``fn(retail) -> DataFrame`` under ``name`` with its check."""
 
@@ -104,7 +106,7 @@ def query(
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            CHECKS[name] = check_sql(sql, money, dates, times, retail)
+            CHECKS[name] = check_sql(sql, money, dates, times, ints, retail)
         return fn
 
     return register

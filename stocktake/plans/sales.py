@@ -219,7 +219,7 @@ def region_top_customers(shop, top: int = 3) -> DataFrame:
                 dense_rank() OVER (PARTITION BY region ORDER BY sum(amount) DESC) AS rank_in_region
          FROM sales JOIN customers USING (customer_id)
          GROUP BY region, customer_id, customer_name) WHERE rank_in_region <= 3""",
-    money="total_spent",
+    money="total_spent", ints="rank_in_region",
 )
 def top_customers_per_region(shop) -> DataFrame:
     """Three best-spending customers of each region; the rank limit is applied before
