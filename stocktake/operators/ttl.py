@@ -70,7 +70,9 @@ def _mark_hot(rows: DataFrame, keys: list[str], length: int, rounds_limit: int)
             if reached.isEmpty():
                 break
             chain = stage(chain.unionByName(reached).distinct(), "chain")
-            further = links.withColumnsRenamed({"_from": "_next", "_next": "_far"})
+            further = links.select(
+                *keys, F.col("_from").alias("_next"), F.col("_next").alias("_far")
+            )
             links = stage(
                 null_safe_join(links, further, [*keys, "_next"], "inner").select(
                     *keys, "_from", F.col("_far").alias("_next")

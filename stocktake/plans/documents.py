@@ -203,11 +203,13 @@ def unwind_items(shop) -> DataFrame:
 
 @query(
     "j22_lookup_stage",
-    """SELECT c.customer_id, 0 AS urgent_part, count(o.order_id) AS n,
-              coalesce(string_agg(CAST(o.order_id AS VARCHAR), ',' ORDER BY o.order_date, o.order_id),
-                       '') AS ids
-       FROM customers c LEFT JOIN (SELECT * FROM all_orders WHERE payment = '1-URGENT') o
-         ON o.customer_id = c.customer_id GROUP BY c.customer_id""",
+    """SELECT c.customer_id, CAST(coalesce((rn - 1) // 10000, 0) AS INTEGER) AS urgent_part,
+              count(o.order_id) AS n,
+              coalesce(string_agg(CAST(o.order_id AS VARCHAR), ',' ORDER BY rn), '') AS ids
+       FROM customers c LEFT JOIN (
+         SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS rn
+         FROM all_orders WHERE payment = '1-URGENT') o
+         ON o.customer_id = c.customer_id GROUP BY 1, 2""",
 )
 def lookup_stage(shop) -> DataFrame:
     """Urgent orders of every customer as an array."""
@@ -252,10 +254,11 @@ def event_child_rows(shop) -> DataFrame:
 
 @query(
     "d4_embed_items_in_orders",
-    """SELECT order_id, 0 AS items_part, count(*) AS n,
-              string_agg(CAST(line_no AS VARCHAR) || ':' || product_id, ','
-                         ORDER BY line_no, product_id, ship_date, line_total) AS lines
-       FROM items GROUP BY order_id""",
+    """SELECT order_id, CAST((rn - 1) // 10000 AS INTEGER) AS items_part, count(*) AS n,
+              string_agg(CAST(line_no AS VARCHAR) || ':' || product_id, ',' ORDER BY rn) AS lines
+       FROM (SELECT *, row_number() OVER (PARTITION BY order_id
+                                          ORDER BY line_no, product_id, ship_date, line_total) AS rn
+             FROM items) GROUP BY 1, 2""",
 )
 def embed_items_in_orders(shop) -> DataFrame:
     """Lines nested into their order, the inverse of unwinding."""
