@@ -185,15 +185,17 @@ def _into_slices(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def ordered_groups(
-    df: DataFrame, keys: list[str], order: list[str], hot_rows: int | None = None
+    df: DataFrame, keys: list[str], order: list[str], hot_rows: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> OrderedGroups:
     """Group ``df``; ``order`` must be unique within a group.
 
     One counting pass finds the groups above ``hot_rows`` (at most rows / hot_rows of
-    them). Without hot groups the result is the plain window plan.
+    them). Without hot groups the result is the plain window plan. ``sized_by`` names
+    something cheaper to count that has at least as many rows per key.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counted = (sized_by or df).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot_keys = counted.where(F.col("_n") > limit).drop("_n")
     if hot_keys.isEmpty():
         return OrderedGroups(keys, order, df, None)

@@ -6,12 +6,12 @@ Rows are all-text DataFrames as read from CSV unless stated otherwise.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktake.functions.scalar import CAST_NULLS, is_missing, parse_as
+from stocktake.functions.scalar import CAST_NULLS, is_missing, parse_as, share_percent
 from stocktake.operators.ordered import sliced_groups
 from stocktake.session import stage
 
@@ -162,25 +162,21 @@ def _numbers(df: DataFrame, columns: list[str], row_no: str | None = None) -> Da
     return _long(df, *records).where(F.col("value").isNotNull())
 
 
-def medians(numbers: DataFrame) -> DataFrame:
-    """Exact median per column, without holding a column's values in one task: distinct
-    values are counted, then counted through in sorted slices."""
+def with_medians(moments: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Add the exact median to one row per column with its ``count``, without holding a
+    column's values in one task: distinct values are counted, then counted through in
+    sorted slices."""
     counts = numbers.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    reached = (
-        sliced_groups(counts, ["column"], ["value"]).running({"upto": F.col("n")}).rows()
-    )
-    size = numbers.groupBy("column").agg(F.count(F.lit(1)).alias("size"))
-    low = F.floor((F.col("size") + 1) / 2)
-    high = F.floor((F.col("size") + 2) / 2)
+    reached = sliced_groups(counts, ["column"], ["value"]).running({"_upto": F.col("n")}).rows()
+    low, high = (F.floor((F.col("count") + extra) / 2) for extra in (1, 2))
+    upto, value = F.col("_upto"), F.col("value")
     return (
-        reached.join(F.broadcast(size), "column")  # one row per profiled column
-        .groupBy("column")
+        reached.drop("n")
+        .join(F.broadcast(moments), "column")  # one row per profiled column
+        .groupBy(*moments.columns)
         .agg(
             (
-                (
-                    F.min(F.when(F.col("upto") >= low, F.col("value")))
-                    + F.min(F.when(F.col("upto") >= high, F.col("value")))
-                ) / 2
+                (F.min(F.when(upto >= low, value)) + F.min(F.when(upto >= high, value))) / 2
             ).alias("median")
         )
     )
@@ -199,7 +195,7 @@ def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     )
     mean, std = F.col("mean"), F.col("std_dev")
     return (
-        moments.join(medians(numbers), "column")
+        with_medians(moments, numbers)
         .withColumn("lower", F.when(F.col("count") >= 2, mean - 3 * std))
         .withColumn("upper", F.when(F.col("count") >= 2, mean + 3 * std))
     )
@@ -246,20 +242,6 @@ def header_line_gaps(
 # --- the whole flow ---------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class Cleaned:
-    """Outcome of ``clean``; every member is a DataFrame."""
-
-    gate: DataFrame
-    profile: DataFrame
-    rows: DataFrame
-    quarantine: DataFrame
-    stats: DataFrame | None
-    outliers: DataFrame | None
-    summary: DataFrame
-    recommendations: DataFrame
-
-
 def recommendations(
     duplicates: DataFrame, profile: DataFrame, outlier_rows: DataFrame | None
 ) -> DataFrame:
@@ -287,46 +269,78 @@ def recommendations(
     return findings.unionByName(good)
 
 
-def clean(
-    df: DataFrame, schema: dict[str, str], row_no: str, required: list[str] | None = None,
-    numeric: list[str] | None = None, null_threshold: float = 0.5,
-) -> Cleaned:
+@dataclass(frozen=True)
+class Cleaning:
     """Validate, remove exact copies, quarantine incomplete rows, cast, profile.
 
-    ``row_no`` is the place in the input and not part of the row's content.
+    ``row_no`` is the place in the input and not part of a row's content. Parts are
+    computed when asked for; the rows without copies are stored once for all of them.
     """
-    required = required or []
-    content = [c for c in df.columns if c != row_no]
-    profile = null_profile(df.select(*content), null_threshold)
-    unique = stage(drop_exact_duplicates(df, row_no), "unique")
-    complete, quarantine = split_required(unique, required)
-    rows = cast_with_rejects(complete, schema)
-    stats = column_stats(complete, numeric) if numeric else None
-    if stats is not None:
-        stats = stage(stats, "stats")
-    odd = outliers(complete, numeric, row_no, stats) if numeric else None
-    lacking = reduce(
-        lambda a, b: a | b, [is_missing(F.col(c)) for c in required if c in content], F.lit(False)
-    )
-    counts = unique.agg(
-        F.count(F.lit(1)).alias("unique_rows"), F.count_if(lacking).alias("incomplete_rows")
-    ).unionByName(df.agg(F.count(F.lit(1)).alias("rows_in")), allowMissingColumns=True)
-    summary = (
-        counts.agg(*[F.max(c).alias(c) for c in counts.columns])
-        .select(
-            "rows_in",
-            (F.col("rows_in") - F.col("unique_rows")).alias("duplicates"),
-            "incomplete_rows",
-            (F.col("unique_rows") - F.col("incomplete_rows")).alias("rows_out"),
+
+    raw: DataFrame
+    schema: dict[str, str]
+    row_no: str
+    required: tuple[str, ...] = ()
+    numeric: tuple[str, ...] = ()
+    null_threshold: float = 0.5
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return null_profile(self.raw.drop(self.row_no), self.null_threshold)
+
+    @cached_property
+    def gate(self) -> DataFrame:
+        return required_gate(self.profile, list(self.required))
+
+    @cached_property
+    def unique(self) -> DataFrame:
+        return stage(drop_exact_duplicates(self.raw, self.row_no), "unique")
+
+    @cached_property
+    def complete(self) -> DataFrame:
+        return split_required(self.unique, list(self.required))[0]
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return split_required(self.unique, list(self.required))[1]
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return cast_with_rejects(self.complete, self.schema)
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return stage(column_stats(self.complete, list(self.numeric)), "stats")
+
+    @cached_property
+    def outliers(self) -> DataFrame:
+        return outliers(self.complete, list(self.numeric), self.row_no, self.stats)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """Rows in and out, and why rows were left out."""
+        checks = [is_missing(F.col(c)) for c in self.required if c in self.raw.columns]
+        lacking = reduce(lambda a, b: a | b, checks, F.lit(False))
+        unique = self.unique.agg(
+            F.count(F.lit(1)).alias("unique_rows"), F.count_if(lacking).alias("incomplete_rows")
         )
-        .withColumn(
-            "kept_pct",
-            F.round(
-                F.col("rows_out").cast("decimal(20,0)")
-                / F.nullif(F.col("rows_in"), F.lit(0)).cast("decimal(20,0)") * 100, 1),
+        counts = unique.unionByName(
+            self.raw.agg(F.count(F.lit(1)).alias("rows_in")), allowMissingColumns=True
+        )
+        rows_in, rows_out = F.col("rows_in"), F.col("unique_rows") - F.col("incomplete_rows")
+        return (
+            counts.agg(*[F.max(c).alias(c) for c in counts.columns])
+            .select(
+                "rows_in",
+                (rows_in - F.col("unique_rows")).alias("duplicates"),
+                "incomplete_rows",
+                rows_out.alias("rows_out"),
+            )
+            .withColumn("kept_pct", share_percent(F.col("rows_out"), rows_in, 1))
+        )
+
+    @cached_property
+    def recommendations(self) -> DataFrame:
+        return recommendations(
+            self.summary, self.profile, self.outliers if self.numeric else None
         )
-    )
-    return Cleaned(
-        required_gate(profile, required), profile, rows, quarantine, stats, odd, summary,
-        recommendations(summary, profile, odd),
-    )

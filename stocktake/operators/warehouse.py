@@ -68,10 +68,9 @@ def _differs(columns: list[str], w) -> Column:
     )
 
 
-def last_of_day(changes: DataFrame, key: str, day: str, sequence: str) -> DataFrame:
-    """The last change of a key on a day; earlier ones of that day never become visible."""
-    w = Window.partitionBy(key, day).orderBy(F.desc(sequence))
-    return changes.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def _superseded(day: str, w) -> Column:
+    """True for a change that another one of the same key and day follows."""
+    return F.coalesce(F.lead(day).over(w) == F.col(day), F.lit(False))
 
 
 def scd2_history(
@@ -81,20 +80,24 @@ def scd2_history(
     """All versions from a change log with any number of changes per key.
 
     A version starts where a tracked column differs from the state before it, and ends
-    where the next one starts. Going back to an old value opens a new version.
+    where the next one starts. Going back to an old value opens a new version. Of several
+    changes on a day only the last counts. All three windows share one shuffle and sort.
     """
-    groups = ordered_groups(last_of_day(changes, key, day, sequence), [key], [day], hot_rows)
-    versions = groups.framed(
+    groups = ordered_groups(changes, [key], [day, sequence], hot_rows)
+    daily = groups.framed(lambda w: {"_old": _superseded(day, w)}, following=1).each(
+        lambda df: df.where("NOT _old").drop("_old")
+    )
+    versions = daily.framed(
         lambda w: {"_new": F.lag(F.lit(True)).over(w).isNull() | _differs(tracked, w)},
         preceding=1,
-    ).each(lambda df: df.where("_new").drop("_new", sequence))
+    ).each(lambda df: df.where("_new").drop("_new"))
     return (
         versions.framed(lambda w: {"_next": F.lead(day).over(w)}, following=1)
         .rows()
         .withColumn("end_date", F.coalesce("_next", open_end()))
         .withColumn("is_current", F.col("_next").isNull())
         .withColumnRenamed(day, "effective_date")
-        .drop("_next")
+        .drop("_next", sequence)
     )
 
 
@@ -116,10 +119,9 @@ def scd2_compare(
     current = dim.where("is_current").join(
         broadcast_if_few(changed_keys, changed_keys), key, "left_semi"
     )
-    batch = last_of_day(changes, key, day, sequence).drop(sequence)
     since = current.select(key, F.col("effective_date").alias("_since"))
     batch = (
-        batch.withColumnRenamed(day, "effective_date")
+        changes.withColumnRenamed(day, "effective_date")
         .join(since, key, "left")
         .withColumn("_late", F.coalesce(F.col("effective_date") < F.col("_since"), F.lit(False)))
         .drop("_since")
@@ -136,9 +138,13 @@ def scd2_compare(
             F.when(first, INSERTED).when(_differs(tracked, w), UPDATED).otherwise(UNCHANGED),
         )
 
-    compared = ordered_groups(rows, [key], ["effective_date", "_step"], hot_rows).framed(
-        lambda w: {"_status": status(w)}, preceding=1
+    place = ["effective_date", "_step", sequence]
+    daily = (
+        ordered_groups(rows, [key], place, hot_rows)
+        .framed(lambda w: {"_old": _superseded("effective_date", w)}, following=1)
+        .each(lambda df: df.where("_step = 0 OR NOT _old").drop("_old"))
     )
+    compared = daily.framed(lambda w: {"_status": status(w)}, preceding=1)
     versions = compared.each(lambda df: df.where(F.coalesce("_status", F.lit("")) != UNCHANGED))
     versions = versions.framed(
         lambda w: {"_next": F.lead("effective_date").over(w)}, following=1
@@ -147,7 +153,7 @@ def scd2_compare(
     return (
         versions.unionByName(same, allowMissingColumns=True)
         .unionByName(late, allowMissingColumns=True)
-        .drop("_late", "_step")
+        .drop("_late", "_step", sequence)
     )
 
 
@@ -191,7 +197,7 @@ def scd2_statuses(
 
 def point_in_time(
     facts: DataFrame, dim: DataFrame, key: str, at: str, carry: list[str],
-    hot_rows: int | None = None,
+    hot_rows: int | None = None, sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Every fact with the columns ``carry`` of the version valid at ``at``
     (``effective_date <= at < end_date``), NULL where there is none.
@@ -199,7 +205,9 @@ def point_in_time(
     Versions and facts of a key are merged in time order and the last version is
     carried forward: work is linear in facts + versions, where joining on the key and
     filtering by date would pair every fact with every version of a busy key.
+    ``sized_by`` may name a cheaper frame with the facts' keys to find busy keys by.
     """
+    sizes = (facts if sized_by is None else sized_by).select(key).unionAll(dim.select(key))
     version = F.struct("end_date", *carry)
     merged = dim.select(
         key, F.col("effective_date").alias("_at"), F.lit(0).alias("_kind"),
@@ -213,7 +221,7 @@ def point_in_time(
         allowMissingColumns=True,
     )
     carried = (
-        ordered_groups(merged, [key], ["_at", "_kind", "_tie"], hot_rows)
+        ordered_groups(merged, [key], ["_at", "_kind", "_tie"], hot_rows, sizes)
         .running(lasts={"_seen": F.col("_version")})
         .rows()
         .where("_kind = 1")

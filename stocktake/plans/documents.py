@@ -1,7 +1,7 @@
 """Document queries over event documents.
 
-The documents are JSON text made from the events table: nested user and device, an
-items array sized by the event's ``k``, and keys left out where a value is missing.
+The documents are made from the events table: nested user and device, an items array
+sized by the event's ``k``, and no value where a key is missing.
 """
 
 from __future__ import annotations
@@ -38,8 +38,17 @@ doc_items AS (
   FROM (SELECT *, unnest(generate_series(1, k % 4)) AS i FROM docs))"""
 
 
+def event_docs(shop) -> DataFrame:
+    """The events as nested documents with the columns of ``EVENT_SCHEMA``."""
+    return event_documents(shop.events)
+
+
 def event_json(events: DataFrame) -> DataFrame:
-    """The events as JSON documents, one per row."""
+    """The documents as JSON text, one per row; keys without a value are left out."""
+    return event_documents(events).select(F.to_json(F.struct("*")).alias("value"))
+
+
+def event_documents(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     amount = F.col("value").cast("decimal(12,2)")
     items = F.transform(
@@ -51,32 +60,25 @@ def event_json(events: DataFrame) -> DataFrame:
         ),
     )
     user, event = F.col("user_id"), F.col("event_id")
-    doc = F.struct(
+    tier = F.when(user % 3 == 0, "premium").when(user % 3 == 1, "standard")
+    system = F.when(event % 4 == 0, "iOS").when(event % 4 == 1, "Android").when(
+        event % 4 == 2, "Windows")
+    absent = F.lit(None).cast("string")
+    return events.select(
         F.concat(F.lit("EVT_"), event.cast("string")).alias("_id"),
+        absent.alias("event_id"),
         "event_type",
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
         F.struct(
             F.concat(F.lit("U"), user.cast("string")).alias("user_id"),
-            F.when(user % 3 == 0, "premium").when(user % 3 == 1, "standard").alias("tier"),
+            tier.alias("tier"),
+            absent.alias("city"),
         ).alias("user"),
-        F.struct(
-            F.when(event % 4 == 0, "iOS").when(event % 4 == 1, "Android")
-            .when(event % 4 == 2, "Windows").alias("os"),
-        ).alias("device"),
+        F.struct(system.alias("os"), absent.alias("type")).alias("device"),
         items.alias("items"),
         amount.alias("total_amount"),
         event.alias("position"),
     )
-    return events.select(F.to_json(doc).alias("value"))
-
-
-def parse(lines: DataFrame) -> DataFrame:
-    return lines.select(F.from_json("value", EVENT_SCHEMA).alias("doc")).select("doc.*")
-
-
-def event_docs(shop) -> DataFrame:
-    return parse(event_json(shop.events))
-
 
 @query(
     "b30_purchase_revenue_by_tier",

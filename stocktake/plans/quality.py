@@ -250,10 +250,9 @@ def header_line_gaps(shop) -> DataFrame:
     return Q.header_line_gaps(shop.orders, shop.items, "order_id", "amount", "line_total")
 
 
-def _cleaned(shop) -> Q.Cleaned:
-    return Q.clean(
-        raw_orders(shop), files.parse_schema(RAW_SCHEMA), "row_no", REQUIRED, ["amount", "units"]
-    )
+def _cleaned(shop) -> Q.Cleaning:
+    schema = files.parse_schema(RAW_SCHEMA)
+    return Q.Cleaning(raw_orders(shop), schema, "row_no", tuple(REQUIRED), ("amount", "units"))
 
 
 @query(

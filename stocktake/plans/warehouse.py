@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stocktake.operators import warehouse as W
 from stocktake.plans.registry import half_up, query
 from stocktake.plans.sales import date_spine, span_of, total
-from stocktake.session import broadcast_if_few, stage
+from stocktake.session import broadcast_if_few
 from stocktake.sources.tables import MONEY
 
 CUTOVER = dt.date(2000, 1, 1)
@@ -89,7 +89,7 @@ def _cutover(shop) -> tuple[DataFrame, DataFrame]:
     """The dimension as of the cutover date, and the changes from that date on."""
     feed = shop.orders.select("customer_id", "payment", "order_date", "order_id")
     before = feed.where(F.col("order_date") < F.lit(CUTOVER))
-    return stage(keyed_history(before), "dim"), feed.where(F.col("order_date") >= F.lit(CUTOVER))
+    return keyed_history(before), feed.where(F.col("order_date") >= F.lit(CUTOVER))
 
 
 @query(
@@ -170,13 +170,15 @@ def load_sales_facts(shop, customers: DataFrame) -> DataFrame:
     The order id stays on the fact as a degenerate dimension. Product keys are the
     natural numbers the source already uses.
     """
+    owned = shop.items.join(shop.orders.select("order_id", "customer_id"), "order_id")
     lines = (
-        shop.items.join(shop.orders.select("order_id", "customer_id"), "order_id")
-        .join(shop.products.select("product_id", F.col("price").alias("unit_price")), "product_id")
+        owned.join(shop.products.select("product_id", F.col("price").alias("unit_price")), "product_id")
         .select("order_id", "line_no", "customer_id", "product_id", "quantity", "unit_price",
                 "discount", "ship_date")
     )
-    keyed = W.point_in_time(lines, customers, "customer_id", "ship_date", ["customer_sk"])
+    keyed = W.point_in_time(
+        lines, customers, "customer_id", "ship_date", ["customer_sk"], sized_by=owned
+    )
     gross = (F.col("quantity") * F.col("unit_price")).cast(MONEY)
     off = F.round(gross * F.col("discount"), 2).cast(MONEY)
     return keyed.select(
@@ -217,7 +219,7 @@ def sales_fact_load(shop) -> DataFrame:
 
 
 def _star(shop) -> tuple[DataFrame, DataFrame]:
-    customers = stage(keyed_history(shop.orders), "dim")
+    customers = keyed_history(shop.orders)
     return customers, load_sales_facts(shop, customers)
 
 

@@ -90,6 +90,10 @@ def apply_table(
     return df.select(*[column(f) for f in schema])
 
 
+# Schemas read from the file footers, once per path: each look is a Spark job.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 @dataclass(frozen=True)
 class Retail:
     """The shop's tables as read from ``path``: customers, orders, items, products.
@@ -101,7 +105,10 @@ class Retail:
     path: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        path = f"{self.path}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def geography(self) -> DataFrame:
