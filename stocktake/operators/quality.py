@@ -184,7 +184,8 @@ def with_medians(moments: DataFrame, numbers: DataFrame) -> DataFrame:
 
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, median, sample deviation (0 below two values), minimum, maximum and
-    the three-sigma bounds of each number column. Text that is no number is skipped."""
+    the three-sigma bounds of each number column. Text that is no number is skipped; a
+    column without any number has count 0."""
     numbers = _numbers(df, columns)
     moments = numbers.groupBy("column").agg(
         F.count("value").alias("count"),
@@ -194,8 +195,10 @@ def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
         F.max("value").alias("max"),
     )
     mean, std = F.col("mean"), F.col("std_dev")
+    asked = df.sparkSession.createDataFrame([(c,) for c in columns], "column STRING")
     return (
-        with_medians(moments, numbers)
+        asked.join(with_medians(moments, numbers), "column", "left")
+        .fillna(0)
         .withColumn("lower", F.when(F.col("count") >= 2, mean - 3 * std))
         .withColumn("upper", F.when(F.col("count") >= 2, mean + 3 * std))
     )

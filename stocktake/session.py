@@ -14,7 +14,6 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 # split costs one more exchange: a hot key is worse than a shuffle.
 RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.ansi.enabled": "true",
