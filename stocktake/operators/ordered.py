@@ -249,7 +249,8 @@ def ntile_of(position: Column, total: Column, buckets: int) -> Column:
 
 def dense_rank_by(df: DataFrame, column: str, name: str, descending: bool = True) -> DataFrame:
     """Global ``dense_rank`` on one column: distinct values are numbered, then joined
-    back, so ties of any size need no common task."""
+    back, so ties of any size need no common task. ``df`` is read twice and staged."""
+    df = stage(df, "ranked")
     values = df.select(column).distinct()
     ranked = number_rows(values, [f"-{column}" if descending else column], name)
     return null_safe_join(df, ranked, [column], "left")

@@ -162,45 +162,46 @@ def _numbers(df: DataFrame, columns: list[str], row_no: str | None = None) -> Da
     return _long(df, *records).where(F.col("value").isNotNull())
 
 
-def with_medians(moments: DataFrame, numbers: DataFrame) -> DataFrame:
-    """Add the exact median to one row per column with its ``count``, without holding a
-    column's values in one task: distinct values are counted, then counted through in
-    sorted slices."""
-    counts = numbers.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    reached = sliced_groups(counts, ["column"], ["value"]).running({"_upto": F.col("n")}).rows()
-    low, high = (F.floor((F.col("count") + extra) / 2) for extra in (1, 2))
-    upto, value = F.col("_upto"), F.col("value")
-    return (
-        reached.drop("n")
+def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Count, mean, median, sample deviation (0 below two values), minimum, maximum and
+    the three-sigma bounds of each number column. Text that is no number is skipped; a
+    column without any number has count 0.
+
+    The rows are read once, into counts per distinct value. These are stored in sorted
+    slices and counted through for the exact median, so no task holds a whole column.
+    """
+    n, value = F.col("n"), F.col("value")
+    counts = _numbers(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    groups = sliced_groups(counts, ["column"], ["value"])
+    moments = groups.hot.groupBy("column").agg(
+        F.sum(n).alias("count"),
+        (F.sum(value * n) / F.sum(n)).alias("mean"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    )
+    size, mean, upto = F.col("count"), F.col("mean"), F.col("_upto")
+    low, high = F.floor((size + 1) / 2), F.floor((size + 2) / 2)
+    spread = F.sum(n * (value - mean) * (value - mean)) / F.nullif(size - 1, F.lit(0))
+    stats = (
+        groups.running({"_upto": n})
+        .rows()
         .join(F.broadcast(moments), "column")  # one row per profiled column
         .groupBy(*moments.columns)
         .agg(
+            F.sqrt(spread).alias("std_dev"),
             (
                 (F.min(F.when(upto >= low, value)) + F.min(F.when(upto >= high, value))) / 2
-            ).alias("median")
+            ).alias("median"),
         )
     )
-
-
-def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, median, sample deviation (0 below two values), minimum, maximum and
-    the three-sigma bounds of each number column. Text that is no number is skipped; a
-    column without any number has count 0."""
-    numbers = _numbers(df, columns)
-    moments = numbers.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std_dev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    mean, std = F.col("mean"), F.col("std_dev")
+    std = F.col("std_dev")
     asked = df.sparkSession.createDataFrame([(c,) for c in columns], "column STRING")
     return (
-        asked.join(with_medians(moments, numbers), "column", "left")
+        asked.join(stats, "column", "left")
         .fillna(0)
-        .withColumn("lower", F.when(F.col("count") >= 2, mean - 3 * std))
-        .withColumn("upper", F.when(F.col("count") >= 2, mean + 3 * std))
+        .withColumn("lower", F.when(size >= 2, mean - 3 * std))
+        .withColumn("upper", F.when(size >= 2, mean + 3 * std))
+        .select("column", "count", "mean", "median", "std_dev", "min", "max", "lower", "upper")
     )
 
 

@@ -275,6 +275,7 @@ def run_summary(shop) -> DataFrame:
         FROM ({PROFILE_SQL}) WHERE nulls * 10 > rows * 3
         UNION ALL SELECT 'outliers', 'amount', CAST(count(*) AS DOUBLE) FROM numbers
         WHERE abs(v - (SELECT avg(v) FROM numbers)) > 3 * (SELECT stddev_samp(v) FROM numbers)
+        HAVING count(*) > 0
         UNION ALL SELECT 'outliers', 'units', CAST(count(*) AS DOUBLE) FROM (
           SELECT CASE WHEN trim(units) NOT IN ('', 'null') THEN CAST(units AS DOUBLE) END AS v FROM complete)
         WHERE abs(v - (SELECT avg(CAST(units AS DOUBLE)) FROM complete WHERE trim(units) NOT IN ('', 'null')))

@@ -39,11 +39,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for staged tables: ``spark.checkpoint.dir`` of the session.
+    """The shared folder for staged tables: the session's checkpoint folder.
 
     Only a local-mode session that names none gets a temporary folder.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")

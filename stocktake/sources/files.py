@@ -105,6 +105,11 @@ def write_inserts(df: DataFrame, table: str, path: str) -> None:
 # --- stored summaries -------------------------------------------------------
 
 
+def append_rows(df: DataFrame, path: str, by: str) -> None:
+    """Append loaded facts or dimension rows to a table partitioned by ``by``."""
+    df.hint("rebalance", F.col(by)).write.mode("append").partitionBy(by).parquet(path)
+
+
 def _write_partitioned(df: DataFrame, path: str, by: str, mode: str) -> DataFrame:
     # The rebalance hint gathers the rows of a partition value into few files and still
     # splits a value that is much larger than the others.
