@@ -13,9 +13,9 @@ def not_in(left: DataFrame, column: str, right: DataFrame, key: str) -> DataFram
     Spark's own NOT IN must broadcast the right side; this is a shuffled anti join after
     two cheap looks at the right side.
     """
-    values = right.select(F.col(key).alias(column))
-    if values.isEmpty():
+    values = right.select(F.col(key).alias(column)).distinct()
+    if right.isEmpty():
         return left
-    if not values.where(F.col(column).isNull()).isEmpty():
+    if not right.where(F.col(key).isNull()).isEmpty():
         return left.where(F.lit(False))
     return left.where(F.col(column).isNotNull()).join(values, column, "left_anti")

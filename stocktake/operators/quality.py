@@ -101,7 +101,7 @@ def key_violations(df: DataFrame, key: list[str]) -> DataFrame:
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose reference is set but not found in the parent."""
-    keys = parent.select(F.col(key).alias(column))
+    keys = parent.select(F.col(key).alias(column)).distinct()
     return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 

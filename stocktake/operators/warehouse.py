@@ -106,19 +106,23 @@ INSERTED, UPDATED, UNCHANGED = "INSERTED_NEW", "UPDATED_SCD2", "NO_CHANGE"
 LATE = "REJECTED_LATE"
 
 
+def _split_current(dim: DataFrame, changes: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Current versions of the changed keys, and the other current versions. A batch of
+    few keys is broadcast, so that the dimension is not shuffled for it."""
+    keys = broadcast_if_few(changes.select(key).distinct())
+    current = dim.where("is_current")
+    return current.join(keys, key, "left_semi"), current.join(keys, key, "left_anti")
+
+
 def scd2_compare(
-    dim: DataFrame, changes: DataFrame, key: str, tracked: list[str], day: str, sequence: str,
-    hot_rows: int | None = None,
+    current: DataFrame, changes: DataFrame, key: str, tracked: list[str], day: str,
+    sequence: str, hot_rows: int | None = None,
 ) -> DataFrame:
-    """Current versions of the changed keys and the change records in time order, with
+    """``current`` versions and the change records in time order, with
     ``_status`` (NULL for an existing version) and the start of the next version.
 
     Changes dated before the current version are marked late and open no version.
     """
-    changed_keys = changes.select(key).distinct()
-    current = dim.where("is_current").join(
-        broadcast_if_few(changed_keys, changed_keys), key, "left_semi"
-    )
     since = current.select(key, F.col("effective_date").alias("_since"))
     batch = (
         changes.withColumnRenamed(day, "effective_date")
@@ -164,8 +168,9 @@ def scd2_merge(
     """The dimension after a batch of changes: changed versions are closed, new ones
     inserted with fresh keys, everything else is passed through unshuffled when the
     batch touches few keys. ``dim`` should be a stored table."""
+    touched, untouched = _split_current(dim, changes, key)
     compared = stage(
-        scd2_compare(dim, changes, key, tracked, day, sequence, hot_rows), "scd2-batch"
+        scd2_compare(touched, changes, key, tracked, day, sequence, hot_rows), "scd2-batch"
     )
     merged = (
         compared.where(F.col("_status").isNull() | F.col("_status").isin(INSERTED, UPDATED))
@@ -176,12 +181,8 @@ def scd2_merge(
         merged.where(F.col("_status").isNotNull()).drop(surrogate),
         ["effective_date", key], surrogate, highest_key(dim, surrogate),
     )
-    touched = merged.where(F.col("_status").isNull())
-    changed_keys = changes.select(key).distinct()
-    untouched = dim.where("is_current").join(
-        broadcast_if_few(changed_keys, changed_keys), key, "left_anti"
-    )
-    parts = [dim.where(~F.col("is_current")), untouched, touched, fresh]
+    known = merged.where(F.col("_status").isNull())
+    parts = [dim.where(~F.col("is_current")), untouched, known, fresh]
     return reduce(DataFrame.unionByName, [p.select(*dim.columns) for p in parts])
 
 
@@ -189,7 +190,8 @@ def scd2_statuses(
     dim: DataFrame, changes: DataFrame, key: str, tracked: list[str], day: str, sequence: str
 ) -> DataFrame:
     """INSERTED_NEW / UPDATED_SCD2 / NO_CHANGE / REJECTED_LATE per change record."""
-    compared = scd2_compare(dim, changes, key, tracked, day, sequence)
+    current, _ = _split_current(dim, changes, key)
+    compared = scd2_compare(current, changes, key, tracked, day, sequence)
     return compared.where(F.col("_status").isNotNull()).select(
         key, F.col("effective_date").alias(day), F.col("_status").alias("status")
     )

@@ -158,8 +158,8 @@ def not_exists(shop) -> DataFrame:
     frames = {"c": shop.people, "o": shop.orders}
     return shop.spark.sql(
         """SELECT customer_id, customer_name FROM {c} AS c WHERE NOT EXISTS (
-             SELECT 1 FROM {o} AS o
-             WHERE o.customer_id = c.customer_id AND o.payment = '1-URGENT')""",
+             SELECT 1 FROM (SELECT DISTINCT customer_id FROM {o} WHERE payment = '1-URGENT') AS o
+             WHERE o.customer_id = c.customer_id)""",
         **frames,
     )
 

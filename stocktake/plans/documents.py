@@ -329,7 +329,7 @@ def profile_enrichment(shop) -> DataFrame:
     profiles = shop.customers.where(F.col("segment") != "BUILDING").select(
         F.col("customer_id").alias("user_id"), "customer_name", "segment"
     )
-    profiles = broadcast_if_few(profiles, profiles.select("user_id"))
+    profiles = broadcast_if_few(profiles, shop.table("customer"))
     return shop.events.join(profiles, "user_id", "left").select(
         "event_id", "user_id", "customer_name", "segment"
     )

@@ -395,7 +395,7 @@ def junk_dimension_counts(shop) -> DataFrame:
     flags = ["return_flag", "line_status", "discounted"]
     lines = shop.items.withColumn("discounted", F.col("discount") > 0)
     junk = W.junk_dimension(lines, flags, "junk_key")
-    keyed = lines.join(broadcast_if_few(junk, junk), flags)
+    keyed = lines.join(broadcast_if_few(junk), flags)
     return keyed.groupBy("junk_key", *flags).agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -418,7 +418,7 @@ def role_playing_dates(shop) -> DataFrame:
             F.col("year").alias(f"{name}_year"),
             F.col("quarter").alias(f"{name}_quarter"),
         )
-        return broadcast_if_few(part, part)
+        return broadcast_if_few(part, days)
 
     per_pair = (
         shop.items.join(shop.orders.select("order_id", "order_date"), "order_id")

@@ -69,11 +69,13 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 BROADCAST_ROWS = 500_000
 
 
-def broadcast_if_few(side: DataFrame, keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``side`` when its distinct ``keys`` are counted to be few.
+def broadcast_if_few(
+    side: DataFrame, counted: DataFrame | None = None, limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Broadcast ``side`` when it is counted to have few rows.
 
-    ``keys`` is a cheap source of the side's key values (one row of ``side`` per
-    distinct key). Beyond the limit the side stays a plain shuffled join input.
+    ``counted`` names something cheaper to count that has at least as many rows. Beyond
+    the limit the side stays a plain shuffled join input.
     """
-    few = keys.distinct().limit(limit + 1).count() <= limit
+    few = (side if counted is None else counted).count() <= limit
     return F.broadcast(side) if few else side

@@ -58,7 +58,7 @@ def read_csv_numbered(
     )
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    offsets = broadcast_if_few(offsets, staged.select("_file", "_block"))
+    offsets = broadcast_if_few(offsets)
     numbered = staged.join(offsets, ["_file", "_block"])
     place = F.col("_before") + F.col("_at") - F.col("_first") + 1
     return numbered.withColumn(name, place).drop("_file", "_block", "_at", "_first", "_before")
