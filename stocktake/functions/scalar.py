@@ -73,6 +73,15 @@ def share_percent(part: Column, whole: Column, digits: int) -> Column:
     return F.round(part.cast("decimal(20,0)") / whole * 100, digits)
 
 
+def number_text(c: Column) -> Column:
+    """A double as plain digits where Spark's own text has an exponent but the number has
+    few enough digits to be written out: 10000000.0 and not 1.0E7."""
+    size = F.abs(c)
+    written_out = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
+    digits = F.regexp_replace(c.cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(written_out, digits).otherwise(c.cast("string"))
+
+
 def quote_sql(c: Column) -> Column:
     """A string as an SQL literal, quotes doubled."""
     return F.concat(F.lit("'"), F.replace(c, F.lit("'"), F.lit("''")), F.lit("'"))

@@ -143,8 +143,9 @@ def scd2_compare(
         )
 
     place = ["effective_date", "_step", sequence]
+    sizes = changes.select(key).unionAll(current.select(key))
     daily = (
-        ordered_groups(rows, [key], place, hot_rows)
+        ordered_groups(rows, [key], place, hot_rows, sizes)
         .framed(lambda w: {"_old": _superseded("effective_date", w)}, following=1)
         .each(lambda df: df.where("_step = 0 OR NOT _old").drop("_old"))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.functions.scalar import parse_as, quote_sql
+from stocktake.functions.scalar import number_text, parse_as, quote_sql
 from stocktake.session import broadcast_if_few, stage
 
 CORRUPT = "_corrupt_record"
@@ -73,7 +73,9 @@ def export_csv(df: DataFrame, path: str) -> bool:
     """Write CSV part files with a header, NULL as empty. An empty result is not written."""
     if df.isEmpty():
         return False
-    df.write.mode("overwrite").option("header", True).option("nullValue", "").option(
+    doubles = {f.name: number_text(F.col(f"`{f.name}`")) for f in df.schema
+               if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    df.withColumns(doubles).write.mode("overwrite").option("header", True).option("nullValue", "").option(
         "emptyValue", ""
     ).csv(path)
     return True
@@ -86,8 +88,12 @@ def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def literal(field: T.StructField) -> Column:
     c = F.col(f"`{field.name}`")
-    bare = isinstance(field.dataType, (T.NumericType, T.BooleanType))
-    text = c.cast("string") if bare else quote_sql(c.cast("string"))
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        text = number_text(c)
+    elif isinstance(field.dataType, (T.NumericType, T.BooleanType)):
+        text = c.cast("string")
+    else:
+        text = quote_sql(c.cast("string"))
     return F.coalesce(text, F.lit("NULL"))
 
 

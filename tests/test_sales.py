@@ -167,6 +167,14 @@ def test_months_between_months_is_signed(spark):
     assert rows(df.select(S.months_between_months(a, b), S.months_between_months(b, a))) == [(2, -2)]
 
 
+def test_number_text(spark):
+    values = [1.0, 10000000.0, -123456789.25, 1e15, 1e17, 0.1, 0.0005, 5e-05, 0.0, 75000.5]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    want = ["1.0", "10000000.0", "-123456789.25", "1000000000000000.0", "1.0E17", "0.1", "0.0005",
+            "5.0E-5", "0.0", "75000.5"]
+    assert [r[0] for r in rows(df.select(S.number_text(F.col("v"))))] == want
+
+
 def test_percent_change_guards_zero(spark):
     df = spark.sql("SELECT CAST(5 AS DECIMAL(12,2)) a, CAST(0 AS DECIMAL(12,2)) b")
     assert rows(df.select(S.percent_change(F.col("a"), F.col("b"), 2))) == [(None,)]
