@@ -17,9 +17,8 @@ of a block: any stretch of ids can be read by ``unpack`` without the rest of its
 from __future__ import annotations
 
 import functools
-import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +36,11 @@ END_ID = 2
 BLOCK_IDS = 1 << 16
 WORDS = 300_000  # remembered words per Python worker, and as many of the generation before
 WORD_CHARS = 48
+# Marks after a word are a piece of their own. (Not the apostrophe, which can begin one with
+# the letters after it.)
+MARKS = ".,;:!?$#%&*|-)]}"
 GROUP_CHARS = 1 << 20  # texts are encoded together up to this size
 
-_GAP = re.compile("[ \n\t\r]+")
-
 
 def bits_for(vocabulary: int) -> int:
     """Bits of the largest id."""
@@ -102,29 +102,27 @@ class WordTokenizer:
         spans = zip(words, (4 * starts).tolist(), (4 * stops).tolist())
         self.words.update((w, raw[a:b]) for w, a, b in spans)
 
-    def _learn(self, wanted: Iterable[str]) -> None:
+    def _learn(self, wanted: set[str]) -> None:
         if len(self.words) >= WORDS:
             self.before, self.words = self.words, {"": b""}
         letters, marked = [], []
-        for word in set(wanted) - self.words.keys():
+        for word in wanted - self.words.keys():
             ids = self.before.get(word)
             if ids is not None:
                 self.words[word] = ids
             elif word.isalpha():
                 letters.append(word)
-            elif word[-1] in ".," and word[:-1].isalpha():
-                marked.append(word)
+            elif (stem := word.rstrip(MARKS)).isalpha():
+                marked.append((word, stem, word[len(stem) :]))
             else:
                 self.words[word] = self._encode(word)
-        stems = {w[:-1] for w in marked} - self.words.keys() - set(letters)
+        stems = {stem for _, stem, _ in marked} - self.words.keys() - set(letters)
         self.words.update((w, self.before[w]) for w in stems if w in self.before)
         self._learn_letters(letters + [w for w in stems if w not in self.before])
-        for word in marked:
-            self.words[word] = self.words[word[:-1]] + self._mark(word[-1])
-
-    @functools.cache  # noqa: B019  two marks, one tokenizer per worker
-    def _mark(self, mark: str) -> bytes:
-        return self._encode(mark)
+        for word, stem, marks in marked:
+            if marks not in self.words:
+                self.words[marks] = self._encode(marks)
+            self.words[word] = self.words[stem] + self.words[marks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
@@ -135,17 +133,22 @@ class WordTokenizer:
             # The tokenizer composes, then lowers letter by letter; where nothing is to be
             # composed and no letter depends on its neighbours, lowering first is the same.
             if plain and "Σ" not in text:
-                split.append(_GAP.sub(" ", low).split(" "))
+                for gap in "\n\t\r":
+                    low = low.replace(gap, " ")
+                split.append(low.split(" "))
             else:
                 split.append(None)
-        self._learn(w for words in split if words for w in words if len(w) <= WORD_CHARS)
+        wanted = set().union(*(words for words in split if words))
+        self._learn({w for w in wanted if len(w) <= WORD_CHARS})
         get, out = self.words.get, []
         for text, words in zip(texts, split):
             if words is None:
                 out.append(self._encode(text))
             else:
-                found = map(get, words)
-                out.append(b"".join(self._encode(w) if i is None else i for w, i in zip(words, found)))
+                found = list(map(get, words))
+                if None in found:  # long words are not remembered
+                    found = [self._encode(w) if i is None else i for w, i in zip(words, found)]
+                out.append(b"".join(found))
         return out
 
 
