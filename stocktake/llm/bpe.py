@@ -37,8 +37,10 @@ _SIMPLE = re.compile(f"[ \n][^{_SPACE}]+")
 _ODD = re.compile("[" + _SPACE.replace("\t-\r ", "\t\x0b-\r") + "]")
 _CUT = re.compile(f"(?<=[^{_SPACE}]) (?=[^{_SPACE}])")
 
-PARTS = 300_000  # remembered words per Python worker, and as many of the generation before
+PARTS = 250_000  # remembered words per Python worker, and as many of the generation before
 PART_CHARS = 48
+MARKS = ".,;:!?$#%&*|-)]}"
+MARKINGS = 10_000
 PAIRS = 300_000  # remembered pair verdicts per Python worker
 SEGMENT = 1 << 20  # characters handled at once
 
@@ -52,13 +54,20 @@ class _Parts(dict):
         super().__init__()
         self.encode = encode
         self.before: dict[str, bytes] = {}
-        self.mark = {m: encode(m) for m in ".,"}
+        self.marks: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
         ids = self.before.get(part)
         if ids is None:
-            if part[-1] in self.mark and part[-2:-1].isalpha():
-                ids = self[part[:-1]] + self.mark[part[-1]]
+            stem = part.rstrip(MARKS)
+            if len(stem) < len(part) and stem[-1:].isalpha():
+                # Marks after a letter are a piece of their own.
+                marks = part[len(stem) :]
+                if marks not in self.marks:
+                    if len(self.marks) >= MARKINGS:
+                        self.marks.clear()
+                    self.marks[marks] = self.encode(marks)
+                ids = self[stem] + self.marks[marks]
             else:
                 ids = self.encode(part if part[0] == "\n" else " " + part)
         if len(part) <= PART_CHARS:
