@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from stocktake.llm.shared import fresh, named, whole
+from stocktake.session import stage
 
 LINE = "\n"
 PARAGRAPH = "\n\n"
@@ -56,11 +57,13 @@ def repeats(
     """Per document with repeats to remove: row key, places (sorted) and words removed."""
     found = units(df, key, text, separator)
     rank = F.struct(F.col("doc").isNull().alias("last"), "doc", "row", "place")
-    groups = (
+    # Staged, so that neither side of the join is an aggregate: Spark can split a hot digest.
+    groups = stage(
         found.groupBy("digest")
         .agg(F.min(rank).alias("kept"), F.count("*").alias("n"))
         .where("n > 1")
-        .select(F.col("digest").alias("group"), F.col("kept.row").alias("kept_row"), F.col("kept.place").alias("kept_place"))
+        .select(F.col("digest").alias("group"), F.col("kept.row").alias("kept_row"), F.col("kept.place").alias("kept_place")),
+        "repeated-units",
     )
     later = found.join(groups, F.col("digest") == F.col("group")).where(
         "row <> kept_row OR place <> kept_place"
