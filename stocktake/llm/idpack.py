@@ -34,12 +34,12 @@ from stocktake.llm.shared import named, whole
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 1 << 16
-WORDS = 300_000  # remembered words per Python worker, and as many of the generation before
+WORDS = 350_000  # remembered words per Python worker, and as many of the generation before
 WORD_CHARS = 48
 # Marks after a word are a piece of their own. (Not the apostrophe, which can begin one with
 # the letters after it.)
 MARKS = ".,;:!?$#%&*|-)]}"
-GROUP_CHARS = 1 << 20  # texts are encoded together up to this size
+GROUP_CHARS = 1 << 21  # texts are encoded together up to this size
 
 
 def bits_for(vocabulary: int) -> int:
@@ -110,6 +110,8 @@ class WordTokenizer:
             ids = self.before.get(word)
             if ids is not None:
                 self.words[word] = ids
+            elif len(word) > WORD_CHARS:
+                continue
             elif word.isalpha():
                 letters.append(word)
             elif (stem := word.rstrip(MARKS)).isalpha():
@@ -138,17 +140,16 @@ class WordTokenizer:
                 split.append(low.split(" "))
             else:
                 split.append(None)
-        wanted = set().union(*(words for words in split if words))
-        self._learn({w for w in wanted if len(w) <= WORD_CHARS})
-        get, out = self.words.get, []
+        self._learn(set().union(*(words for words in split if words)))
+        known, out = self.words, []
         for text, words in zip(texts, split):
             if words is None:
                 out.append(self._encode(text))
             else:
-                found = list(map(get, words))
-                if None in found:  # long words are not remembered
-                    found = [self._encode(w) if i is None else i for w, i in zip(words, found)]
-                out.append(b"".join(found))
+                try:
+                    out.append(b"".join(map(known.__getitem__, words)))
+                except KeyError:  # long words are not remembered
+                    out.append(b"".join(known.get(w) or self._encode(w) for w in words if w))
         return out
 
 
