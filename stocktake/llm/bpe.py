@@ -37,11 +37,11 @@ _SIMPLE = re.compile(f"[ \n][^{_SPACE}]+")
 _ODD = re.compile("[" + _SPACE.replace("\t-\r ", "\t\x0b-\r") + "]")
 _CUT = re.compile(f"(?<=[^{_SPACE}]) (?=[^{_SPACE}])")
 
-PARTS = 250_000  # remembered words per Python worker, and as many of the generation before
+PARTS = 150_000  # remembered words per Python worker, and as many of the generation before
 PART_CHARS = 48
 MARKS = ".,;:!?$#%&*|-)]}"
 MARKINGS = 10_000
-PAIRS = 300_000  # remembered pair verdicts per Python worker
+PAIRS = 200_000  # remembered pair verdicts per Python worker
 SEGMENT = 1 << 20  # characters handled at once
 
 

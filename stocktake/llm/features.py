@@ -8,7 +8,7 @@ import xxhash
 # Fixed multipliers that tell the places of a word in a gram apart.
 _FIRST, _SECOND, _SKIPPED = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _MARKS = ".,;:!?\"'()[]{}|*$#%&-"
-WORDS = 300_000  # remembered words per Python worker
+WORDS = 150_000  # remembered words per Python worker
 
 
 class Words(dict):
