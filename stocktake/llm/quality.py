@@ -49,13 +49,16 @@ def _shape(text: str) -> list[str]:
     return [f"{k}:{round(v * _STEPS)}" for k, v in shares.items()] + [f"size:{len(words).bit_length()}"]
 
 
-def features(text: str, words: Words, bits: int = BITS) -> np.ndarray:
-    """Buckets of words, pairs, skip-grams and shape, each once."""
+def features(
+    text: str, words: Words, bits: int = BITS, weights: np.ndarray | None = None
+) -> np.ndarray:
+    """Buckets of words, pairs, skip-grams and shape, each once; given weights, those of words
+    without weight are left out before the buckets are sorted."""
     found = hashes(text, words)
-    parts = [
-        np.unique(grams(found[at : at + GRAMS + 2], bits))
-        for at in range(0, max(len(found), 1), GRAMS)
-    ]
+    parts = []
+    for at in range(0, max(len(found), 1), GRAMS):
+        own = grams(found[at : at + GRAMS + 2], bits)
+        parts.append(np.unique(own if weights is None else own[weights[own] != 0]))
     shape = [xxhash.xxh64_intdigest(s, 7) >> (64 - bits) for s in _shape(text)]
     return np.unique(np.concatenate([*parts, np.array(shape, np.int64)]))
 
@@ -68,7 +71,8 @@ class Model:
 
     def tails(self, text: str, words: Words) -> np.ndarray:
         """P(grade >= 1), P(grade >= 2), ..."""
-        margin = float(self.weights[features(text, words, self.bits)].sum(dtype=np.float64))
+        active = features(text, words, self.bits, self.weights)
+        margin = float(self.weights[active].sum(dtype=np.float64))
         return 1 / (1 + np.exp(np.clip(self.thresholds - margin, -35, 35)))
 
 
