@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stocktake.functions import scalar as S
 from stocktake.operators.membership import not_in
-from stocktake.operators.ordered import number_rows
+from stocktake.operators.ordered import null_safe_join, number_rows
 from stocktake.plans.registry import query, scaled
 from stocktake.plans.sales import AS_OF, mean_of, per_customer, total
 from stocktake.sources.tables import MONEY, TOTAL
@@ -187,30 +187,27 @@ def null_aware_not_in(shop) -> DataFrame:
 @query(
     "j20_right_join",
     """SELECT p.product_id, p.category, b.lines FROM
-       (SELECT product_id, count(*) AS lines FROM items WHERE quantity >= 50 GROUP BY 1) b
+       (SELECT product_id, count(*) AS lines FROM items GROUP BY 1) b
        RIGHT JOIN products p ON b.product_id = p.product_id""",
 )
 def right_join(shop) -> DataFrame:
-    bulk = shop.items.where(F.col("quantity") >= 50).groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("lines")
-    )
-    return bulk.join(shop.products, "product_id", "right").select("product_id", "category", "lines")
+    sold = shop.items.groupBy("product_id").agg(F.count(F.lit(1)).alias("lines"))
+    return sold.join(shop.products, "product_id", "right").select("product_id", "category", "lines")
 
 
 @query(
     "j13_join_to_prepared_stats",
-    """SELECT product_id, product_name, coalesce(n, 0) AS returned_lines, worth FROM products
+    """SELECT product_id, product_name, coalesce(n, 0) AS lines, worth FROM products
        LEFT JOIN (SELECT product_id, count(*) AS n, sum(line_total) AS worth FROM items
-                  WHERE return_flag = 'R' AND quantity > 40 GROUP BY 1) USING (product_id)""",
+                  GROUP BY 1) USING (product_id)""",
     money="worth",
 )
 def join_to_prepared_stats(shop) -> DataFrame:
-    returned = shop.items.where((F.col("return_flag") == "R") & (F.col("quantity") > 40))
-    stats = returned.groupBy("product_id").agg(
+    stats = shop.items.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n"), total("line_total").alias("worth")
     )
     return shop.products.join(stats, "product_id", "left").select(
-        "product_id", "product_name", F.coalesce("n", F.lit(0)).alias("returned_lines"), "worth"
+        "product_id", "product_name", F.coalesce("n", F.lit(0)).alias("lines"), "worth"
     )
 
 
@@ -254,7 +251,8 @@ def several_distinct_counts(shop) -> DataFrame:
     def distinct(column: str, name: str) -> DataFrame:
         return shop.items.groupBy("return_flag").agg(F.countDistinct(column).alias(name))
 
-    return distinct("order_id", "orders").join(distinct("product_id", "products"), "return_flag")
+    orders, products = distinct("order_id", "orders"), distinct("product_id", "products")
+    return null_safe_join(orders, products, ["return_flag"], "inner")
 
 
 @query(
@@ -312,12 +310,12 @@ def where_group_having(shop) -> DataFrame:
     "a13_average_of_sums",
     f"""SELECT category, {scaled('sum(cents)', 'count(cents)', 0)} / 100 AS avg_revenue, count(*) AS products
         FROM (SELECT category, p.product_id, sum(line_cents) AS cents FROM products p
-              LEFT JOIN (SELECT * FROM items WHERE quantity >= 45) i ON p.product_id = i.product_id
+              LEFT JOIN items i ON p.product_id = i.product_id
               GROUP BY 1, 2) GROUP BY category""",
 )
 def average_of_sums(shop) -> DataFrame:
     """Average over products of their sums; products without a sale have no sum."""
-    sums = shop.items.where(F.col("quantity") >= 45).groupBy("product_id").agg(
+    sums = shop.items.groupBy("product_id").agg(
         total("line_total").alias("revenue")
     )
     rows = shop.products.select("product_id", "category").join(sums, "product_id", "left")
@@ -334,15 +332,14 @@ def average_of_sums(shop) -> DataFrame:
     "k1_k2_sort_with_nulls_last",
     """SELECT customer_id, segment, spent, row_number() OVER () AS place FROM (
          SELECT c.customer_id, segment, sum(amount) AS spent FROM customers c
-         LEFT JOIN (SELECT * FROM all_orders WHERE payment = '1-URGENT') o
-           ON c.customer_id = o.customer_id GROUP BY 1, 2
+         LEFT JOIN all_orders o ON c.customer_id = o.customer_id GROUP BY 1, 2
          ORDER BY segment, spent DESC NULLS LAST, c.customer_id)""",
     money="spent",
 )
 def sort_with_nulls_last(shop) -> DataFrame:
     """Several sort keys, NULLs last; the place in the order is part of the result."""
-    urgent = per_customer(shop.orders.where(F.col("payment") == "1-URGENT"))
-    rows = shop.people.join(urgent, "customer_id", "left").select("customer_id", "segment", "spent")
+    spent = per_customer(shop.orders)
+    rows = shop.people.join(spent, "customer_id", "left").select("customer_id", "segment", "spent")
     return number_rows(rows, ["segment", "-spent", "customer_id"], "place")
 
 

@@ -383,18 +383,17 @@ def established_high_value_customers(shop) -> DataFrame:
         FROM (SELECT p.product_id, product_name, category, sum(line_total) AS revenue,
                      sum(line_cents) AS cents
               FROM products p
-              LEFT JOIN (SELECT * FROM items WHERE quantity >= 30) i ON p.product_id = i.product_id
+              LEFT JOIN items i ON p.product_id = i.product_id
               GROUP BY ALL)
         JOIN (SELECT category, {half_up('sum(cents)', 'count(cents)')} AS avg_cents
               FROM (SELECT category, product_id, sum(line_cents) AS cents FROM products
-                    LEFT JOIN (SELECT * FROM items WHERE quantity >= 30) USING (product_id)
+                    LEFT JOIN items USING (product_id)
                     GROUP BY ALL)
               GROUP BY category) USING (category)""",
     money="revenue avg_revenue_in_category vs_category_avg",
 )
-def product_vs_category_average_large_lines(shop) -> DataFrame:
-    large = shop.items.where(F.col("quantity") >= 30)
-    return product_vs_category_average(shop.products, large)
+def product_vs_category_average_query(shop) -> DataFrame:
+    return product_vs_category_average(shop.products, shop.items)
 
 
 def product_vs_category_average(products: DataFrame, items: DataFrame) -> DataFrame:
@@ -464,13 +463,13 @@ def cohort_conversion(signups: DataFrame, orders: DataFrame) -> DataFrame:
                     FROM all_orders GROUP BY customer_id)
               LEFT JOIN (SELECT customer_id,
                                 CAST(date_trunc('month', min(order_date)) AS DATE) AS first_month
-                         FROM all_orders WHERE payment = '1-URGENT' GROUP BY customer_id)
+                         FROM all_orders GROUP BY customer_id)
               USING (customer_id))
         GROUP BY cohort_month""",
 )
 def signup_cohort_conversion(shop) -> DataFrame:
-    """Months from the first order of any kind to the first urgent one."""
-    return cohort_conversion(shop.signups, shop.orders.where(F.col("payment") == "1-URGENT"))
+    """Months from signup to the first order."""
+    return cohort_conversion(shop.signups, shop.orders)
 
 
 def date_spine(bounds: DataFrame, name: str = "date") -> DataFrame:

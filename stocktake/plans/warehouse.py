@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocktake.operators import warehouse as W
+from stocktake.operators.ordered import null_safe_join
 from stocktake.plans.registry import half_up, query
 from stocktake.plans.sales import date_spine, span_of, total
 from stocktake.session import broadcast_if_few
@@ -385,17 +386,18 @@ def accumulating_snapshot(shop) -> DataFrame:
 @query(
     "h13_junk_dimension",
     """SELECT junk_key, return_flag, line_status, discounted, count(*) AS lines
-       FROM (SELECT *, discount_pct > 0 AS discounted FROM items) JOIN (
+       FROM (SELECT return_flag AS f, line_status AS s, discount_pct > 0 AS d FROM items) JOIN (
          SELECT *, row_number() OVER (ORDER BY return_flag, line_status, discounted) AS junk_key
          FROM (SELECT DISTINCT return_flag, line_status, discount_pct > 0 AS discounted FROM items))
-       USING (return_flag, line_status, discounted) GROUP BY ALL""",
+       ON f IS NOT DISTINCT FROM return_flag AND s IS NOT DISTINCT FROM line_status
+          AND d IS NOT DISTINCT FROM discounted GROUP BY ALL""",
 )
 def junk_dimension_counts(shop) -> DataFrame:
     """Flag combinations with a key, joined back to the lines that carry them."""
     flags = ["return_flag", "line_status", "discounted"]
     lines = shop.items.withColumn("discounted", F.col("discount") > 0)
     junk = W.junk_dimension(lines, flags, "junk_key")
-    keyed = lines.join(broadcast_if_few(junk), flags)
+    keyed = null_safe_join(lines, broadcast_if_few(junk), flags, "inner")
     return keyed.groupBy("junk_key", *flags).agg(F.count(F.lit(1)).alias("lines"))
 
 
