@@ -36,7 +36,7 @@ def _mark_group(length: int):
     return mark
 
 
-def _mark_hot(rows: DataFrame, keys: list[str], length: int, rounds_limit: int) -> DataFrame:
+def _mark_hot(rows: DataFrame, keys: list[str], length: int) -> DataFrame:
     """The same for keys with too many rows for one task.
 
     Every opening event is linked to the first opening event after its window. Starting
@@ -63,7 +63,7 @@ def _mark_hot(rows: DataFrame, keys: list[str], length: int, rounds_limit: int)
             .select(*keys, "_from", "_next")
         )
         links, chain = stage(links, "links"), stage(first, "chain")
-        for _ in range(rounds_limit):
+        while True:  # the reach doubles, so rounds are few; none is reached in the last
             reached = null_safe_join(
                 chain.withColumnRenamed("_at", "_from"), links, [*keys, "_from"], "inner"
             ).select(*keys, F.col("_next").alias("_at"))
@@ -116,5 +116,5 @@ def mark_repeats(
         parts.append(groups.cold.groupBy(*keys).applyInPandas(_mark_group(length), out))
     if groups.hot is not None:
         hot = groups.hot.drop("_slice")
-        parts.append(_mark_hot(hot, keys, length, rounds_limit=64).select(*out.names))
+        parts.append(_mark_hot(hot, keys, length).select(*out.names))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

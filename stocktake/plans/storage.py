@@ -112,13 +112,13 @@ def stored_monthly_sales_refresh(shop) -> DataFrame:
     """Store the monthly summary as of mid-July 2001, then refresh only the late months."""
     path = scratch_path(shop.spark, "monthly")
 
-    def between(low: dt.date, high: dt.date) -> DataFrame:
-        at = F.col("ordered_at")
-        low, high = (F.lit(d).cast("timestamp_ntz") for d in (low, high))
-        return monthly_sales(shop, shop.sales.where((at >= low) & (at < high)))
-
-    files.store_summary(between(dt.date(1900, 1, 1), dt.date(2001, 7, 15)), path, "month")
-    late = between(dt.date(2001, 7, 1), dt.date(2100, 1, 1))
+    at = F.col("ordered_at")
+    known, month = (
+        F.lit(d).cast("timestamp_ntz") for d in (dt.date(2001, 7, 15), dt.date(2001, 7, 1))
+    )
+    early = monthly_sales(shop, shop.sales.where((at < known) | at.isNull()))
+    files.store_summary(early, path, "month")
+    late = monthly_sales(shop, shop.sales.where(at >= month))
     return files.refresh_summary(late, path, "month")
 
 

@@ -348,15 +348,18 @@ def scd3_previous_value(shop) -> DataFrame:
 @query(
     "h11_periodic_snapshot",
     f"""WITH {VERSIONS_CTE.strip()},
-        month_ends AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-07-01',
-                       INTERVAL 1 MONTH)) + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS month_end)
+        span AS (SELECT CAST(date_trunc('month', min(order_date)) AS DATE) AS low,
+                        CAST(date_trunc('month', max(order_date)) AS DATE) AS high FROM all_orders),
+        month_ends AS (SELECT CAST(unnest(generate_series(low, high, INTERVAL 1 MONTH))
+                       + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS month_end FROM span)
         SELECT month_end, payment, count(*) AS customers FROM month_ends
         JOIN versions ON effective_date <= month_end AND month_end < end_date GROUP BY ALL""",
     dates="month_end",
 )
 def periodic_snapshot(shop) -> DataFrame:
-    """Customers per payment preference at every month end."""
-    snapshot = W.month_end_snapshot(history(shop.orders), F.lit(dt.date(2001, 7, 31)))
+    """Customers per payment preference at every month end up to the last order's month."""
+    last = shop.orders.agg(F.last_day(F.max("order_date"))).first()[0]  # one row
+    snapshot = W.month_end_snapshot(history(shop.orders), F.lit(last).cast("date"))
     return snapshot.groupBy("month_end", "payment").agg(F.count(F.lit(1)).alias("customers"))
 
 
