@@ -12,6 +12,12 @@ NULL_MARKERS = ("", "null", "none", "na", "n/a", "nan", "-")
 # The smaller, case-sensitive set used when casting.
 CAST_NULLS = ("", "null", "none")
 
+# Fixed value: what counts as white space at either end of a value.
+BLANKS = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Python's int() and float() literals (without underscores). Spark's own casts accept
 # more, such as "5d", so values are checked before the cast.
 INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
@@ -20,8 +26,13 @@ FLOAT_PATTERN = (
 )
 
 
+def strip(c: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.btrim(c, F.lit(BLANKS))
+
+
 def is_missing(c: Column) -> Column:
-    return c.isNull() | F.lower(F.trim(c.cast("string"))).isin(*NULL_MARKERS)
+    return c.isNull() | F.lower(strip(c.cast("string"))).isin(*NULL_MARKERS)
 
 
 def full_name(first: Column, last: Column) -> Column:
@@ -32,9 +43,9 @@ def full_name(first: Column, last: Column) -> Column:
 def parse_as(c: Column, kind: str) -> Column:
     """Value of type int / float / str, NULL when the text is no such literal."""
     if kind == "int":
-        return F.when(c.rlike(INT_PATTERN), F.trim(c).try_cast("bigint"))
+        return F.when(strip(c).rlike(INT_PATTERN), strip(c).try_cast("bigint"))
     if kind == "float":
-        return F.when(c.rlike(FLOAT_PATTERN), F.trim(c).try_cast("double"))
+        return F.when(strip(c).rlike(FLOAT_PATTERN), strip(c).try_cast("double"))
     return c
 
 

@@ -6,11 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.functions.scalar import number_text, parse_as, quote_sql
+from stocktake.functions.scalar import number_text, parse_as, quote_sql, strip
 from stocktake.session import broadcast_if_few, stage
 
 CORRUPT = "_corrupt_record"
 
+# A quote inside a quoted field is doubled; backslashes are ordinary characters.
+DIALECT = {
+    "encoding": "UTF-8", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def parse_schema(text: str | None) -> dict[str, str]:
     """``"age:int, price:float"`` as a dict; entries without a colon are ignored."""
@@ -18,13 +24,18 @@ def parse_schema(text: str | None) -> dict[str, str]:
     return {name.strip(): kind.strip() for name, kind in pairs}
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """CSV with a header, every value a trimmed string (missing values are empty), byte
-    order mark skipped. Rows of the wrong width keep their text in ``_corrupt_record``.
+def read_csv(
+    spark: SparkSession, path: str, columns: list[str] | None = None, multiline: bool = False
+) -> DataFrame:
+    """CSV with a header, every value a string without white space at its ends (missing
+    values are empty), byte order mark skipped. Rows of the wrong width keep their text in
+    ``_corrupt_record``.
 
-    ``columns`` saves the pass over the header when the layout is known.
+    ``columns`` saves the pass over the header when the layout is known. ``multiline`` reads
+    quoted fields that hold line ends; each file is then read by one task, so such input
+    should come in many files.
     """
-    reader = spark.read.option("header", True).option("encoding", "UTF-8")
+    reader = spark.read.options(header=True, multiLine=multiline, **DIALECT)
     if columns is None:
         columns = reader.csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
@@ -35,18 +46,21 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -
         .option("enforceSchema", True)
         .csv(path)
     )
-    return rows.select(*[F.coalesce(F.trim(c), F.lit("")).alias(c) for c in columns], CORRUPT)
+    return rows.select(
+        *[F.coalesce(strip(F.col(f"`{c}`")), F.lit("")).alias(c) for c in columns], CORRUPT
+    )
 
 
 def read_csv_numbered(
-    spark: SparkSession, path: str, columns: list[str] | None = None, name: str = "row_no"
+    spark: SparkSession, path: str, columns: list[str] | None = None, name: str = "row_no",
+    multiline: bool = False,
 ) -> DataFrame:
     """``read_csv`` with the 1-based place of each row in file order.
 
     Rows are numbered inside their file block where they are read; only the block sizes
     (one row per block) are summed up, so nothing is shuffled.
     """
-    rows = read_csv(spark, path, columns)
+    rows = read_csv(spark, path, columns, multiline)
     placed = rows.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
@@ -75,8 +89,8 @@ def export_csv(df: DataFrame, path: str) -> bool:
         return False
     doubles = {f.name: number_text(F.col(f"`{f.name}`")) for f in df.schema
                if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    df.withColumns(doubles).write.mode("overwrite").option("header", True).option("nullValue", "").option(
-        "emptyValue", ""
+    df.withColumns(doubles).write.mode("overwrite").options(
+        header=True, nullValue="", emptyValue="", **DIALECT
     ).csv(path)
     return True
 

@@ -1,9 +1,11 @@
+import csv
 import statistics
 
 import pytest
 from conftest import cash, day, plan, rows
 from pyspark.sql import functions as F
 
+from stocktake.functions.scalar import is_missing
 from stocktake.operators import quality as Q
 from stocktake.sources import files, tables
 
@@ -45,6 +47,35 @@ def test_ragged_rows_are_kept(spark, tmp_path):
         "1": ("2", True), "3": ("", False), "4": ("5", False)}
 
 
+ODD = ['TV 55" wide', 'say "hi", ok', "back\\slash", "one\ntwo", "plain", '"', "a;b"]
+
+
+def test_quoted_fields_from_another_writer(spark, tmp_path):
+    with open(tmp_path / "in.csv", "w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(["n", "v.w"])
+        writer.writerows([[n, f"\t{v} \u00a0"] for n, v in enumerate(ODD)])
+    got = files.read_csv(spark, str(tmp_path / "in.csv"), multiline=True)
+    found = got.collect()
+    assert {int(r.n): r["v.w"] for r in found} == dict(enumerate(ODD))
+    assert {r[files.CORRUPT] for r in found} == {None}
+
+
+def test_quoted_fields_for_another_reader(spark, tmp_path):
+    values = [*ODD, "  kept  "]
+    files.export_csv(spark.createDataFrame(list(enumerate(values)), "n int, v string"), str(tmp_path / "out"))
+    found = {}
+    for part in (tmp_path / "out").glob("part-*"):
+        with open(part, newline="") as lines:
+            found |= {int(r["n"]): r["v"] for r in csv.DictReader(lines)}
+    assert found == dict(enumerate(values))
+
+
+def test_blanks_of_any_kind_are_missing(spark):
+    df = spark.createDataFrame([("\tnull ",), ("\u2003",), ("x",)], "v string")
+    assert rows(df.select(is_missing(F.col("v")))) == [(True,), (True,), (False,)]
+
+
 def test_file_order_numbers_over_many_files(spark, tmp_path):
     for part in range(5):
         (tmp_path / f"part-{part}.csv").write_text("v\n" + "\n".join(str(part * 10 + i) for i in range(1, 11 - part)) + "\n")
