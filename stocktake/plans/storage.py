@@ -53,7 +53,7 @@ def export_cleaned_csv(shop) -> DataFrame:
 
 @query(
     "s4_typed_load_with_defaults",
-    """SELECT CAST(order_id AS INTEGER) AS id, CAST(customer_id AS INTEGER) AS customer_id,
+    """SELECT CAST(order_id AS BIGINT) AS id, CAST(customer_id AS BIGINT) AS customer_id,
               strftime(order_date, '%Y-%m-%d %H:%M:%S.%f') AS order_date,
               coalesce(nullif(status, 'P'), 'pending') AS status, amount AS total_amount,
               payment AS payment_method FROM all_orders""",

@@ -17,22 +17,22 @@ TOTAL = T.DecimalType(22, 2)
 
 # The relational store's tables.
 STORE_SCHEMAS = {
-    "categories": "id INT NOT NULL, name STRING NOT NULL, description STRING",
+    "categories": "id BIGINT NOT NULL, name STRING NOT NULL, description STRING",
     "products": (
-        "id INT NOT NULL, name STRING NOT NULL, description STRING, price DECIMAL(10,2) NOT NULL, "
-        "category_id INT NOT NULL, stock_qty INT, created_at TIMESTAMP_NTZ"
+        "id BIGINT NOT NULL, name STRING NOT NULL, description STRING, price DECIMAL(10,2) NOT NULL, "
+        "category_id BIGINT NOT NULL, stock_qty INT, created_at TIMESTAMP_NTZ"
     ),
     "customers": (
-        "id INT NOT NULL, first_name STRING NOT NULL, last_name STRING NOT NULL, "
+        "id BIGINT NOT NULL, first_name STRING NOT NULL, last_name STRING NOT NULL, "
         "email STRING NOT NULL, city STRING, region STRING, signup_date DATE NOT NULL, "
         "is_premium BOOLEAN"
     ),
     "orders": (
-        "id INT NOT NULL, customer_id INT NOT NULL, order_date TIMESTAMP_NTZ NOT NULL, "
+        "id BIGINT NOT NULL, customer_id BIGINT NOT NULL, order_date TIMESTAMP_NTZ NOT NULL, "
         "status STRING NOT NULL, total_amount DECIMAL(12,2) NOT NULL, payment_method STRING"
     ),
     "order_items": (
-        "id INT NOT NULL, order_id INT NOT NULL, product_id INT NOT NULL, "
+        "id BIGINT NOT NULL, order_id BIGINT NOT NULL, product_id BIGINT NOT NULL, "
         "quantity INT NOT NULL, unit_price DECIMAL(10,2) NOT NULL"
     ),
 }
