@@ -209,9 +209,11 @@ def event_children(df: DataFrame) -> DataFrame:
 
 
 def ingest(docs: DataFrame, order: str) -> DataFrame:
-    """Documents keyed by ``_id``: a missing id is generated from content and position,
-    and the last document of an id (by ``order``) wins."""
+    """Documents keyed by ``_id``: a missing id is the SHA-256 of content and position, so
+    that different documents never share one, and the last document of an id (by ``order``)
+    wins."""
     content = [c for c in docs.columns if c != "_id"]
-    generated = F.concat(F.lit("doc_"), F.lower(F.hex(F.xxhash64(F.to_json(F.struct(*content))))))
+    text = F.to_json(F.struct(*content), {"ignoreNullFields": "false"})
+    generated = F.concat(F.lit("doc_"), F.sha2(text, 256))
     keyed = docs.withColumn("_id", F.coalesce(field(docs, "_id"), generated))
     return keep_one(keyed, ["_id"], [F.col(order).desc()])
