@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktake.operators.ordered import number_rows, ordered_groups
+from stocktake.operators.ordered import OrderedGroups, number_rows, ordered_groups
 from stocktake.session import broadcast_if_few, stage
 
 # Fixed value: the end date of a current version.
@@ -116,12 +116,16 @@ def _split_current(dim: DataFrame, changes: DataFrame, key: str) -> tuple[DataFr
 
 def scd2_compare(
     current: DataFrame, changes: DataFrame, key: str, tracked: list[str], day: str,
-    sequence: str, hot_rows: int | None = None,
+    sequence: str, hot_rows: int | None = None, previous: DataFrame | None = None,
+    surrogate: str | None = None,
 ) -> DataFrame:
     """``current`` versions and the change records in time order, with
     ``_status`` (NULL for an existing version) and the start of the next version.
 
-    Changes dated before the current version are marked late and open no version.
+    Changes dated before the current version are marked late and open no version. A change
+    on the day the current version began replaces it and takes over its ``surrogate``; where
+    it leads back to the values of the version before (one of ``previous``), that version
+    goes on. So a day's changes give the same versions in one batch or in several.
     """
     since = current.select(key, F.col("effective_date").alias("_since"))
     batch = (
@@ -131,7 +135,8 @@ def scd2_compare(
         .drop("_since")
         .withColumn("_step", F.lit(1))
     )
-    existing = current.withColumn("_step", F.lit(0)).withColumn("_late", F.lit(False))
+    known = current if previous is None else previous.unionByName(current)
+    existing = known.withColumn("_step", F.lit(0)).withColumn("_late", F.lit(False))
     rows = existing.unionByName(batch.where(~F.col("_late")), allowMissingColumns=True)
     late = batch.where("_late").withColumn("_status", F.lit(LATE))
 
@@ -151,7 +156,7 @@ def scd2_compare(
     )
     compared = daily.framed(lambda w: {"_status": status(w)}, preceding=1)
     versions = compared.each(lambda df: df.where(F.coalesce("_status", F.lit("")) != UNCHANGED))
-    versions = versions.framed(
+    versions = _replace_same_day(versions, tracked, surrogate).framed(
         lambda w: {"_next": F.lead("effective_date").over(w)}, following=1
     ).rows()
     same = compared.each(lambda df: df.where(F.col("_status") == UNCHANGED)).rows()
@@ -162,28 +167,75 @@ def scd2_compare(
     )
 
 
+def _replace_same_day(versions: OrderedGroups, tracked: list[str], surrogate: str | None) -> OrderedGroups:
+    """Versions without those that another one of the same day follows, and without a
+    follower that equals the version then before it."""
+
+    def pairs(w) -> dict[str, Column]:
+        follows = F.coalesce(F.lag("effective_date").over(w) == F.col("effective_date"), F.lit(False))
+        found = {"_gone": _superseded("effective_date", w), "_follows": follows}
+        if surrogate:
+            found[surrogate] = F.when(follows, F.lag(surrogate).over(w)).otherwise(F.col(surrogate))
+        return found
+
+    def back(w) -> dict[str, Column]:
+        before = F.lag(F.lit(True)).over(w).isNotNull()
+        return {"_back": F.col("_follows") & before & ~_differs(tracked, w)}
+
+    left = versions.framed(pairs, preceding=1, following=1).each(
+        lambda df: df.where("NOT _gone").drop("_gone")
+    )
+    return left.framed(back, preceding=1).each(
+        lambda df: df.where("NOT _back").drop("_back", "_follows")
+    )
+
+
+def _versions_before(
+    dim: DataFrame, touched: DataFrame, changes: DataFrame, key: str, day: str
+) -> tuple[DataFrame, DataFrame]:
+    """Closed versions: those right before a current version that a change of its first day
+    may replace, and the others. Few keys change twice a day, so they are broadcast if few."""
+    closed = dim.where(~F.col("is_current"))
+    days = changes.select(key, F.col(day).alias("end_date")).distinct()
+    starts = touched.select(key, F.col("effective_date").alias("end_date"))
+    twice = broadcast_if_few(stage(starts.join(days, [key, "end_date"]), "scd2-twice"))
+    on = [key, "end_date"]
+    return closed.join(twice, on, "left_semi"), closed.join(twice, on, "left_anti")
+
+
 def scd2_merge(
     dim: DataFrame, changes: DataFrame, key: str, tracked: list[str], day: str, sequence: str,
-    surrogate: str, hot_rows: int | None = None,
+    surrogate: str, hot_rows: int | None = None, rejects: str | None = None,
 ) -> DataFrame:
     """The dimension after a batch of changes: changed versions are closed, new ones
     inserted with fresh keys, everything else is passed through unshuffled when the
-    batch touches few keys. ``dim`` should be a stored table."""
+    batch touches few keys. ``dim`` should be a stored table. Changes that come too late
+    are written to the folder ``rejects``, if one is named.
+
+    Merging batch by batch gives the versions of ``scd2_history`` over all changes, wherever
+    the batches are cut, as long as no change is late."""
     touched, untouched = _split_current(dim, changes, key)
+    previous, closed = _versions_before(dim, touched, changes, key, day)
     compared = stage(
-        scd2_compare(touched, changes, key, tracked, day, sequence, hot_rows), "scd2-batch"
+        scd2_compare(
+            touched, changes, key, tracked, day, sequence, hot_rows, previous, surrogate
+        ),
+        "scd2-batch",
     )
+    if rejects:
+        late = compared.where(F.col("_status") == LATE).withColumnRenamed("effective_date", day)
+        late.select(*[c for c in changes.columns if c != sequence]).write.mode("overwrite").parquet(rejects)
     merged = (
         compared.where(F.col("_status").isNull() | F.col("_status").isin(INSERTED, UPDATED))
         .withColumn("end_date", F.coalesce("_next", open_end()))
         .withColumn("is_current", F.col("_next").isNull())
     )
     fresh = with_surrogate_keys(
-        merged.where(F.col("_status").isNotNull()).drop(surrogate),
+        merged.where(F.col(surrogate).isNull()).drop(surrogate),
         ["effective_date", key], surrogate, highest_key(dim, surrogate),
     )
-    known = merged.where(F.col("_status").isNull())
-    parts = [dim.where(~F.col("is_current")), untouched, known, fresh]
+    known = merged.where(F.col(surrogate).isNotNull())
+    parts = [closed, untouched, known, fresh]
     return reduce(DataFrame.unionByName, [p.select(*dim.columns) for p in parts])
 
 

@@ -86,6 +86,43 @@ def test_merge_in_batches_equals_replay(spark, hot_rows):
     assert keys == list(range(1, len(keys) + 1))
 
 
+@pytest.mark.parametrize("hot_rows", [10_000, 50])
+def test_merge_with_batch_borders_inside_a_day(spark, hot_rows):
+    data = sorted(random_changes(), key=lambda r: r[3])
+    size = len(data) // 3 + 1
+    batches = [data[i:i + size] for i in range(0, len(data), size)]
+    assert batches[0][-1][3] == batches[1][0][3] or batches[1][-1][3] == batches[2][0][3]
+    dim = W.with_surrogate_keys(
+        W.scd2_history(feed(spark, batches[0]), "id", TRACKED, "day", "seq"),
+        ["effective_date", "id"], "sk")
+    for batch in batches[1:]:
+        dim = W.scd2_merge(
+            dim, feed(spark, batch), "id", TRACKED, "day", "seq", "sk", hot_rows=hot_rows)
+    got = sorted(rows(dim, *COLUMNS), key=repr)
+    assert got == replay(data)
+    assert dim.where("effective_date >= end_date").count() == 0
+    assert dim.select("sk").distinct().count() == len(got)
+
+
+def test_second_change_of_a_day(spark):
+    """Replaces the version of that day under its key; back to the old values, the version
+    before goes on."""
+    dim = W.with_surrogate_keys(
+        W.scd2_history(feed(spark, [
+            ("a", "Rome", "plain", "2024-01-01", ""), ("a", "Oslo", "plain", "2024-02-01", ""),
+            ("b", "Rome", "plain", "2024-01-01", ""), ("b", "Oslo", "plain", "2024-02-01", ""),
+            ("c", "Rome", "plain", "2024-02-01", "")]), "id", TRACKED, "day", "seq"),
+        ["effective_date", "id"], "sk")
+    before = {(r.id, r.effective_date): r.sk for r in dim.collect()}
+    later = feed(spark, [("a", "Bonn", "plain", "2024-02-01", ""), ("b", "Rome", "plain", "2024-02-01", ""),
+                                  ("c", "Rome", "plain", "2024-02-01", "")])
+    got = W.scd2_merge(dim, later, "id", TRACKED, "day", "seq", "sk")
+    first, second = day("2024-01-01"), day("2024-02-01")
+    assert sorted(rows(got, "id", "city", "effective_date", "end_date", "sk")) == [
+        ("a", "Bonn", second, END, before["a", second]), ("a", "Rome", first, second, before["a", first]),
+        ("b", "Rome", first, END, before["b", first]), ("c", "Rome", second, END, before["c", second])]
+
+
 @pytest.fixture(scope="module")
 def walkthrough(spark):
     first = feed(spark, [("C1", "Rome", "plain", "2024-01-01", "a"), ("C2", "Oslo", "plain", "2024-01-01", "b")])
