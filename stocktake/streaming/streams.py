@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from stocktake.operators.warehouse import scd2_history, scd2_merge, with_surrogate_keys
 
 
-def read_stream(spark: SparkSession, folder: str, file_glob: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(folder)
+def read_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
+    """The table ``name`` below ``folder`` as a stream of files, be it one file or a folder of
+    them. The braces make the path a pattern, which may stand for either."""
+    return spark.readStream.schema(schema).parquet(f"{folder}/{{{name}}}")
 
 
 def run_available(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
@@ -31,6 +35,33 @@ def run_available(df: DataFrame, out: str, checkpoint: str, mode: str = "append"
     return query
 
 
+def run_latest(df: DataFrame, keys: list[str], out: str, checkpoint: str) -> DataFrame:
+    """Process what is there, then stop; gives the latest state of every key.
+
+    Each micro-batch writes the keys it changed to a folder of its own, again if it is
+    repeated; groups still open are part of it. The highest batch of a key counts.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    write(df.sparkSession.createDataFrame([], df.schema), -1)  # there may be no batch at all
+    df.writeStream.foreachBatch(write).outputMode("update").option(
+        "checkpointLocation", checkpoint
+    ).trigger(availableNow=True).start().awaitTermination()
+    schema = T.StructType([*df.schema, T.StructField("batch", T.LongType())])
+    written = df.sparkSession.read.schema(schema).parquet(out)
+    latest = F.max_by(F.struct(*df.columns), "batch").alias("row")
+    return written.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(latest).select("row.*")
+
+
+def first_per_key(events: DataFrame, keys: list[str], at: str, event_id: str) -> DataFrame:
+    """The first event of every key by time, ties to the smaller id. Holds over any span of
+    time; the state is one time and id per key. For ``run_latest``."""
+    first = F.min(F.struct(at, event_id)).alias("first")
+    return events.groupBy(*keys).agg(first).select(*keys, f"first.{at}", f"first.{event_id}")
+
+
 def windowed_revenue(
     events: DataFrame, at: str, amount: str, length: str, delay: str, slide: str | None = None
 ) -> DataFrame:
@@ -46,7 +77,8 @@ def windowed_revenue(
 
 
 def drop_repeats(events: DataFrame, keys: list[str], at: str, delay: str) -> DataFrame:
-    """First arrival per key; state is kept only as long as the watermark needs it."""
+    """First arrival per key. Keys are remembered for ``delay`` only, so a repeat that comes
+    later than that is let through; ``first_per_key`` has no such limit."""
     return events.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
 
 
@@ -68,15 +100,22 @@ class FirstInWindow(StatefulProcessor):
     def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
         start = self.start.get()[0] if self.start.exists() else None
         batch = pd.concat(list(rows)).sort_values(["at", "event_id"], kind="stable")
-        repeats = []
-        for at in batch["at"]:
-            inside = start is not None and (self.micros <= 0 or at <= start + self.micros)
-            repeats.append(inside)
-            if not inside:
-                start = at
+        times = batch["at"].to_numpy()
+        repeats = np.ones(len(times), bool)
+        at = 0 if start is None else self._after(times, start)
+        while at < len(times):
+            repeats[at] = False
+            start = int(times[at])
+            at = max(at + 1, self._after(times, start))
         self.start.update((int(start),))
         yield batch.assign(is_repeat=repeats)[["key", "event_id", "at", "is_repeat"]]
 
+    def _after(self, times: np.ndarray, start: int) -> int:
+        """Place of the first event outside the window opened at ``start``."""
+        if self.micros <= 0:
+            return len(times)
+        return int(np.searchsorted(times, start + self.micros, side="right"))
+
     def close(self) -> None:
         pass
 
@@ -115,8 +154,26 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return max(done, default=None)
 
 
+def _claim_version(spark: SparkSession, root: str, batch: str, free: int) -> int:
+    """The version that ``batch`` has claimed before, or ``free``, which it claims now. A claim
+    on ``free`` that another batch left without completing the version is void."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    base = path(f"{root}/_merged")
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(path(f"{root}/_merged/version=*/{batch}")) or []
+    claims = [int(s.getPath().getParent().getName().split("=")[1]) for s in found]
+    if claims:
+        return max(claims)
+    fs.delete(path(f"{root}/_merged/version={free}"), True)
+    fs.mkdirs(path(f"{root}/_merged/version={free}/{batch}"))
+    return free
+
+
 def read_dimension(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     version = latest_version(spark, root)
+    if version is None:
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{root}/version={version}")
 
 
@@ -126,24 +183,32 @@ def scd2_stream(
 ) -> StreamingQuery:
     """Merge each micro-batch of changes into the dimension below ``root``.
 
-    A batch writes a whole new version folder named after its batch id and reads the one
-    before it, so a repeated batch gives the same folder and readers never see half.
+    A batch writes a whole new version folder and reads the newest complete one, whichever
+    stream wrote that, so readers never see half and a new checkpoint goes on from the stored
+    dimension. ``<root>/_merged`` says which batch of which checkpoint a version holds: a
+    repeated batch is written again, or left if it was completed. Changes that come too late
+    are in ``<root>/_rejects/version=N``. One stream at a time may write to a dimension.
     """
+    source = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if batch.isEmpty():
             return
         known = latest_version(spark, root)
-        while known is not None and known >= batch_id:
-            known = known - 1 if known > 0 else None
+        version = _claim_version(spark, root, f"{source}-{batch_id}", 0 if known is None else known + 1)
+        if known is not None and version <= known:
+            return
         if known is None:
             built = scd2_history(batch, key, tracked, day, sequence)
             result = with_surrogate_keys(built, ["effective_date", key], surrogate)
         else:
             dim = spark.read.parquet(f"{root}/version={known}")
-            result = scd2_merge(dim, batch, key, tracked, day, sequence, surrogate)
-        result.write.mode("overwrite").parquet(f"{root}/version={batch_id}")
+            result = scd2_merge(
+                dim, batch, key, tracked, day, sequence, surrogate,
+                rejects=f"{root}/_rejects/version={version}",
+            )
+        result.write.mode("overwrite").parquet(f"{root}/version={version}")
 
     query = (
         changes.writeStream.foreachBatch(merge)

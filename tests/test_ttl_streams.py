@@ -98,3 +98,59 @@ def test_sliding_windows_and_late_events(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     first = got.where(F.col("window_start") == F.lit("2024-01-01 00:00:00").cast("timestamp"))
     assert rows(first, "revenue", "n") == [(2, 2)]
+
+
+def test_scd2_stream_goes_on_from_a_stored_dimension(spark, tmp_path):
+    src, root = str(tmp_path / "src"), str(tmp_path / "dim")
+    schema = "id long, city string, day date, seq long"
+
+    def load(folder, checkpoint, *data):
+        batch = spark.createDataFrame([(i, c, day(d), s) for i, c, d, s in data], schema)
+        batch.coalesce(1).write.mode("append").parquet(f"{src}/{folder}")
+        changes = spark.readStream.schema(schema).parquet(f"{src}/{folder}")
+        X.scd2_stream(changes, root, str(tmp_path / checkpoint), "id", ["city"], "day", "seq", "sk")
+
+    load("one", "ck1", (1, "A", "2024-02-01", 1), (2, "B", "2024-02-01", 2))
+    load("two", "ck2", (1, "C", "2024-03-01", 3), (2, "Z", "2024-01-01", 4))  # a new checkpoint
+    version = X.latest_version(spark, root)
+    dim = spark.read.parquet(f"{root}/version={version}")
+    assert sorted(rows(dim, "id", "city", "is_current")) == [(1, "A", False), (1, "C", True), (2, "B", True)]
+    late = spark.read.parquet(f"{root}/_rejects")
+    assert rows(late, "id", "city", "day") == [(2, "Z", day("2024-01-01"))]
+
+
+def test_a_repeated_batch_keeps_its_version(spark, tmp_path):
+    root = str(tmp_path)
+    spark.range(1).write.parquet(f"{root}/version=0")
+    assert X._claim_version(spark, root, "s-1", 1) == 1
+    assert X._claim_version(spark, root, "s-1", 2) == 1
+    assert X._claim_version(spark, root, "t-1", 1) == 1  # version 1 was never completed
+    assert X._claim_version(spark, root, "s-1", 2) == 2
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_streams_read_files_and_folders(spark, tmp_path, folder):
+    where = tmp_path / "t.parquet"
+    data = spark.createDataFrame([(1, "a", T0, 7), (1, "a", T0 + dt.timedelta(days=400), 3), (2, "a", T0, 9)],
+                                 "user long, kind string, ts timestamp, n long")
+    data.coalesce(1).write.parquet(str(where) if folder else str(tmp_path / "parts"))
+    if not folder:
+        part = next((tmp_path / "parts").glob("part-*.parquet"))
+        where.write_bytes(part.read_bytes())
+    events = X.read_stream(spark, str(tmp_path), "t.parquet", data.schema)
+    first = X.first_per_key(events, ["user", "kind"], "ts", "n")
+    got = X.run_latest(first, ["user", "kind"], str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert sorted(rows(got, "user", "n")) == [(1, 7), (2, 9)]
+
+
+def test_latest_state_over_batches(spark, tmp_path):
+    src = str(tmp_path / "src")
+    schema = "ts timestamp, v long"
+    for minutes in ((1, 6, 40), (41, 90)):
+        data = [(T0 + dt.timedelta(minutes=m), 1) for m in minutes]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(src)
+        events = spark.readStream.schema(schema).parquet(src)
+        summed = X.windowed_revenue(events, "ts", "v", "10 minutes", "5 minutes")
+        got = X.run_latest(summed, ["window_start"], str(tmp_path / "out"), str(tmp_path / "ck"))
+    found = {(r.window_end - r.window_start, r.n) for r in got.collect()}
+    assert sorted(r.n for r in got.collect()) == [1, 2, 2] and len(found) == 2
