@@ -93,7 +93,7 @@ FROM ranked"""
 
 
 def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text without the lines that an earlier document, or place, has."""
+    """Every text without the lines and sentences that an earlier document, or place, has."""
     kept = substring.dedup(table(prepare(spark), sf_dir, "documents"))
     span = F.transform("spans", lambda s: F.concat_ws("-", s["begin"], s["end"]))
     return kept.select(
@@ -107,16 +107,20 @@ WITH docs AS (
          md5(coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(coalesce(text, ''))) AS row
   FROM documents),
 lines AS (
-  SELECT row, doc_id, unnest(string_split(t, chr(10))) AS u,
-         unnest(range(len(string_split(t, chr(10))))) AS i
+  SELECT row, doc_id, unnest(regexp_extract_all(t, '{LINE}')) AS line,
+         unnest(range(len(regexp_extract_all(t, '{LINE}')))) AS l
   FROM (SELECT DISTINCT row, doc_id, t FROM docs)),
+parts AS (
+  SELECT row, doc_id, l, unnest(ps) AS u, unnest(range(len(ps))) AS p, len(ps) = 1 AS alone
+  FROM (SELECT *, regexp_extract_all(line, '{SENTENCE}') AS ps FROM lines)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY l, p) AS i FROM parts),
 normal AS (
   SELECT *, trim(regexp_replace(lower(u), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS plain,
-         coalesce(sum(length(u) + 1) OVER (PARTITION BY row ORDER BY i
+         coalesce(sum(length(u)) OVER (PARTITION BY row ORDER BY i
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM lines),
+  FROM placed),
 worded AS (
-  SELECT row, doc_id, i, plain, len(string_split(plain, ' ')) AS words,
+  SELECT row, doc_id, i, plain, alone, len(string_split(plain, ' ')) AS words,
          row_number() OVER (PARTITION BY row ORDER BY i) AS place
   FROM normal WHERE plain <> ''),
 later AS (
@@ -125,7 +129,9 @@ later AS (
         FROM worded)
   WHERE nth > 1),
 removed AS (
-  SELECT row, i, words FROM (SELECT *, sum(words) OVER (PARTITION BY row, run) AS length FROM later)
+  SELECT row, i, words FROM (
+    SELECT *, sum(CASE WHEN alone OR words >= 5 THEN words ELSE 0 END) OVER (PARTITION BY row, run)
+                AS length FROM later)
   WHERE length >= 10),
 totals AS (
   SELECT row, count(*) AS units, sum(words) AS words FROM removed GROUP BY row),
@@ -133,7 +139,7 @@ kept AS (
   SELECT n.row, n.i, n.u, n.start, n.start + length(n.u) AS stop,
          n.i - row_number() OVER (PARTITION BY n.row ORDER BY n.i) AS island
   FROM normal n SEMI JOIN totals USING (row) ANTI JOIN removed r ON n.row = r.row AND n.i = r.i),
-texts AS (SELECT row, string_agg(u, chr(10) ORDER BY i) AS rest FROM kept GROUP BY row),
+texts AS (SELECT row, string_agg(u, '' ORDER BY i) AS rest FROM kept GROUP BY row),
 islands AS (
   SELECT row, min(start) AS a, max(stop) AS b FROM kept GROUP BY row, island),
 spans AS (
@@ -144,7 +150,7 @@ SELECT d.doc_id,
        CASE WHEN c.row IS NULL THEN '0-' || length(d.t) ELSE coalesce(s.spans, '') END AS spans,
        CAST(coalesce(c.units, 0) AS BIGINT) AS units_removed,
        CAST(coalesce(c.words, 0) AS BIGINT) AS words_removed
-FROM docs d LEFT JOIN totals c USING (row) LEFT JOIN texts x USING (row) LEFT JOIN spans s USING (row)"""
+FROM docs d LEFT JOIN totals c USING (row) LEFT JOIN texts x USING (row) LEFT JOIN spans s USING (row)""".replace("{LINE}", substring.LINE).replace("{SENTENCE}", substring.SENTENCE)
 
 
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

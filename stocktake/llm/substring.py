@@ -1,14 +1,18 @@
-"""Substring dedup by line (or paragraph) hashing.
-
-A text is cut at a separator. Each unit that has a word is normalised (lower case, white
-space runs as one space) and hashed; the digests of all documents are grouped, and the
-occurrence ranked first (smallest document id, then place) is the one that stays. Repeats
-are removed in runs: consecutive repeated units of a document go if the run has at least
-``min_words`` words. What stays keeps its original offsets.
+"""Substring dedup by hashing lines (or paragraphs) and the sentences in them.
+
+A text is cut into lines, and lines into sentences, so that a passage is found in whatever
+line it stands. Each unit that has a word is normalised (lower case, white space runs as one
+space) and hashed; the digests of all documents are grouped, and the occurrence ranked first
+(smallest document id, then place) is the one that stays. Repeats are removed in runs:
+consecutive repeated units of a document go if the run has at least ``min_words`` words.
+Sentences of few words repeat by chance, so they only count where they are a line of their
+own. What stays keeps its original offsets.
 """
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +21,13 @@ from pyspark.sql import window as W
 from stocktake.llm.shared import fresh, named, whole
 from stocktake.session import stage
 
-LINE = "\n"
-PARAGRAPH = "\n\n"
+# Patterns whose matches, one after the other, are the whole text. White space after an end
+# belongs to what it ends.
+LINE = r"[^\n]*\n|[^\n]+"
+PARAGRAPH = r"(?s).+?\n\n+|.+"
+SENTENCE = r"[^.!?。！？।]+[.!?。！？।\x20\t\n\x0B\f\r]*|[.!?。！？।][.!?。！？।\x20\t\n\x0B\f\r]*"
 MIN_WORDS = 10
+SENTENCE_WORDS = 5  # words from which a sentence within a line counts
 
 # The white space of normalisation.
 _BLANK = " \t\n\x0b\f\r"
@@ -31,31 +39,44 @@ def _row_key(key: str, text: str) -> Column:
     return F.unhex(F.md5(F.concat_ws(":", own, F.md5(whole(text)))))
 
 
-def units(df: DataFrame, key: str, text: str, separator: str = LINE) -> DataFrame:
-    """One row per unit with a word: row key, document id, place among these units, digest and
-    number of words."""
-    normal = F.transform(
-        F.split(F.lower(whole(text)), separator),
-        lambda u: F.trim(F.regexp_replace(u, r"[ \t\n\x0B\f\r]+", " ")),
+def units(df: DataFrame, key: str, text: str, line: str = LINE, part: str = SENTENCE) -> DataFrame:
+    """One row per unit with a word: row key, document id, place among these units, digest,
+    number of words, and the number that counts for a run."""
+    parts = F.transform(
+        F.regexp_extract_all(F.lower(whole(text)), F.lit(line), F.lit(0)),
+        lambda l: F.regexp_extract_all(l, F.lit(part), F.lit(0)),
     )
-    worded = F.filter(normal, lambda u: u != "")
+    normal = F.flatten(
+        F.transform(
+            parts,
+            lambda ps: F.transform(
+                ps,
+                lambda p: F.struct(
+                    F.trim(F.regexp_replace(p, r"[ \t\n\x0B\f\r]+", " ")).alias("plain"),
+                    (F.size(ps) == 1).alias("alone"),
+                ),
+            ),
+        )
+    )
+    worded = F.filter(normal, lambda u: u["plain"] != "")
+    plain = F.col("unit.plain")
+    words = F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 1
     return (
         df.select(_row_key(key, text).alias("row"), named(key).alias("doc"), worded.alias("units"))
         .select("row", "doc", F.posexplode("units").alias("place", "unit"))
         .select(
-            "row", "doc", "place",
-            F.unhex(F.md5("unit")).alias("digest"),
-            (F.length("unit") - F.length(F.replace("unit", F.lit(" "))) + 1).alias("words"),
-        )
-    )
+            "row", "doc", "place", F.unhex(F.md5(plain)).alias("digest"), words.alias("words"),
+            F.when(F.col("unit.alone") | (words >= SENTENCE_WORDS), words).otherwise(0).alias("counted"),
+        )
+    )
 
 
 def repeats(
-    df: DataFrame, key: str = "doc_id", text: str = "text", separator: str = LINE,
+    df: DataFrame, key: str = "doc_id", text: str = "text", line: str = LINE, part: str = SENTENCE,
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """Per document with repeats to remove: row key, places (sorted) and words removed."""
-    found = units(df, key, text, separator)
+    found = units(df, key, text, line, part)
     rank = F.struct(F.col("doc").isNull().alias("last"), "doc", "row", "place")
     # Staged, so that neither side of the join is an aggregate: Spark can split a hot digest.
     groups = stage(
@@ -69,10 +90,12 @@ def repeats(
         "row <> kept_row OR place <> kept_place"
     )
     # Repeated rows of the table give the same units twice.
-    once = later.groupBy("row", "place").agg(F.first("words").alias("words"))
+    once = later.groupBy("row", "place").agg(
+        F.first("words").alias("words"), F.first("counted").alias("counted")
+    )
     along = W.Window.partitionBy("row").orderBy("place")
     runs = once.withColumn("run", F.col("place") - F.row_number().over(along))
-    length = F.sum("words").over(W.Window.partitionBy("row", "run"))
+    length = F.sum("counted").over(W.Window.partitionBy("row", "run"))
     return (
         runs.withColumn("length", length)
         .where(F.col("length") >= min_words)
@@ -81,42 +104,40 @@ def repeats(
     )
 
 
-def _without(separator: str):
+def _without(line: str, part: str):
+    lines, parts = re.compile(line), re.compile(part)
+
     @F.pandas_udf("text string, spans array<struct<begin:long,end:long>>")
     def cut(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
         out = []
         for text, gone in zip(texts, places):
             gone = {int(p) for p in gone}
-            kept, spans, at, place = [], [], 0, 0
-            for unit in text.split(separator):
+            spans, at, place = [], 0, 0
+            for unit in (p for l in lines.finditer(text) for p in parts.findall(l.group())):
                 end = at + len(unit)
-                if unit.strip(_BLANK):
-                    place += 1
-                    stays = place - 1 not in gone
-                else:
-                    stays = True
-                if stays:
-                    kept.append(unit)
-                    if spans and spans[-1]["end"] + len(separator) == at:
+                worded = bool(unit.strip(_BLANK))
+                if not (worded and place in gone):
+                    if spans and spans[-1]["end"] == at:
                         spans[-1]["end"] = end
                     else:
                         spans.append({"begin": at, "end": end})
-                at = end + len(separator)
-            out.append({"text": separator.join(kept), "spans": spans})
+                at, place = end, place + worded
+            out.append({"text": "".join(text[s["begin"] : s["end"]] for s in spans), "spans": spans})
         return pd.DataFrame(out, columns=["text", "spans"])
 
     return cut
 
 
 def dedup(
-    df: DataFrame, key: str = "doc_id", text: str = "text", separator: str = LINE,
+    df: DataFrame, key: str = "doc_id", text: str = "text", line: str = LINE, part: str = SENTENCE,
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """``df`` as a struct column ``doc`` with its rest: text, spans, units_removed and
     words_removed.
 
-    ``text`` is what stays, joined by the separator, and ``spans`` are the stretches
-    [begin, end) of the original, in code points, that it is made of. A text without repeats
+    ``text`` is what stays, and ``spans`` are the stretches [begin, end) of the original, in
+    code points, that it is made of. Of a passage that starts or ends within a sentence, that
+    sentence stays; text without line or sentence ends is one unit. A text without repeats
     is passed on as it is (null stays null) in one span. Documents of which nothing stays
     have an empty text; none is dropped.
 
@@ -131,7 +152,7 @@ def dedup(
         F.struct(*[named(c).alias(c) for c in df.columns]).alias(inner),
         _row_key(key, text).alias(row),
     )
-    marked = repeats(df, key, text, separator, min_words).withColumnRenamed("row", row)
+    marked = repeats(df, key, text, line, part, min_words).withColumnRenamed("row", row)
     joined = docs.join(marked, row, "left")
     original = F.col(inner)[text]
     changed = F.col("places").isNotNull()
@@ -139,7 +160,7 @@ def dedup(
     # Python sees the changed texts only.
     some = joined.withColumn(
         cut,
-        _without(separator)(
+        _without(line, part)(
             F.when(changed, original).otherwise(F.lit("")),
             F.coalesce("places", F.array().cast("array<int>")),
         ),

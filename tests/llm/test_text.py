@@ -126,14 +126,23 @@ def test_mix(llm):
     assert mixing.mix(docs(llm, rows).limit(0)).count() == 0
 
 
+def pieces(text):
+    """(piece, whether it is a line of its own): lines cut after the ends of sentences."""
+    for line in re.split("(?<=\n)", text):
+        cut = re.split(r"(?<=[.!?。！？।])(?=[^.!?。！？। \t\n\x0b\f\r])|(?<=[.!?。！？।][ \t\n\x0b\f\r])(?=[^.!?。！？। \t\n\x0b\f\r])"
+                       r"|(?<=[.!?。！？।][ \t\n\x0b\f\r]{2})(?=[^.!?。！？। \t\n\x0b\f\r])", line)
+        yield from ((c, len(cut) == 1) for c in cut if c)
+
+
 def brute_lines(rows, least=10):
     keyed = sorted({(d is None, d, t or "") for d, t in rows}, key=lambda r: (r[0], r[1] or 0))
     seen, out = set(), {}
     for _, doc, text in keyed:
         marks = []
-        for line in text.split("\n"):
-            plain = re.sub("[ \t\n\x0b\f\r]+", " ", line.lower()).strip(" ")
-            marks.append((line, len(plain.split(" ")) if plain else 0, plain in seen))
+        for piece, alone in pieces(text):
+            plain = re.sub("[ \t\n\x0b\f\r]+", " ", piece.lower()).strip(" ")
+            words = len(plain.split(" ")) if plain else 0
+            marks.append((piece, words, plain in seen, words if alone or words >= 5 else 0))
             if plain:
                 seen.add(plain)
         worded, kept = [i for i, m in enumerate(marks) if m[1]], set(range(len(marks)))
@@ -142,19 +151,22 @@ def brute_lines(rows, least=10):
             if i is not None and marks[i][2]:
                 run.append(i)
                 continue
-            if sum(marks[j][1] for j in run) >= least:
+            if sum(marks[j][3] for j in run) >= least:
                 kept -= set(run)
             run = []
-        out[doc, text] = "\n".join(marks[i][0] for i in sorted(kept))
+        out[doc, text] = "".join(marks[i][0] for i in sorted(kept))
     return out
 
 
 def test_repeated_lines(llm):
     long, short = " ".join(f"w{i}" for i in range(60)), "few words"
+    passage = " ".join(" ".join(f"p{i}" for i in range(n, n + 9)) + "." for n in range(0, 63, 9))
     rows = [
         (1, f"start\n{long}\nend"), (2, f"other\n\n  {long.upper()} \nmore"), (3, long), (4, f"{short}\n{short}"),
         (5, f"{short}\nalone"), (6, "a b c d e\nf g h i j"), (7, "x\na b c d e\n\nf g h i j\ny"), (8, None), (9, ""),
         (10, "q\n" * 30), (11, "unique text"), (11, "unique text"), (None, long),
+        (12, f"Begin here. {passage} The end."), (13, f"Another way to begin, {passage} Done.\n  And on."),
+        (14, "Ja. Nein. Ja ja. So so. Ja. Nein. Ja ja. So so. Ja. Nein. Ja ja. So so."),
     ]
     source = docs(llm, rows).withColumn("spans", mixing.words())
     got = substring.dedup(source).select("doc.doc_id", "doc.text", "text", "spans").collect()
@@ -162,7 +174,10 @@ def test_repeated_lines(llm):
     assert len(got) == len(rows)
     for doc, original, text, spans in [tuple(r) for r in got]:
         assert (text or "") == want[doc, original or ""]
-        assert "\n".join((original or "")[s.begin : s.end] for s in spans) == (text or "")
+        assert "".join((original or "")[s.begin : s.end] for s in spans) == (text or "")
+    texts = {r.doc_id: r[2] for r in got}
+    assert texts[13].split() == ["Another", "way", "to", "begin,", *passage.split()[:9], "Done.", "And", "on."]
+    assert texts[14].startswith("Ja. Nein.") and len(texts[14].split()) == 18
     assert substring.dedup(source.limit(0)).count() == 0
 
 
