@@ -150,7 +150,8 @@ SELECT d.doc_id,
        CASE WHEN c.row IS NULL THEN '0-' || length(d.t) ELSE coalesce(s.spans, '') END AS spans,
        CAST(coalesce(c.units, 0) AS BIGINT) AS units_removed,
        CAST(coalesce(c.words, 0) AS BIGINT) AS words_removed
-FROM docs d LEFT JOIN totals c USING (row) LEFT JOIN texts x USING (row) LEFT JOIN spans s USING (row)""".replace("{LINE}", substring.LINE).replace("{SENTENCE}", substring.SENTENCE)
+FROM docs d LEFT JOIN totals c USING (row) LEFT JOIN texts x USING (row) LEFT JOIN spans s USING (row)"""
+REPEATED_LINES_SQL = REPEATED_LINES_SQL.replace("{LINE}", substring.LINE).replace("{SENTENCE}", substring.SENTENCE)
 
 
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,10 +22,11 @@ from stocktake.llm.shared import fresh, named, whole
 from stocktake.session import stage
 
 # Patterns whose matches, one after the other, are the whole text. White space after an end
-# belongs to what it ends.
+# belongs to what it ends. The ends of scripts that put no space between words are left out:
+# their sentences would be of too few words to count.
 LINE = r"[^\n]*\n|[^\n]+"
 PARAGRAPH = r"(?s).+?\n\n+|.+"
-SENTENCE = r"[^.!?。！？।]+[.!?。！？।\x20\t\n\x0B\f\r]*|[.!?。！？।][.!?。！？।\x20\t\n\x0B\f\r]*"
+SENTENCE = r"[^.!?]+[.!?\x20\t\n\x0B\f\r]*|[.!?][.!?\x20\t\n\x0B\f\r]*"
 MIN_WORDS = 10
 SENTENCE_WORDS = 5  # words from which a sentence within a line counts
 

@@ -129,8 +129,8 @@ def test_mix(llm):
 def pieces(text):
     """(piece, whether it is a line of its own): lines cut after the ends of sentences."""
     for line in re.split("(?<=\n)", text):
-        cut = re.split(r"(?<=[.!?。！？।])(?=[^.!?。！？। \t\n\x0b\f\r])|(?<=[.!?。！？।][ \t\n\x0b\f\r])(?=[^.!?。！？। \t\n\x0b\f\r])"
-                       r"|(?<=[.!?。！？।][ \t\n\x0b\f\r]{2})(?=[^.!?。！？। \t\n\x0b\f\r])", line)
+        cut = re.split(r"(?<=[.!?])(?=[^.!? \t\n\x0b\f\r])|(?<=[.!?][ \t\n\x0b\f\r])(?=[^.!? \t\n\x0b\f\r])"
+                       r"|(?<=[.!?][ \t\n\x0b\f\r]{2})(?=[^.!? \t\n\x0b\f\r])", line)
         yield from ((c, len(cut) == 1) for c in cut if c)
 
 
