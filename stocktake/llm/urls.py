@@ -1,7 +1,7 @@
 """URL filter: rules, and a tree of path templates per host for what no rule decides.
 
 Segments of a path that vary become wildcards: a branch stays literal only if it holds enough
-pages of its node. Sibling branches whose labelled shares do not differ beyond chance are
+pages, however many its node has. Sibling branches whose labelled shares do not differ beyond chance are
 merged into one. A template is rejected if its share of good pages, smoothed towards its
 host's and the corpus's share, is under a threshold.
 """
@@ -24,7 +24,6 @@ RULES = (
 )
 DEPTH = 3  # segments told apart; what follows counts as part of the last
 LEAST = 20  # pages that a literal branch has at least
-SHARE = 0.02  # and its share of the pages of its node
 Z = 1.96  # sibling branches closer than this many standard errors are one
 PRIOR = 20.0  # labelled pages that the smoothing counts as
 PURITY = 0.5
@@ -54,8 +53,8 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def with_templates(pages: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Adds ``template`` to rows with host and path. Counts are taken over all rows; the
-    branches that stay literal are few (at most 1/SHARE per node)."""
+    """Adds ``template`` to rows with host and path. Counts are taken over all rows; a
+    branch of at least LEAST pages stays literal."""
     parts = F.slice(F.split("path", "/"), 2, 1 << 30)
     last = F.array_join(F.slice("parts", depth, 1 << 30), "/")
     cut = F.when(F.size("parts") > depth, F.concat(F.slice("parts", 1, depth - 1), F.array(last)))
@@ -66,16 +65,11 @@ def with_templates(pages: DataFrame, depth: int = DEPTH) -> DataFrame:
     )
     for level in range(depth):
         rows = rows.withColumn("segment", F.get("parts", F.lit(level)))
-        branches = (
+        literal = stage(
             rows.where("segment IS NOT NULL")
             .groupBy("host", "template", "segment")
             .agg(F.count("*").alias("n"))
             .where(F.col("n") >= LEAST)
-        )
-        nodes = rows.groupBy("host", "template").agg(F.count("*").alias("all"))
-        literal = stage(
-            branches.join(nodes, ["host", "template"])
-            .where(F.col("n") >= SHARE * F.col("all"))
             .select("host", "template", "segment", F.lit(True).alias("literal")),
             "branches",
         )
@@ -136,8 +130,8 @@ def judged(
     Null and repeated keys give a row for each page; other columns are left out; an empty
     table gives an empty result.
 
-    Only counts of branches and templates are joined back to the pages; they are few, and
-    Spark broadcasts them only under its size limit.
+    Only branches and templates are joined back to the pages; they are staged, and Spark
+    broadcasts them only under its size limit.
     """
     host, path = host_and_path(named(url))
     parsed = pages.select(named(key).alias("page"), host.alias("host"), path.alias("path"))

@@ -90,6 +90,16 @@ def test_urls(llm):
     assert urls.judged(pages.limit(0), labels).count() == 0
 
 
+def test_small_section_of_a_hot_host(llm):
+    """Sections of one in a hundred pages of a host, and one of sixty of another."""
+    rows = [(i, f"http://hot.net/s{i % 100}/{i}.html", int(i % 100 == 7)) for i in range(4000)]
+    rows += [(10_000 + i, f"http://even.net/s{i % 60}/{i}.html", int(i % 60 == 9)) for i in range(1800)]
+    pages = llm.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = llm.createDataFrame([(r[0], r[2]) for r in rows], "page_id long, bad int")
+    got = {r.page_id: r.verdict for r in urls.judged(pages, labels).collect()}
+    assert got == {key: "block" if bad else "allow" for key, _, bad in rows}
+
+
 def brute_signatures(text):
     import regex
 
