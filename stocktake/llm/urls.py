@@ -8,6 +8,8 @@ host's and the corpus's share, is under a threshold.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,6 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-DEPTH = 3  # segments told apart; what follows counts as part of the last
 LEAST = 20  # pages that a literal branch has at least
 Z = 1.96  # sibling branches closer than this many standard errors are one
 PRIOR = 20.0  # labelled pages that the smoothing counts as
@@ -52,50 +53,65 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def with_templates(pages: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Adds ``template`` to rows with host and path. Counts are taken over all rows; a
-    branch of at least LEAST pages stays literal."""
-    parts = F.slice(F.split("path", "/"), 2, 1 << 30)
-    last = F.array_join(F.slice("parts", depth, 1 << 30), "/")
-    cut = F.when(F.size("parts") > depth, F.concat(F.slice("parts", 1, depth - 1), F.array(last)))
-    rows = (
-        pages.withColumn("parts", parts)
-        .withColumn("parts", F.coalesce(cut, F.col("parts")))
-        .withColumn("template", F.lit(""))
-    )
-    for level in range(depth):
-        rows = rows.withColumn("segment", F.get("parts", F.lit(level)))
-        literal = stage(
-            rows.where("segment IS NOT NULL")
-            .groupBy("host", "template", "segment")
-            .agg(F.count("*").alias("n"))
+def with_templates(pages: DataFrame) -> DataFrame:
+    """Adds ``template`` to rows with host and path. Counts are taken over all rows.
+
+    Level by level, a segment stays literal with at least LEAST pages of its node; the others
+    are one wildcard, and go on as a node if they are as many together. Of a node with fewer
+    pages all that follows is one wildcard. Every level needs LEAST pages that reach it, so
+    the rounds end with the paths.
+    """
+    rows, level, done = pages.withColumn("template", F.lit("")), 0, []
+    while True:
+        rows = rows.withColumn("segment", F.get(F.split("path", "/"), F.lit(level + 1)))
+        counts = rows.where("segment IS NOT NULL").groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
+        nodes = stage(
+            counts.groupBy("host", "template", F.when(F.col("n") >= LEAST, F.col("segment")).alias("segment"))
+            .agg(F.sum("n").alias("n"))
             .where(F.col("n") >= LEAST)
-            .select("host", "template", "segment", F.lit(True).alias("literal")),
+            .drop("n"),
             "branches",
         )
-        shown = F.when(F.col("literal"), F.col("segment")).otherwise("*")
-        rows = (
+        wild = F.concat("template", F.lit("/*"))
+        if nodes.isEmpty():
+            last = F.when(F.col("segment").isNull(), F.col("template")).otherwise(wild)
+            done.append(rows.withColumn("template", last).drop("segment"))
+            break
+        literal = nodes.where("segment IS NOT NULL").withColumn("literal", F.lit(True))
+        others = nodes.where("segment IS NULL").select("host", "template", F.lit(True).alias("others"))
+        shown = F.when(F.col("literal"), F.concat("template", F.lit("/"), "segment")).otherwise(wild)
+        goes_on = F.col("segment").isNotNull() & (F.col("literal").isNotNull() | F.col("others").isNotNull())
+        stepped = stage(
             rows.join(literal, ["host", "template", "segment"], "left")
-            .withColumn(
-                "template",
-                F.when(F.col("segment").isNull(), F.col("template")).otherwise(
-                    F.concat("template", F.lit("/"), shown)
-                ),
-            )
-            .drop("segment", "literal")
+            .join(others, ["host", "template"], "left")
+            .select(
+                *pages.columns,
+                F.when(F.col("segment").isNull(), F.col("template")).otherwise(shown).alias("template"),
+                goes_on.alias("goes_on"),
+            ),
+            "level",
         )
-    return rows.drop("parts")
+        done.append(stepped.where("NOT goes_on").drop("goes_on"))
+        rows, level = stepped.where("goes_on").drop("goes_on"), level + 1
+    return reduce(DataFrame.unionByName, done)
 
 
-def merged(templates: DataFrame, depth: int = DEPTH) -> DataFrame:
+def merged(templates: DataFrame) -> DataFrame:
     """Adds ``branch`` to rows of host, template, labelled, bad: the template after similar
     siblings were merged, from the leaves up."""
     rows = templates.withColumn("branch", F.split("template", "/"))
+    depth = (rows.agg(F.max(F.size("branch"))).first()[0] or 1) - 1
     for level in range(depth, 0, -1):
         rows = rows.withColumn("above", F.slice("branch", 1, level)).withColumn("own", F.get("branch", F.lit(level)))
-        child = rows.groupBy("host", "above", "own").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
-        node = rows.groupBy("host", "above").agg(
-            F.sum("labelled").alias("all_n"), F.sum("bad").alias("all_b"), F.count_distinct("own").alias("branches")
+        # Staged, so that every level reads what the one before found instead of finding it again.
+        child = stage(
+            rows.where(F.size("branch") >= level)
+            .groupBy("host", "above", "own")
+            .agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")),
+            "children",
+        )
+        node = child.groupBy("host", "above").agg(
+            F.sum("n").alias("all_n"), F.sum("b").alias("all_b"), F.count("own").alias("branches")
         )
         rest_n, rest_b = F.col("all_n") - F.col("n"), F.col("all_b") - F.col("b")
         known = (F.col("n") > 0) & (rest_n > 0)
@@ -108,11 +124,12 @@ def merged(templates: DataFrame, depth: int = DEPTH) -> DataFrame:
             "host", "above", "own",
             ((F.col("branches") > 1) & ~F.coalesce(apart, F.lit(False))).alias("similar"),
         )
-        wild = F.concat("above", F.array(F.lit("*")), F.slice("branch", level + 2, depth))
-        rows = (
+        wild = F.concat("above", F.array(F.lit("*")), F.slice("branch", level + 2, 1 << 30))
+        rows = stage(
             rows.join(tested, ["host", "above", "own"], "left")
             .withColumn("branch", F.when(F.col("similar"), wild).otherwise(F.col("branch")))
-            .drop("above", "own", "similar")
+            .drop("above", "own", "similar"),
+            "merged",
         )
     return rows.withColumn("branch", F.array_join("branch", "/"))
 

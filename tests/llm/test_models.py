@@ -100,6 +100,17 @@ def test_small_section_of_a_hot_host(llm):
     assert got == {key: "block" if bad else "allow" for key, _, bad in rows}
 
 
+def test_section_deep_in_a_path(llm):
+    """A bad section below four and five segments, some of them different for every page."""
+    rows = [(i, f"http://h.net/2024/05/12/{'spam' if i % 4 == 0 else 'news'}/p{i}", int(i % 4 == 0)) for i in range(400)]
+    rows += [(1000 + i, f"http://x.net/u{i}/en/cat/{'spam' if i % 4 == 0 else 'fine'}/{i}/v", int(i % 4 == 0)) for i in range(400)]
+    pages = llm.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = llm.createDataFrame([(r[0], r[2]) for r in rows], "page_id long, bad int")
+    got = {r.page_id: r for r in urls.judged(pages, labels).collect()}
+    assert {key: r.verdict for key, r in got.items()} == {key: "block" if bad else "allow" for key, _, bad in rows}
+    assert got[0].template == "/2024/05/12/spam/*" and got[1000].template == "/*/en/cat/spam/*/v"
+
+
 def brute_signatures(text):
     import regex
 
