@@ -12,6 +12,7 @@ own. What stays keeps its original offsets.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,11 +23,15 @@ from stocktake.llm.shared import fresh, named, whole
 from stocktake.session import stage
 
 # Patterns whose matches, one after the other, are the whole text. White space after an end
-# belongs to what it ends. The ends of scripts that put no space between words are left out:
-# their sentences would be of too few words to count.
+# belongs to what it ends. Texts with one of OTHER_ENDS are cut there too, by a pattern that
+# takes three times as long and is kept from all other texts.
 LINE = r"[^\n]*\n|[^\n]+"
 PARAGRAPH = r"(?s).+?\n\n+|.+"
 SENTENCE = r"[^.!?]+[.!?\x20\t\n\x0B\f\r]*|[.!?][.!?\x20\t\n\x0B\f\r]*"
+OTHER_ENDS = "。！？।"
+_WIDER = {SENTENCE: SENTENCE.replace(".!?", ".!?" + OTHER_ENDS)}
+# Scripts without spaces between words: two letters count as a word.
+_SPACELESS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 MIN_WORDS = 10
 SENTENCE_WORDS = 5  # words from which a sentence within a line counts
 
@@ -40,13 +45,26 @@ def _row_key(key: str, text: str) -> Column:
     return F.unhex(F.md5(F.concat_ws(":", own, F.md5(whole(text)))))
 
 
+def _words(plain: Column) -> Column:
+    """Words between spaces, or half the letters of scripts without spaces if that is more."""
+    spaced = F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 1
+    letters = F.length(F.regexp_replace(plain, f"[^{_SPACELESS}]+", ""))
+    # Such letters are three bytes long: other texts are not searched for them.
+    possible = F.octet_length(plain) - F.length(plain) >= 4 * spaced
+    return F.when(possible, F.greatest(spaced, F.floor(letters / 2).cast("int"))).otherwise(spaced)
+
+
 def units(df: DataFrame, key: str, text: str, line: str = LINE, part: str = SENTENCE) -> DataFrame:
     """One row per unit with a word: row key, document id, place among these units, digest,
     number of words, and the number that counts for a run."""
-    parts = F.transform(
-        F.regexp_extract_all(F.lower(whole(text)), F.lit(line), F.lit(0)),
-        lambda l: F.regexp_extract_all(l, F.lit(part), F.lit(0)),
-    )
+    other = reduce(Column.__or__, [F.contains(whole(text), F.lit(end)) for end in OTHER_ENDS])
+    lines = F.regexp_extract_all(F.lower(whole(text)), F.lit(line), F.lit(0))
+
+    def cut(pattern: str) -> Column:
+        return F.transform(lines, lambda l: F.regexp_extract_all(l, F.lit(pattern), F.lit(0)))
+
+    # The choice is made once for a text, not once for a line.
+    parts = F.when(other, cut(_WIDER.get(part, part))).otherwise(cut(part))
     normal = F.flatten(
         F.transform(
             parts,
@@ -61,12 +79,13 @@ def units(df: DataFrame, key: str, text: str, line: str = LINE, part: str = SENT
     )
     worded = F.filter(normal, lambda u: u["plain"] != "")
     plain = F.col("unit.plain")
-    words = F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 1
+    words = F.col("words")
     return (
         df.select(_row_key(key, text).alias("row"), named(key).alias("doc"), worded.alias("units"))
         .select("row", "doc", F.posexplode("units").alias("place", "unit"))
+        .withColumn("words", _words(plain))
         .select(
-            "row", "doc", "place", F.unhex(F.md5(plain)).alias("digest"), words.alias("words"),
+            "row", "doc", "place", F.unhex(F.md5(plain)).alias("digest"), "words",
             F.when(F.col("unit.alone") | (words >= SENTENCE_WORDS), words).otherwise(0).alias("counted"),
         )
     )
@@ -106,13 +125,14 @@ def repeats(
 
 
 def _without(line: str, part: str):
-    lines, parts = re.compile(line), re.compile(part)
+    lines, plain, wider = re.compile(line), re.compile(part), re.compile(_WIDER.get(part, part))
 
     @F.pandas_udf("text string, spans array<struct<begin:long,end:long>>")
     def cut(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
         out = []
         for text, gone in zip(texts, places):
             gone = {int(p) for p in gone}
+            parts = wider if any(end in text for end in OTHER_ENDS) else plain
             spans, at, place = [], 0, 0
             for unit in (p for l in lines.finditer(text) for p in parts.findall(l.group())):
                 end = at + len(unit)

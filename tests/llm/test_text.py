@@ -181,6 +181,20 @@ def test_repeated_lines(llm):
     assert substring.dedup(source.limit(0)).count() == 0
 
 
+def test_repeated_sentences_of_other_scripts(llm):
+    """A passage within a line, in a script with spaces and a danda, and in one without spaces."""
+    hindi = "".join(" ".join(f"शब्द{n}{c}" for c in "कखगघचछ") + "। " for n in range(9))
+    chinese = "".join("".join(chr(0x4E00 + 17 * n + i) for i in range(16)) + "。" for n in range(12))
+    rows = [
+        (1, f"पहला वाक्य यहाँ है। {hindi}अंत।"), (2, f"दूसरा लेख अलग है। {hindi}समाप्त।"),
+        (3, f"甲乙丙。{chinese}丁戊。"), (4, f"己庚辛！{chinese}壬癸？"), (5, "你好。再见。"), (6, "好的。你好。再见。"),
+    ]
+    got = {r.doc_id: r for r in substring.dedup(docs(llm, rows)).select("doc.doc_id", "text", "words_removed").collect()}
+    assert got[2].text == "दूसरा लेख अलग है। समाप्त।" and got[2].words_removed == 54
+    assert got[4].text == "己庚辛！壬癸？" and got[4].words_removed == 12 * 8
+    assert all(got[i].text == dict(rows)[i] for i in (1, 3, 5, 6))
+
+
 @pytest.mark.parametrize("name", sorted(queries.CHECKS))
 def test_sql(llm, name):
     folder = "/root/testdata/sf0.001"
