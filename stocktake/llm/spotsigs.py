@@ -1,8 +1,9 @@
 """SpotSigs: signatures of chains of content words that follow common-word anchors.
 
 A signature is an anchor (a very common word) and the next content words, other anchors
-skipped. A text's fingerprint is the set of its signatures; likeness is the Jaccard index of
-two sets. Near duplicates are found among sets of similar length only: sets are partitioned
+skipped. Where anchors are rare, as in other languages, lists or code, hashed chains of words
+are signatures too. A text's fingerprint is the set of its signatures; likeness is the Jaccard
+index of two sets. Near duplicates are found among sets of similar length only: sets are partitioned
 by length, each set looks for partners by its rarest signatures, and only as many of these
 as a partner must share at least one of.
 """
@@ -26,27 +27,48 @@ ANCHORS = (
     "und von zu con del el los las lo no por se su una y"
 ).split()
 CHAIN = 2
+SPARSE = 20  # words for each signature by anchors from which chains of words are taken too
+EVERY = 4  # of these chains one in so many, chosen by its hash
+# Scripts without spaces between words: each letter is a word.
+_SPACELESS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 BLOCK_BITS = 7  # 128 neighbouring document ids are a block
 SPAN_BITS = 12  # 4096 blocks are a group when the next block is looked for
 SIMILAR = 0.8
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case words of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
+    """Lower-case words of letters and digits; letters of scripts without spaces one by one."""
+    border = rf"[^\p{{L}}\p{{M}}\p{{N}}]+|(?<=[{_SPACELESS}])|(?=[{_SPACELESS}])"
+    # Such letters are three bytes long: other texts are cut by the plain pattern.
+    spaced = F.octet_length(text) - F.length(text) < 2
+    plain = F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+")
+    cut = F.when(spaced | ~F.rlike(text, F.lit(f"[{_SPACELESS}]")), plain).otherwise(F.split(F.lower(text), border))
+    return F.filter(cut, lambda w: w != "")
 
 
 def _is_anchor(word: Column) -> Column:
     return word.isin(*ANCHORS)
 
 
+def _chains(words: Column, chain: int) -> Column:
+    """Hashes of chains of ``chain`` + 1 words: one in EVERY, or all if that is none."""
+    of = F.transform(
+        words, lambda w, i: F.when(i + chain < F.size(words), F.hash(w, *[F.get(words, i + 1 + c) for c in range(chain)]))
+    )
+    every = F.filter(of, lambda h: h.isNotNull())
+    some = F.filter(every, lambda h: F.pmod(h, F.lit(EVERY)) == 0)
+    return F.when(F.size(some) > 0, some).otherwise(every)
+
+
 def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> DataFrame:
     """Adds the sorted set of signatures, as 32-bit hashes.
 
     The content words after the j-th anchor, at place p, begin at place p - j of the content
-    words. An anchor followed by fewer than ``chain`` of them makes no signature. A text
-    without any signature has one: its own hash (so equal texts agree, others do not); an
-    empty text has none.
+    words. An anchor followed by fewer than ``chain`` of them makes no signature. A text of
+    SPARSE words and more for each of these signatures has chains of neighbouring words as
+    signatures too, so that an edit changes a part of them only. A shorter text without any
+    signature has one: its own hash (so equal texts agree, others do not); an empty text has
+    none.
     """
     words, content, anchors = f"{out}_words", f"{out}_content", f"{out}_anchors"
     chained = F.transform(
@@ -56,16 +78,20 @@ def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> D
             F.hash(F.get(words, p), *[F.get(content, p - j + i) for i in range(chain)]),
         ),
     )
-    found = F.array_sort(F.array_distinct(F.filter(chained, lambda s: s.isNotNull())))
+    anchored, listed = f"{out}_anchored", F.col(f"{out}_anchored")
+    sparse = (F.size(words) >= SPARSE) & (F.size(words) >= SPARSE * F.size(listed))
+    both = F.when(sparse, F.concat(listed, _chains(F.col(words), chain))).otherwise(listed)
+    found = F.array_sort(F.array_distinct(both))
     places = F.transform(words, lambda w, i: F.when(_is_anchor(w), i))
     plain = F.when(named(text) == "", F.array().cast("array<int>")).otherwise(F.array(F.hash(named(text))))
     return (
         df.withColumn(words, tokens(named(text)))
         .withColumn(content, F.filter(words, lambda w: ~_is_anchor(w)))
         .withColumn(anchors, F.filter(places, lambda p: p.isNotNull()))
+        .withColumn(anchored, F.filter(chained, lambda s: s.isNotNull()))
         .withColumn(out, found)
         .withColumn(out, F.when(F.size(out) > 0, F.col(out)).otherwise(plain))
-        .drop(words, content, anchors)
+        .drop(words, content, anchors, anchored)
     )
 
 

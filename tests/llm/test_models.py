@@ -153,6 +153,21 @@ def test_spotsigs(llm):
     assert single[0].near_next == 1.0
 
 
+def test_spotsigs_without_anchors(llm):
+    """Near copies of texts in other languages, without spaces, and of lists."""
+    draw = random.Random(8)
+    russian = " ".join("".join(draw.choice("бвгджклмнопрст") for _ in range(7)) for _ in range(200))
+    chinese = "".join(chr(draw.randint(0x4E00, 0x9FA0)) for _ in range(400))
+    numbers = " ".join(str(draw.randint(1000, 10**6)) for _ in range(200))
+    for text in (russian, chinese, numbers, chinese + " the first cat"):
+        copy = text[:100] + text[110:]
+        rows = docs(llm, [(1, text), (2, copy)])
+        got = {r.doc_id: r for r in spotsigs.fingerprinted(rows).collect()}
+        assert got[1].near_next > 0.8 and got[1].near_edited > 0.3
+        pairs, members = spotsigs.near_pairs(rows)
+        assert pairs.count() == 1 or {r["class"] for r in members.collect()} == {1}
+
+
 def test_spotsigs_pairs(llm):
     base = [f"the w{i} x{i}" for i in range(60)]
     rows = [(1, " ".join(base)), (2, " ".join(base)), (3, " ".join(base[:56] + ["the q r"])), (4, " ".join(base[:20])), (5, None), (6, "")]
