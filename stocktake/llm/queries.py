@@ -8,18 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktake.llm import (
+    audit,
     bpe,
     idpack,
     mixing,
     neighbours,
     quality,
+    sharding,
     simhash,
     spotsigs,
     substring,
     toxicity,
     urls,
 )
-from stocktake.llm.shared import prepare, table
+from stocktake.llm.shared import prepare, table, whole
 from stocktake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,6 +213,113 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in eight shards of nearly equal bytes."""
+    documents = table(prepare(spark), sf_dir, "documents")
+    text = whole().cast("binary")
+    narrow = documents.select(
+        "doc_id", F.crc32(text).alias("text_crc32"), F.octet_length(text).alias("bytes"),
+        sharding.digest(text).alias("key"),
+        sharding.digest(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("tie"),
+    )
+    placed = sharding.sharded(narrow, 8, F.col("bytes") + 1, F.col("key"), F.col("tie"))
+    return placed.select(
+        "doc.doc_id", "size", "doc.text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# The CRC-32 of the bytes of ``{text}``, for which DuckDB has no function: a table by the
+# polynomial's rule, then one step a byte.
+_CRC_TABLE = """
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_of"""
+_CRC = (
+    "xor(list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode({text})), '..'),"
+    " lambda x: CAST('0x' || x AS BIGINT)),"
+    " lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])), 4294967295)"
+)
+
+BYTE_SHARDS_SQL = f"""
+WITH crcs AS ({_CRC_TABLE}),
+docs AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+         CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS k,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS t,
+         CAST({_CRC.format(text="coalesce(text, '')")} AS BIGINT) AS text_crc32
+  FROM documents, crcs),
+laid AS (
+  SELECT *, row_number() OVER (ORDER BY k, t) AS place,
+         CAST(sum(size) OVER (ORDER BY k, t ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM docs),
+targets AS (
+  SELECT i, (SELECT sum(size) FROM docs) * i / CAST(8 AS DOUBLE) AS goal,
+         {sharding.TOLERANCE} * (SELECT sum(size) FROM docs) / 8 AS tolerance
+  FROM range(1, 8) r(i)),
+-- Candidates of each round: what lies below the multiples of a power of two, then below each row.
+candidates AS (
+  SELECT bits, max(place) AS place, max(upto) AS upto FROM laid, unnest([12, 20, 28, 36, 44, 52, 60]) b(bits)
+  GROUP BY bits, k >> (60 - bits)
+  UNION ALL SELECT 999, place, upto FROM laid
+  UNION ALL SELECT bits, 0, 0 FROM unnest([12, 20, 28, 36, 44, 52, 60, 999]) b(bits)),
+nearest AS (
+  SELECT i, bits, arg_min(place, (abs(upto - goal), upto)) AS place, min(abs(upto - goal)) <= any_value(tolerance) AS fits
+  FROM candidates, targets GROUP BY i, bits),
+settled AS (
+  SELECT i, arg_min(place, bits) FILTER (WHERE fits OR bits = 999) AS place FROM nearest GROUP BY i),
+placed AS (
+  SELECT *, CAST((SELECT count(*) FROM settled s WHERE s.place < l.place) AS INTEGER) AS shard FROM laid l)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed"""
+
+
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove, by source, for every order of them."""
+    documents = table(prepare(spark), sf_dir, "documents")
+    return audit.interactions(audit.cells(documents, table(spark, sf_dir, "labels")))
+
+
+FILTER_INTERACTIONS_SQL = r"""
+WITH marks AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic
+  FROM labels GROUP BY doc_id),
+docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+failing AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+          100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t), regexp_matches(t, '[#$%&*|]'),
+          coalesce(docs.doc_id > min(docs.doc_id) OVER (PARTITION BY t), FALSE)] AS fails
+  FROM docs LEFT JOIN marks USING (doc_id)),
+cells AS (
+  SELECT part, fails, len(list_filter(fails, lambda f: f)) AS n_fails,
+         count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM failing GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (
+  SELECT filter_order, step, ord(substr(filter_order, step, 1)) - 64 AS own,
+         list_transform(range(1, step), lambda i: ord(substr(filter_order, i, 1)) - 64) AS before
+  FROM orders, range(1, 6) s(step)),
+met AS (
+  SELECT part, filter_order, step, n, good, toxic, n_fails, fails[own] AS fails_own,
+         len(list_filter(before, lambda i: fails[i])) = 0 AS reached
+  FROM cells, steps)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       CAST(sum(CASE WHEN reached AND NOT fails_own THEN n ELSE 0 END) AS BIGINT) AS kept,
+       CAST(sum(CASE WHEN reached AND fails_own THEN n ELSE 0 END) AS BIGINT) AS removed,
+       CAST(sum(CASE WHEN fails_own AND NOT reached THEN n ELSE 0 END) AS BIGINT) AS redundant,
+       CAST(sum(CASE WHEN fails_own AND n_fails = 1 THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+       CAST(sum(CASE WHEN reached AND fails_own THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+       CAST(sum(CASE WHEN reached AND fails_own THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost,
+       CAST(sum(CASE WHEN fails_own THEN n * 120 // n_fails ELSE 0 END) AS BIGINT) AS shapley
+FROM met GROUP BY part, filter_order, step"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": byte_bpe,
     "op2_packed_ids": packed_ids,
@@ -222,10 +331,14 @@ QUERIES: dict[str, Query] = {
     "op8_quality": graded_documents,
     "op9_spotsigs": spot_signatures,
     "op10_simhash": simhash_groups,
+    "op11_byte_shards": byte_shards,
+    "op12_filter_interactions": filter_interactions,
 }
 
 CHECKS: dict[str, str] = {
     "op3_source_mix": SOURCE_MIX_SQL,
     "op4_repeated_lines": REPEATED_LINES_SQL,
     "op5_nearest_vectors": NEAREST_SQL,
+    "op11_byte_shards": BYTE_SHARDS_SQL,
+    "op12_filter_interactions": FILTER_INTERACTIONS_SQL,
 }
