@@ -19,6 +19,7 @@ from stocktake.llm import (
     spotsigs,
     substring,
     toxicity,
+    trie,
     urls,
 )
 from stocktake.llm.shared import prepare, table, whole
@@ -320,6 +321,53 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step,
 FROM met GROUP BY part, filter_order, step"""
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    turns = trie.numbered_turns(table(prepare(spark), sf_dir, "conversations"))
+    return trie.prefix_trie(*trie.rebuilt(turns))
+
+
+CONVERSATION_TRIE_SQL = f"""
+WITH crcs AS ({_CRC_TABLE}),
+turns AS (
+  SELECT conv_id, md5(md5(coalesce(role, '')) || coalesce(text, '')) AS digest,
+         strlen(coalesce(text, '')) AS size, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+places AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place FROM turns),
+convs AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS family,
+         {_CRC.format(text="CAST(conv_id AS VARCHAR)")} % 9 AS h FROM turns, crcs),
+rows AS (
+  SELECT c.conv_id, 0 AS own, p.place, p.digest, p.size
+  FROM convs c JOIN places p ON p.conv_id = c.family AND p.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, p.place, p.digest, p.size FROM convs c JOIN places p ON p.conv_id = c.conv_id AND p.place > c.h),
+deep AS (
+  SELECT conv_id, size, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS node
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY own, place ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+nodes AS (
+  SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size
+  FROM deep GROUP BY node),
+families AS (
+  SELECT n.*, p.node AS parent, p.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.node = substr(n.node, 1, 32 * (n.depth - 1))),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM families WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT DISTINCT a.node, b.node AS under
+  FROM deep a JOIN deep b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+subtrees AS (
+  SELECT b.node, count(*) FILTER (WHERE k.node IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved_tokens
+  FROM below b JOIN nodes n ON n.node = b.under LEFT JOIN kids k ON k.node = b.under GROUP BY b.node),
+ends AS (
+  SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, arg_max(node, depth) AS node FROM deep GROUP BY conv_id) GROUP BY node)
+SELECT f.conv_id, f.depth, f.parent_conv_id, f.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM families f LEFT JOIN kids k USING (node) JOIN subtrees s USING (node) LEFT JOIN ends e USING (node)"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": byte_bpe,
     "op2_packed_ids": packed_ids,
@@ -333,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": simhash_groups,
     "op11_byte_shards": byte_shards,
     "op12_filter_interactions": filter_interactions,
+    "op13_conversation_trie": conversation_trie,
 }
 
 CHECKS: dict[str, str] = {
@@ -341,4 +390,5 @@ CHECKS: dict[str, str] = {
     "op5_nearest_vectors": NEAREST_SQL,
     "op11_byte_shards": BYTE_SHARDS_SQL,
     "op12_filter_interactions": FILTER_INTERACTIONS_SQL,
+    "op13_conversation_trie": CONVERSATION_TRIE_SQL,
 }
