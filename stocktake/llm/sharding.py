@@ -78,21 +78,18 @@ def _histogram(rows: DataFrame, spans: list[Span], bits: int) -> dict[Span, list
     level, known = spans[0].level, spans[0].bits
     part, width = F.col(KEYS[level]), WIDTHS[level]
     names = [f"_lead{i}" for i in range(level + 1)]
-    lead = [*[F.col(k) for k in KEYS[:level]], F.shiftright(part, width - known)]
-    if not known:
-        lead[-1] = F.lit(0).cast("long")
+    lead = [*[F.col(k) for k in KEYS[:level]], F.shiftright(part, width - known) if known else F.lit(0).cast("long")]
     place = F.shiftright(part, width - known - bits).bitwiseAND(F.lit((1 << bits) - 1))
     spots = {(*s.fixed, s.start): s for s in spans}
-    wanted = rows.sparkSession.createDataFrame(list(spots), ", ".join(f"{n} long" for n in names))
-    counted = (
-        rows.select(
-            *[c.alias(n) for c, n in zip(lead, names)],
-            place.alias("_at"), part.alias("_part"), "_size",
-        )
-        .join(F.broadcast(wanted), names)
-        .groupBy(*names, "_at")
-        .agg(F.sum("_size"), F.count("*"), F.min("_part"), F.max("_part"))
-    )
+    parts = rows.select(
+        *[c.alias(n) for c, n in zip(lead, names)], place.alias("_at"), part.alias("_part"), "_size"
+    )
+    if spans != [Span()]:
+        wanted = rows.sparkSession.createDataFrame(list(spots), ", ".join(f"{n} long" for n in names))
+        parts = parts.join(F.broadcast(wanted), names)
+    counted = parts.groupBy(*names, "_at").agg(
+        F.sum("_size"), F.count("*"), F.min("_part"), F.max("_part")
+    )
     found: dict[Span, list[tuple[int, ...]]] = {s: [] for s in spans}
     for row in counted.collect():
         found[spots[tuple(row[: level + 1])]].append(tuple(row[level + 1 :]))
@@ -168,7 +165,9 @@ def sharded(
     laid = stage(laid.withColumn(KEYS[2], F.monotonically_increasing_id()), "shard-rows")
     total, count = laid.agg(F.sum("_size"), F.count("*")).first()
     if not count:
-        return laid.select("doc", F.col("_size").alias("size"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+        return laid.select(
+            "doc", F.col("_size").alias("size"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")
+        )
     wanted = pieces or min(int(spark.conf.get("spark.sql.shuffle.partitions")), PIECES)
     each = max(1, -(-wanted // shards))
     parts = shards * each
