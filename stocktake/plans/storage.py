@@ -34,6 +34,24 @@ def csv_read_numbered(shop) -> DataFrame:
     return files.read_csv_numbered(shop.spark, path, name="place")
 
 
+_REMARK = "note || chr(10) || 'said \"' || units || '\", twice' || chr(13) || chr(10) || chr(10) || order_id"
+
+
+@query(
+    "s1_csv_line_ends_in_fields",
+    f"""WITH {quality.RAW_CTE.strip()}
+        SELECT row_number() OVER (ORDER BY row_no) AS place, row_no::VARCHAR AS row_no,
+               {_REMARK} AS remark, trim(customer_id) AS customer_id,
+               NULL::VARCHAR AS _corrupt_record FROM raw""",
+)
+def csv_line_ends_in_fields(shop) -> DataFrame:
+    """Rows whose remarks hold quotes, commas and line ends, read by a task for each block."""
+    path = scratch_path(shop.spark, "csv")
+    raw = quality.raw_orders(shop).select("row_no", F.expr(_REMARK).alias("remark"), "customer_id")
+    files.export_csv(raw.orderBy("row_no"), path)
+    return files.read_csv_numbered(shop.spark, path, name="place", multiline=True)
+
+
 @query(
     "s6_export_cleaned_csv",
     f"""WITH {quality.RAW_CTE.strip()} SELECT order_id, customer_id,

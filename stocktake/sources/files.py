@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from stocktake.functions.scalar import number_text, parse_as, quote_sql, strip
 from stocktake.session import broadcast_if_few, stage
+from stocktake.sources.multiline import csv_records
 
 CORRUPT = "_corrupt_record"
 
@@ -29,25 +30,53 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header, every value a string without white space at its ends (missing
     values are empty), byte order mark skipped. Rows of the wrong width keep their text in
-    ``_corrupt_record``.
+    ``_corrupt_record``. Blank lines are no rows.
 
     ``columns`` saves the pass over the header when the layout is known. ``multiline`` reads
-    quoted fields that hold line ends; each file is then read by one task, so such input
-    should come in many files.
+    quoted fields that hold line ends, by as many tasks as the files have blocks.
     """
-    reader = spark.read.options(header=True, multiLine=multiline, **DIALECT)
-    if columns is None:
-        columns = reader.csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
-    rows = (
-        reader.schema(schema)
+    columns = columns or _header(spark, path, multiline)
+    if multiline:
+        return _fields(spark, path, columns).select(*_named(columns), CORRUPT)
+    return _lines(spark, path, columns).select(*_trimmed(columns), CORRUPT)
+
+
+def _header(spark: SparkSession, path: str, multiline: bool) -> list[str]:
+    return spark.read.options(header=True, multiLine=multiline, **DIALECT).csv(path).columns
+
+
+def _named(names: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in names]
+
+
+def _text_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
+
+
+def _trimmed(columns: list[str], within: str = "") -> list[Column]:
+    return [F.coalesce(strip(F.col(f"{within}`{c}`")), F.lit("")).alias(c) for c in columns]
+
+
+def _lines(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Rows of files in which every line is a row."""
+    return (
+        spark.read.options(header=True, **DIALECT)
+        .schema(_text_schema(columns))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", True)
         .csv(path)
     )
-    return rows.select(
-        *[F.coalesce(strip(F.col(f"`{c}`")), F.lit("")).alias(c) for c in columns], CORRUPT
+
+
+def _fields(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Rows of files with line ends in fields, and the place of each: file, block, number."""
+    options = {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **DIALECT}
+    is_header = (F.col("_block") == 0) & (F.col("_no") == 0)
+    kind = ", ".join(f"`{f.name}` string" for f in _text_schema(columns))
+    rows = csv_records(spark, path).where(~is_header)
+    return rows.withColumn("_fields", F.from_csv("_record", kind, options)).select(
+        *_trimmed(columns, "_fields."), f"_fields.{CORRUPT}", "_file", "_block", "_no"
     )
 
 
@@ -60,22 +89,26 @@ def read_csv_numbered(
     Rows are numbered inside their file block where they are read; only the block sizes
     (one row per block) are summed up, so nothing is shuffled.
     """
-    rows = read_csv(spark, path, columns, multiline)
-    placed = rows.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    ).withColumn("_at", F.monotonically_increasing_id())
-    staged = stage(placed, "csv")
+    columns = columns or _header(spark, path, multiline)
+    if multiline:
+        placed = _fields(spark, path, columns)
+    else:
+        placed = _lines(spark, path, columns).select(
+            *_trimmed(columns), CORRUPT,
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_no"),
+        )
+    staged = placed if multiline else stage(placed, "csv")
     blocks = staged.groupBy("_file", "_block").agg(
-        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")
+        F.min("_no").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     offsets = broadcast_if_few(offsets)
     numbered = staged.join(offsets, ["_file", "_block"])
-    place = F.col("_before") + F.col("_at") - F.col("_first") + 1
-    return numbered.withColumn(name, place).drop("_file", "_block", "_at", "_first", "_before")
+    place = F.col("_before") + F.col("_no") - F.col("_first") + 1
+    return numbered.withColumn(name, place).drop("_file", "_block", "_no", "_first", "_before")
 
 
 def cast_columns(df: DataFrame, schema: dict[str, str]) -> DataFrame:
