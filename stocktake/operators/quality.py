@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktake.functions.scalar import CAST_NULLS, is_missing, parse_as, share_percent
-from stocktake.operators.ordered import sliced_groups
+from stocktake.operators.ordered import HOT_ROWS, OrderedGroups, ordered_groups
 from stocktake.session import stage
 
 
@@ -151,60 +151,112 @@ def cast_with_rejects(df: DataFrame, schema: dict[str, str]) -> DataFrame:
 # --- numbers ----------------------------------------------------------------
 
 
+def _as_number(df: DataFrame, column: str) -> Column:
+    is_text = df.schema[column].dataType.simpleString() == "string"
+    return parse_as(F.col(column), "float") if is_text else F.col(column).cast("double")
+
+
 def _numbers(df: DataFrame, columns: list[str], row_no: str | None = None) -> DataFrame:
     """(column, value[, row_no]) for every parseable number."""
     extra = [F.col(row_no)] if row_no else []
     records = []
     for c in columns:
-        is_text = df.schema[c].dataType.simpleString() == "string"
-        value = parse_as(F.col(c), "float") if is_text else F.col(c).cast("double")
-        records.append(F.struct(F.lit(c).alias("column"), value.alias("value"), *extra))
+        records.append(F.struct(F.lit(c).alias("column"), _as_number(df, c).alias("value"), *extra))
     return _long(df, *records).where(F.col("value").isNotNull())
 
 
+# The quantile sketch's rank error is at most one part in so many.
+SKETCH_PARTS = 2_000
+UNBOUNDED = (float("-inf"), float("inf"))
+
+
+def _moments(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
+    """Count, mean, sample deviation, minimum, maximum of each column, and two values around its
+    median: those at ranks further from the middle than the quantile sketch can err. One
+    aggregate over all columns, whose sketches merge; a handful of numbers per column reaches
+    the driver. A column without numbers has none."""
+    reach = 2 / SKETCH_PARTS
+    found = []
+    for i, c in enumerate(columns):
+        value = _as_number(df, c)
+        sketch = F.percentile_approx(value, [0.5 - reach, 0.5 + reach], SKETCH_PARTS)
+        parts = F.count(value), F.avg(value), F.stddev_samp(value), F.min(value), F.max(value), sketch
+        found += [part.alias(f"_{i}_{k}") for k, part in enumerate(parts)]
+    row = df.agg(*found).first()
+    return {c: row[6 * i : 6 * i + 6] for i, c in enumerate(columns) if row[6 * i]}
+
+
+def _around(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+    """Rows below each column's bounds (``at`` null), and of every single value between them.
+    Rows collapse to these groups before they are shuffled; those above are left out."""
+    value = F.col("value")
+    low, high = (
+        reduce(lambda rest, c: F.when(F.col("column") == c, F.lit(bounds[c][i])).otherwise(rest), bounds, F.lit(None))
+        for i in (0, 1)
+    )
+    near = _numbers(df, list(bounds)).where(value <= high)
+    counted = near.groupBy("column", F.when(value >= low, value).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    return stage(counted, "stats")
+
+
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, median, sample deviation (0 below two values), minimum, maximum and
     the three-sigma bounds of each number column. Text that is no number is skipped; a
     column without any number has count 0.
 
-    The rows are read once, into counts per distinct value. These are stored in sorted
-    slices and counted through for the exact median, so no task holds a whole column.
+    The rows are read twice. The first aggregate has the moments, and a sketch that bounds each
+    median from both sides. The second counts the rows below the bounds, and single values
+    only between them: some thousandths of the rows. These alone are sorted, and counted
+    through for the exact median. Bounds that turn out not to hold it are dropped.
     """
-    n, value = F.col("n"), F.col("value")
-    counts = _numbers(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    groups = sliced_groups(counts, ["column"], ["value"])
-    moments = groups.hot.groupBy("column").agg(
-        F.sum(n).alias("count"),
-        (F.sum(value * n) / F.sum(n)).alias("mean"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
-    size, mean, upto = F.col("count"), F.col("mean"), F.col("_upto")
-    low, high = F.floor((size + 1) / 2), F.floor((size + 2) / 2)
-    spread = F.sum(n * (value - mean) * (value - mean)) / F.nullif(size - 1, F.lit(0))
-    stats = (
-        groups.running({"_upto": n})
-        .rows()
-        .join(F.broadcast(moments), "column")  # one row per profiled column
-        .groupBy(*moments.columns)
-        .agg(
-            F.sqrt(spread).alias("std_dev"),
-            (
-                (F.min(F.when(upto >= low, value)) + F.min(F.when(upto >= high, value))) / 2
-            ).alias("median"),
-        )
-    )
-    std = F.col("std_dev")
-    asked = df.sparkSession.createDataFrame([(c,) for c in columns], "column STRING")
+    spark, moments = df.sparkSession, _moments(df, columns)
+    kind = "column string, count long, mean double, std_dev double, min double, max double"
+    none = (0, 0.0, 0.0, 0.0, 0.0)
+    stats = [(c, *(v or 0.0 if i else v for i, v in enumerate(moments.get(c, none)[:5]))) for c in columns]
+    stats = spark.createDataFrame(stats, kind)
+    bounds = {c: tuple(m[5]) for c, m in moments.items()}
+    median = spark.createDataFrame([], "column string, median double")
+    if bounds:
+        around, below, hot = _settled(df, bounds, {c: m[0] for c, m in moments.items()})
+        values, n = around.where("at IS NOT NULL"), F.col("n")
+        groups = OrderedGroups(["column"], ["at"], values, None)
+        if hot:
+            groups = ordered_groups(values, ["column"], ["at"])
+        ranks = [(c, below[c], (m[0] + 1) // 2, (m[0] + 2) // 2) for c, m in moments.items()]
+        ranks = spark.createDataFrame(ranks, "column string, below long, low long, high long")
+        upto = F.col("below") + F.col("_upto")
+        reached = groups.running({"_upto": n}).rows().join(F.broadcast(ranks), "column")  # a row per column
+        firsts = [F.min(F.when(upto >= F.col(c), F.col("at"))) for c in ("low", "high")]
+        median = reached.groupBy("column").agg(((firsts[0] + firsts[1]) / 2).alias("median"))
+    size, mean, std = F.col("count"), F.col("mean"), F.col("std_dev")
     return (
-        asked.join(stats, "column", "left")
-        .fillna(0)
+        stats.join(median, "column", "left")
+        .fillna(0.0, ["median"])
         .withColumn("lower", F.when(size >= 2, mean - 3 * std))
         .withColumn("upper", F.when(size >= 2, mean + 3 * std))
         .select("column", "count", "mean", "median", "std_dev", "min", "max", "lower", "upper")
     )
 
 
+def _settled(
+    df: DataFrame, bounds: dict[str, tuple[float, float]], sizes: dict[str, int]
+) -> tuple[DataFrame, dict[str, int], bool]:
+    """``_around`` with bounds that hold every median, the rows below them, and whether some
+    column has more values between them than a task should sort."""
+    while True:
+        around = _around(df, bounds)
+        under = F.sum(F.when(F.col("at").isNull(), F.col("n")).otherwise(0))
+        counts = around.groupBy("column").agg(under, F.sum("n") - under, F.count("at")).collect()
+        found = {row[0]: row[1:] for row in counts}  # a row per column
+        wrong = [
+            c for c, n in sizes.items()
+            if c not in found or found[c][0] >= (n + 1) // 2 or sum(found[c][:2]) < (n + 2) // 2
+        ]
+        if not wrong:
+            return around, {c: v[0] for c, v in found.items()}, max(v[2] for v in found.values()) > HOT_ROWS
+        bounds = bounds | {c: UNBOUNDED for c in wrong}
+
+
 def outliers(df: DataFrame, columns: list[str], row_no: str, stats: DataFrame) -> DataFrame:
     """Values strictly outside mean ± 3 deviations, with their row."""
     bounds = F.broadcast(stats.select("column", "lower", "upper"))  # one row per column

@@ -1,4 +1,5 @@
 import csv
+import random
 import statistics
 
 import pytest
@@ -214,3 +215,34 @@ def test_clustered_layout_prunes(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "c")).where("status = '1' AND n < 50")
     assert "PartitionFilters: [isnotnull(status" in plan(back) and "LessThan(n,50)" in plan(back)
     assert back.count() == 17
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_exact_medians_from_bounds(spark, monkeypatch, seed):
+    draw = random.Random(seed)
+    monkeypatch.setattr(Q, "SKETCH_PARTS", 20)
+    skewed = [draw.choice([0.0, -3.5, draw.gauss(0, 9), draw.gauss(0, 9) ** 3]) for _ in range(801 + seed)]
+    rows_ = [(v, str(round(v)), 7.25 if i % 3 else None) for i, v in enumerate(skewed)]
+    df = spark.createDataFrame(rows_, "a double, b string, c double").repartition(6)
+    found = {r.column: r for r in Q.column_stats(df, ["a", "b", "c"]).collect()}
+    for c, values in zip("abc", ([r[0] for r in rows_], [float(r[1]) for r in rows_], [r[2] for r in rows_ if r[2]])):
+        got = found[c]
+        assert (got["count"], got.median, got.min, got.max) == (
+            len(values), statistics.median(values), min(values), max(values))
+        assert got.mean == pytest.approx(statistics.fmean(values))
+        assert got.std_dev == pytest.approx(statistics.stdev(values))
+
+
+def test_only_values_near_the_median_are_kept_apart(spark):
+    df = spark.range(200_000).select(F.rand(1).alias("v"))
+    bounds = {"v": tuple(Q._moments(df, ["v"])["v"][5])}
+    kept = Q._around(df, bounds)
+    assert kept.count() < 0.01 * 200_000
+    assert kept.agg(F.sum("n")).first()[0] == df.where(F.col("v") <= bounds["v"][1]).count()
+
+
+def test_bounds_that_miss_the_median_are_dropped(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i),) for i in range(9)], "v double")
+    moments = Q._moments(df, ["v"])["v"][:5]
+    monkeypatch.setattr(Q, "_moments", lambda df, columns: {"v": (*moments, [7.0, 8.0])})
+    assert Q.column_stats(df, ["v"]).first().median == 4.0
