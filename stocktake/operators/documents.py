@@ -78,12 +78,16 @@ def group(df: DataFrame, spec: Spec) -> DataFrame:
 
 
 def project(df: DataFrame, spec: Spec) -> DataFrame:
-    """``1`` keeps a path under its own name, ``"$path"`` renames, anything else is a
-    constant. ``_id`` is only kept when listed."""
+    """``1`` keeps a path under its own name, ``"$path"`` renames, ``{"$size": "$path"}`` counts
+    an array's elements, anything else is a constant. ``_id`` is only kept when listed."""
 
     def column(name: str, value: Any) -> Column:
         if value == 1:
             return field(df, name).alias(name)
+        if isinstance(value, dict) and "$size" in value:
+            found = field(df, _reference(value["$size"]))
+            counted = df.select(found.alias("v")).schema["v"].dataType.simpleString() == "int"
+            return (found if counted else F.size(found)).alias(name)
         path = _reference(value)
         return (field(df, path) if path else F.lit(value)).alias(name)
 
@@ -100,43 +104,77 @@ def sort(df: DataFrame, spec: dict[str, int]) -> DataFrame:
     )
 
 
-def unwind(df: DataFrame, path: str) -> DataFrame:
-    """One row per element of a top-level array; empty arrays give none."""
-    name = _reference(path) or path
-    return df.withColumn(name, F.explode(field(df, name)))
+def unwind(df: DataFrame, spec: str | Spec) -> DataFrame:
+    """One row per element of a top-level array. Empty arrays give none, or one row without
+    element if ``preserveNullAndEmptyArrays``; ``includeArrayIndex`` names a column for the
+    element's place, from 0."""
+    spec = spec if isinstance(spec, dict) else {"path": spec}
+    name, index = _reference(spec["path"]) or spec["path"], spec.get("includeArrayIndex")
+    keep = spec.get("preserveNullAndEmptyArrays", False)
+    if index is None:
+        return df.withColumn(name, (F.explode_outer if keep else F.explode)(field(df, name)))
+    others = [F.col(f"`{c}`") for c in df.columns if c not in (name, index)]
+    placed = (F.posexplode_outer if keep else F.posexplode)(field(df, name)).alias(index, name)
+    return df.select(*others, placed).withColumn(index, F.col(f"`{index}`").cast("long"))
+
+
+def numbered_children(
+    children: DataFrame, key: str, order: list[str], name: str = "position", hot_rows: int | None = None
+) -> DataFrame:
+    """Children with their place (from 0) in the order of their key: the flat form of nested
+    rows. A row stays a row, however many its key has; a hot key is numbered in slices."""
+    placed = ordered_groups(children, [key], order, hot_rows).running({name: F.lit(1)}).rows()
+    return placed.withColumn(name, F.col(f"`{name}`") - 1)
 
 
 def nest(
     children: DataFrame, key: str, order: list[str], fields: list[str], name: str,
-    chunk: int = 10_000, hot_rows: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Children of a key as one sorted array of structs.
-
-    A key with more than ``chunk`` children gets several rows, numbered by
-    ``<name>_part`` from 0, so no array (and no task) has to hold an unbounded group.
-    """
-    numbered = ordered_groups(children, [key], order, hot_rows).running({"_rn": F.lit(1)}).rows()
-    part = F.floor((F.col("_rn") - 1) / chunk).cast("int")
+    """One row per key with its children as a sorted array of structs. As a document that is
+    written must, an array must fit a row; ``numbered_children`` is the form without that bound."""
+    numbered = numbered_children(children, key, order, "_rn", hot_rows)
     element = F.struct("_rn", F.struct(*fields).alias("v"))
-    return (
-        numbered.groupBy(key, part.alias(f"{name}_part"))
-        .agg(F.sort_array(F.collect_list(element)).alias("_all"))
-        .select(key, f"{name}_part", F.col("_all.v").alias(name))
+    return numbered.groupBy(key).agg(F.sort_array(F.collect_list(element)).alias("_all")).select(
+        key, F.col("_all.v").alias(name)
     )
 
 
 def lookup(
-    df: DataFrame, other: DataFrame, local: str, foreign: str, name: str, order: list[str],
-    chunk: int = 10_000,
+    df: DataFrame, other: DataFrame, local: str, foreign: str, name: str, order: list[str]
 ) -> DataFrame:
-    """Left outer equality join with the matches as an array (empty without any)."""
-    matches = nest(other, foreign, order, other.columns, name, chunk)
+    """Left outer equality join with the matches as an array (empty without any): a row for
+    every row of ``df``."""
+    matches = nest(other, foreign, order, other.columns, name)
     kind = matches.schema[name].dataType
     keyed = df.withColumn("_key", field(df, local))
     joined = null_safe_join(keyed, matches.withColumnRenamed(foreign, "_key"), ["_key"], "left")
-    return joined.withColumn(name, F.coalesce(name, F.array().cast(kind))).withColumn(
-        f"{name}_part", F.coalesce(f"{name}_part", F.lit(0))
-    ).drop("_key")
+    return joined.withColumn(name, F.coalesce(name, F.array().cast(kind))).drop("_key")
+
+
+def _matched(df: DataFrame, join: Spec, right: DataFrame, how: str) -> DataFrame:
+    keyed = df.drop(join["as"]).withColumn("_key", field(df, join["localField"]))
+    return null_safe_join(keyed, right, ["_key"], how).drop("_key")
+
+
+def _unwound(df: DataFrame, join: Spec, spec: str | Spec) -> DataFrame:
+    """``$lookup`` and ``$unwind`` of its matches as one flat join: no array is built."""
+    spec = spec if isinstance(spec, dict) else {"path": spec}
+    index, other, name = spec.get("includeArrayIndex"), join["from"], join["as"]
+    if index:
+        other = numbered_children(other, join["foreignField"], join["order"], index)
+    element = F.struct(*[F.col(f"`{c}`") for c in join["from"].columns]).alias(name)
+    places = [F.col(f"`{index}`")] if index else []
+    right = other.select(F.col(f"`{join['foreignField']}`").alias("_key"), *places, element)
+    keep = spec.get("preserveNullAndEmptyArrays", False)
+    return _matched(df.drop(index) if index else df, join, right, "left" if keep else "inner")
+
+
+def _sized(df: DataFrame, join: Spec) -> DataFrame:
+    """The number of matches in place of the matches: counted before the join."""
+    key = F.col(f"`{join['foreignField']}`").alias("_key")
+    counts = join["from"].groupBy(key).agg(F.count(F.lit(1)).cast("int").alias(join["as"]))
+    return _matched(df, join, counts, "left").fillna(0, [join["as"]])
 
 
 STAGES: dict[str, Callable[[DataFrame, Any], DataFrame]] = {
@@ -147,19 +185,70 @@ STAGES: dict[str, Callable[[DataFrame, Any], DataFrame]] = {
     "$limit": lambda df, n: df.limit(n),
     "$skip": lambda df, n: df.offset(n),
     "$unwind": unwind,
-    "$lookup": lambda df, s: lookup(
-        df, s["from"], s["localField"], s["foreignField"], s["as"], s["order"]
-    ),
 }
 
 
+def _reads(stage: str, spec: Any, name: str) -> bool:
+    """Whether a stage reads a column."""
+    if stage in ("$limit", "$skip"):
+        return False
+    if stage in ("$match", "$sort"):
+        paths = list(spec)
+    elif stage == "$project":
+        paths = [n if v == 1 else _reference(v) for n, v in spec.items()]
+    elif stage == "$group":
+        targets = [t for e in spec.values() for t in (e.values() if isinstance(e, dict) else [e])]
+        paths = [_reference(t) for t in targets]
+    else:
+        paths = [_reference(spec["path"] if isinstance(spec, dict) else spec) or spec]
+    return name in {p.split(".")[0] for p in paths if p}
+
+
+def _sizes(spec: Spec) -> set[str]:
+    """The arrays that a projection only counts."""
+    return {_reference(v["$size"]) for v in spec.values() if isinstance(v, dict) and "$size" in v}
+
+
 def aggregate(df: DataFrame, stages: list[Spec]) -> DataFrame:
-    """Run aggregation stages in order; an unknown stage is an error."""
+    """Run aggregation stages in order; an unknown stage is an error.
+
+    A ``$lookup`` waits for the stage that reads its matches. ``$unwind`` makes it a flat join
+    and ``$size`` a count; a ``$group`` or ``$project`` that does not read them ends it, since it
+    neither adds nor removes rows. Only where the matches themselves are read, or at the end,
+    are they gathered into arrays.
+    """
+    waiting: dict[str, Spec] = {}
+
+    def gathered(name: str) -> DataFrame:
+        s = waiting.pop(name)
+        return lookup(df.drop(name), s["from"], s["localField"], s["foreignField"], name, s["order"])
+
     for stage in stages:
         (name, spec), = stage.items()
+        if name == "$lookup":
+            roots = {spec["localField"].split(".")[0], spec["as"]}
+            for earlier in [w for w in waiting if w in roots]:
+                df = gathered(earlier)
+            waiting[spec["as"]] = spec
+            continue
         if name not in STAGES:
             raise ValueError(f"unsupported stage {name!r}")
+        if name == "$unwind":
+            path = spec["path"] if isinstance(spec, dict) else spec
+            join = waiting.pop(_reference(path) or path, None)
+            if join:
+                df = _unwound(df, join, spec)
+                continue
+        sizes = _sizes(spec) if name == "$project" else set()
+        for join in list(waiting):
+            if _reads(name, spec, join):
+                df = gathered(join)
+            elif name in ("$project", "$group"):
+                ended = waiting.pop(join)
+                df = _sized(df, ended) if join in sizes else df
         df = STAGES[name](df, spec)
+    for join in list(waiting):
+        df = gathered(join)
     return df
 
 

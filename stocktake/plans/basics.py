@@ -86,13 +86,24 @@ def extract_year(shop) -> DataFrame:
 
 @query(
     "f8_null_tests",
+    """SELECT (o.order_id IS NULL) AS never_ordered, count(*) AS n FROM customers c
+       LEFT JOIN all_orders o ON c.customer_id = o.customer_id GROUP BY 1""",
+)
+def null_tests(shop) -> DataFrame:
+    joined = shop.people.join(per_customer(shop.orders), "customer_id", "left")
+    rows = F.coalesce("orders", F.lit(1))  # an unmatched customer is one row
+    return joined.groupBy(F.col("orders").isNull().alias("never_ordered")).agg(F.sum(rows).alias("n"))
+
+
+@query(
+    "f8_customers_without_urgent_order",
     """SELECT (o.order_id IS NULL) AS never_urgent, count(*) AS n FROM customers c
        LEFT JOIN all_orders o ON c.customer_id = o.customer_id AND payment = '1-URGENT' GROUP BY 1""",
 )
-def null_tests(shop) -> DataFrame:
+def null_tests_urgent(shop) -> DataFrame:
     urgent = per_customer(shop.orders.where(F.col("payment") == "1-URGENT"))
     joined = shop.people.join(urgent, "customer_id", "left")
-    rows = F.coalesce("orders", F.lit(1))  # an unmatched customer is one row
+    rows = F.coalesce("orders", F.lit(1))
     return joined.groupBy(F.col("orders").isNull().alias("never_urgent")).agg(F.sum(rows).alias("n"))
 
 
@@ -148,34 +159,37 @@ def left_join_filtered_right(shop) -> DataFrame:
     )
 
 
-@query(
-    "j7_not_exists",
-    """SELECT customer_id, customer_name FROM customers c WHERE NOT EXISTS (
-         SELECT 1 FROM all_orders o WHERE o.customer_id = c.customer_id AND o.payment = '1-URGENT')""",
-)
-def not_exists(shop) -> DataFrame:
+def _without_order(shop, condition: str) -> DataFrame:
     """Correlated NOT EXISTS in SQL; Catalyst turns it into an anti join."""
     frames = {"c": shop.people, "o": shop.orders}
     return shop.spark.sql(
-        """SELECT customer_id, customer_name FROM {c} AS c WHERE NOT EXISTS (
-             SELECT 1 FROM (SELECT DISTINCT customer_id FROM {o} WHERE payment = '1-URGENT') AS o
+        f"""SELECT customer_id, customer_name FROM {{c}} AS c WHERE NOT EXISTS (
+             SELECT 1 FROM (SELECT DISTINCT customer_id FROM {{o}} WHERE {condition}) AS o
              WHERE o.customer_id = c.customer_id)""",
         **frames,
     )
 
 
 @query(
-    "j8_null_aware_not_in",
-    """SELECT 'no null' AS variant, count(*) AS n FROM customers WHERE customer_id NOT IN (
-         SELECT customer_id FROM all_orders WHERE payment = '1-URGENT')
-       UNION ALL SELECT 'with null', count(*) FROM customers WHERE customer_id NOT IN (
-         SELECT CASE WHEN payment = '1-URGENT' THEN customer_id END FROM all_orders)""",
+    "j7_not_exists",
+    """SELECT customer_id, customer_name FROM customers c WHERE NOT EXISTS (
+         SELECT 1 FROM all_orders o WHERE o.customer_id = c.customer_id)""",
 )
-def null_aware_not_in(shop) -> DataFrame:
+def not_exists(shop) -> DataFrame:
+    return _without_order(shop, "TRUE")
+
+
+@query(
+    "j7_not_exists_urgent",
+    """SELECT customer_id, customer_name FROM customers c WHERE NOT EXISTS (
+         SELECT 1 FROM all_orders o WHERE o.customer_id = c.customer_id AND o.payment = '1-URGENT')""",
+)
+def not_exists_urgent(shop) -> DataFrame:
+    return _without_order(shop, "payment = '1-URGENT'")
+
+
+def _compared(shop, clean: DataFrame, holed: DataFrame) -> DataFrame:
     """NOT IN against a clean set, and against one that holds a NULL."""
-    urgent = F.col("payment") == "1-URGENT"
-    clean = shop.orders.where(urgent)
-    holed = shop.orders.select(F.when(urgent, F.col("customer_id")).alias("customer_id"))
     counts = [
         not_in(shop.people, "customer_id", right, "customer_id").agg(F.count(F.lit(1)).alias("n"))
         .select(F.lit(name).alias("variant"), "n")
@@ -184,6 +198,33 @@ def null_aware_not_in(shop) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+@query(
+    "j8_null_aware_not_in",
+    """SELECT 'no null' AS variant, count(*) AS n FROM customers WHERE customer_id NOT IN (
+         SELECT customer_id FROM all_orders WHERE customer_id IS NOT NULL)
+       UNION ALL SELECT 'with null', count(*) FROM customers WHERE customer_id NOT IN (
+         SELECT customer_id FROM all_orders UNION ALL SELECT NULL)""",
+)
+def null_aware_not_in(shop) -> DataFrame:
+    """All orders' customers, and the same with an order whose customer is not known."""
+    unknown = shop.spark.range(1).select(F.lit(None).cast("long").alias("customer_id"))
+    clean = shop.orders.select("customer_id").where("customer_id IS NOT NULL")
+    return _compared(shop, clean, shop.orders.select("customer_id").unionByName(unknown))
+
+
+@query(
+    "j8_null_aware_not_in_urgent",
+    """SELECT 'no null' AS variant, count(*) AS n FROM customers WHERE customer_id NOT IN (
+         SELECT customer_id FROM all_orders WHERE payment = '1-URGENT')
+       UNION ALL SELECT 'with null', count(*) FROM customers WHERE customer_id NOT IN (
+         SELECT CASE WHEN payment = '1-URGENT' THEN customer_id END FROM all_orders)""",
+)
+def null_aware_not_in_urgent(shop) -> DataFrame:
+    urgent = F.col("payment") == "1-URGENT"
+    holed = shop.orders.select(F.when(urgent, F.col("customer_id")).alias("customer_id"))
+    return _compared(shop, shop.orders.where(urgent), holed)
+
+
 @query(
     "j20_right_join",
     """SELECT p.product_id, p.category, b.lines FROM

@@ -203,31 +203,50 @@ def unwind_items(shop) -> DataFrame:
     return D.aggregate(event_docs(shop), stages)
 
 
+_ORDERS_OF = {
+    "localField": "customer_id", "foreignField": "customer_id", "as": "orders",
+    "order": ["order_date", "order_id"],
+}
+
+
+def _with_orders(shop, *stages: dict) -> DataFrame:
+    orders = shop.orders.select("customer_id", "order_id", "order_date", "amount")
+    customers = shop.customers.select("customer_id", "region")
+    return D.aggregate(customers, [{"$lookup": {"from": orders, **_ORDERS_OF}}, *stages])
+
+
 @query(
     "j22_lookup_stage",
-    """SELECT c.customer_id, CAST(coalesce((rn - 1) // 10000, 0) AS INTEGER) AS urgent_part,
-              count(o.order_id) AS n,
-              coalesce(string_agg(CAST(o.order_id AS VARCHAR), ',' ORDER BY rn), '') AS ids
-       FROM customers c LEFT JOIN (
+    """SELECT c.customer_id, rn - 1 AS place, o.order_id FROM customers c LEFT JOIN (
          SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS rn
-         FROM all_orders WHERE payment = '1-URGENT') o
-         ON o.customer_id = c.customer_id GROUP BY 1, 2""",
+         FROM all_orders) o ON c.customer_id = o.customer_id""",
 )
 def lookup_stage(shop) -> DataFrame:
-    """Urgent orders of every customer as an array."""
-    urgent = shop.orders.where(F.col("payment") == "1-URGENT").select(
-        "customer_id", "order_id", "order_date"
-    )
-    found = D.aggregate(
-        shop.customers.select("customer_id"),
-        [{"$lookup": {"from": urgent, "localField": "customer_id", "foreignField": "customer_id",
-                      "as": "urgent", "order": ["order_date", "order_id"]}}],
-    )
-    ids = F.transform("urgent", lambda o: o["order_id"].cast("string"))
-    return found.select(
-        "customer_id", "urgent_part", F.size("urgent").cast("long").alias("n"),
-        F.array_join(ids, ",").alias("ids"),
-    )
+    """Orders of every customer with their place; customers without orders stay."""
+    unwind = {"path": "$orders", "includeArrayIndex": "place", "preserveNullAndEmptyArrays": True}
+    fields = {"customer_id": 1, "place": 1, "order_id": "$orders.order_id"}
+    return _with_orders(shop, {"$unwind": unwind}, {"$project": fields})
+
+
+@query(
+    "j22_lookup_sizes",
+    """SELECT region, n AS orders, count(*) AS customers FROM (
+         SELECT region, c.customer_id, count(order_id) AS n FROM customers c
+         LEFT JOIN all_orders o ON c.customer_id = o.customer_id GROUP BY 1, 2) GROUP BY 1, 2""",
+    ints="orders",
+)
+def lookup_sizes(shop) -> DataFrame:
+    """Customers by region and number of orders: each counts once, whatever it has."""
+    counted = _with_orders(shop, {"$project": {"region": 1, "n": {"$size": "$orders"}}})
+    return counted.groupBy("region", F.col("n").alias("orders")).agg(F.count(F.lit(1)).alias("customers"))
+
+
+@query(
+    "j22_lookup_then_group",
+    "SELECT region AS _id, count(*) AS customers FROM customers GROUP BY 1",
+)
+def lookup_then_group(shop) -> DataFrame:
+    return _with_orders(shop, {"$group": {"_id": "$region", "customers": {"$sum": 1}}})
 
 
 @query(
@@ -256,11 +275,11 @@ def event_child_rows(shop) -> DataFrame:
 
 @query(
     "d4_embed_items_in_orders",
-    """SELECT order_id, CAST((rn - 1) // 10000 AS INTEGER) AS items_part, count(*) AS n,
+    """SELECT order_id, count(*) AS n,
               string_agg(CAST(line_no AS VARCHAR) || ':' || product_id, ',' ORDER BY rn) AS lines
        FROM (SELECT *, row_number() OVER (PARTITION BY order_id
                                           ORDER BY line_no, product_id, ship_date, line_total) AS rn
-             FROM items) GROUP BY 1, 2""",
+             FROM items) GROUP BY 1""",
 )
 def embed_items_in_orders(shop) -> DataFrame:
     """Lines nested into their order, the inverse of unwinding."""
@@ -269,7 +288,7 @@ def embed_items_in_orders(shop) -> DataFrame:
     nested = D.nest(lines, "order_id", order, ["line_no", "product_id"], "items")
     text = F.transform("items", lambda i: F.concat_ws(":", i["line_no"], i["product_id"]))
     return nested.select(
-        "order_id", "items_part", F.size("items").cast("long").alias("n"),
+        "order_id", F.size("items").cast("long").alias("n"),
         F.array_join(text, ",").alias("lines"),
     )
 

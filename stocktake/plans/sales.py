@@ -32,6 +32,11 @@ def mean_of(sum_: Column, n: Column) -> Column:
     return F.round(sum_.cast(TOTAL) / F.nullif(n.cast("decimal(15,0)"), F.lit(0)), 2)
 
 
+def unit_price() -> Column:
+    """What a line was sold at a piece, in cents."""
+    return mean_of(F.col("line_total"), F.col("quantity"))
+
+
 def per_customer(orders: DataFrame) -> DataFrame:
     return orders.groupBy("customer_id").agg(
         F.count("order_id").alias("orders"), total("amount").alias("spent")
@@ -150,18 +155,20 @@ def order_details(shop) -> DataFrame:
 
 @query(
     "b7_order_line_receipts",
-    """SELECT order_id, order_date, status, customer_name, region, category, product_name,
-              quantity, line_total, amount AS order_total
-       FROM items JOIN all_orders USING (order_id) JOIN customers USING (customer_id)
-       JOIN products USING (product_id)""",
+    f"""SELECT order_id, order_date, status, customer_name, region, category, product_name, line_no,
+               quantity, {scaled('line_cents', 'quantity', 0)} / 100 AS unit_price, line_total,
+               amount AS order_total
+        FROM items JOIN all_orders USING (order_id) JOIN customers USING (customer_id)
+        JOIN products USING (product_id) ORDER BY order_id, line_no""",
     money="line_total order_total", dates="order_date",
 )
 def order_line_receipts(shop) -> DataFrame:
-    """One row per order line with customer and product."""
+    """One row per order line with customer and product, in the order of the lines."""
     return order_details(shop).select(
         "order_id", "order_date", "status", "customer_name", "region", "category",
-        "product_name", "quantity", "line_total", F.col("amount").alias("order_total"),
-    )
+        "product_name", "line_no", "quantity", unit_price().alias("unit_price"), "line_total",
+        F.col("amount").alias("order_total"),
+    ).orderBy("order_id", "line_no")
 
 
 @query(
@@ -514,8 +521,14 @@ def daily_revenue_over_spine(shop) -> DataFrame:
     return daily_revenue(shop.sales, span_of(shop.orders, "order_date"))
 
 
-def customer_summary(customers: DataFrame, sales: DataFrame, as_of: dt.date) -> DataFrame:
-    """Customer-360 view. A customer with cancelled orders only reads 'Never Ordered'."""
+def customer_summary(
+    customers: DataFrame, sales: DataFrame, as_of: dt.date, signups: DataFrame | None = None
+) -> DataFrame:
+    """Customer-360 view, with the signup date if ``signups`` is given. A customer with
+    cancelled orders only reads 'Never Ordered'."""
+    since = []
+    if signups is not None:
+        customers, since = customers.join(signups, "customer_id", "left"), ["signup_date"]
     stats = sales.groupBy("customer_id").agg(
         F.count("order_id").alias("n"),
         total("amount").alias("spent"),
@@ -528,6 +541,7 @@ def customer_summary(customers: DataFrame, sales: DataFrame, as_of: dt.date) ->
         "customer_name",
         "region",
         "segment",
+        *since,
         F.coalesce("n", F.lit(0)).alias("total_orders"),
         F.coalesce("spent", F.lit(0).cast(TOTAL)).alias("lifetime_value"),
         "first_order_date",
@@ -557,11 +571,14 @@ GROUP BY c.customer_id, customer_name, region, segment"""
 
 
 @query(
-    "b21_customer_summary", SUMMARY_SQL, money="lifetime_value",
-    dates="first_order_date last_order_date",
+    "b21_customer_summary",
+    f"""SELECT s.*, signup_date FROM ({SUMMARY_SQL}) s LEFT JOIN (
+          SELECT customer_id, min(order_date) AS signup_date FROM all_orders GROUP BY 1)
+        USING (customer_id)""",
+    money="lifetime_value", dates="first_order_date last_order_date signup_date",
 )
 def customer_summary_view(shop) -> DataFrame:
-    return customer_summary(shop.customers, shop.sales, AS_OF)
+    return customer_summary(shop.customers, shop.sales, AS_OF, shop.signups)
 
 
 @query(
@@ -599,7 +616,9 @@ def top_lifetime_value(shop) -> DataFrame:
                coalesce(sum(quantity), 0) AS total_units_sold,
                coalesce(sum(line_total), 0) AS total_revenue,
                count(DISTINCT order_id) AS times_ordered,
-               {scaled('sum(line_cents)', 'count(line_cents)', 0)} / 100 AS avg_line_value
+               {scaled('sum(line_cents)', 'count(line_cents)', 0)} / 100 AS avg_line_value,
+               {scaled(f"sum({half_up('line_cents', 'quantity')})", 'count(line_cents)', 0)} / 100
+                 AS avg_selling_price
         FROM products p LEFT JOIN items i ON p.product_id = i.product_id
         GROUP BY p.product_id, product_name, price, category""".replace(
         "coalesce(sum(quantity), 0)", "CAST(coalesce(sum(quantity), 0) AS BIGINT)"
@@ -613,6 +632,7 @@ def product_performance(shop) -> DataFrame:
         total("line_total").alias("revenue"),
         F.countDistinct("order_id").alias("times"),
         F.count(F.lit(1)).alias("n_lines"),
+        total(unit_price()).alias("unit_prices"),
     )
     return (
         shop.products.join(stats, "product_id", "left")
@@ -625,6 +645,7 @@ def product_performance(shop) -> DataFrame:
             F.coalesce("revenue", F.lit(0).cast(TOTAL)).alias("total_revenue"),
             F.coalesce("times", F.lit(0)).alias("times_ordered"),
             mean_of(F.col("revenue"), F.col("n_lines")).alias("avg_line_value"),
+            mean_of(F.col("unit_prices"), F.col("n_lines")).alias("avg_selling_price"),
         )
     )
 

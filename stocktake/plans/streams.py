@@ -106,11 +106,9 @@ def first_in_ttl_window(shop) -> DataFrame:
 @query(
     "x5_stream_enrichment",
     """SELECT event_id, user_id, segment FROM events
-       LEFT JOIN (SELECT * FROM customers WHERE segment <> 'BUILDING') ON customer_id = user_id""",
+       LEFT JOIN customers ON customer_id = user_id""",
 )
 def stream_enrichment(shop) -> DataFrame:
-    profiles = shop.customers.where(F.col("segment") != "BUILDING").select(
-        F.col("customer_id").alias("user_id"), "segment"
-    )
+    profiles = shop.customers.select(F.col("customer_id").alias("user_id"), "segment")
     events = _timed(shop).select("event_id", "user_id")
     return _collected(shop, X.enrich(events, profiles, "user_id").select("event_id", "user_id", "segment"))

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import cash, rows
+from conftest import cash, plan, rows
 from pyspark.sql import functions as F
 
 from stocktake.operators import documents as D
@@ -83,12 +83,60 @@ def test_nest_is_the_inverse_of_unwind(spark):
                                   "o int, n int, p string")
     for hot_rows in (100, 3):
         whole = D.nest(lines, "o", ["n"], ["n", "p"], "items", hot_rows=hot_rows)
-        assert rows(whole.where("o = 1"), "items_part", F.expr("items.n")) == [(0, list(range(1, 8)))]
-        parts = D.nest(lines, "o", ["n"], ["n", "p"], "items", chunk=3, hot_rows=hot_rows)
-        assert sorted(rows(parts, "o", "items_part", F.expr("items.n"))) == [
-            (1, 0, [1, 2, 3]), (1, 1, [4, 5, 6]), (1, 2, [7]), (2, 0, [1, 2])]
-        back = D.unwind(parts, "$items").select("o", "items.n", "items.p")
+        assert {r.o: [i.n for i in r["items"]] for r in whole.collect()} == {1: list(range(1, 8)), 2: [1, 2]}
+        back = D.unwind(whole, "$items").select("o", "items.n", "items.p")
         assert sorted(rows(back)) == sorted(rows(lines))
+        flat = D.numbered_children(lines, "o", ["-n"], hot_rows=hot_rows)
+        assert sorted(rows(flat, "o", "position", "n"))[:2] == [(1, 0, 7), (1, 1, 6)]
+
+
+def test_unwind_options(spark):
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None)], "k int, v array<string>")
+    spec = {"path": "$v", "includeArrayIndex": "i", "preserveNullAndEmptyArrays": True}
+    assert sorted(rows(D.unwind(df, spec), "k", "i", "v"), key=repr) == [
+        (1, 0, "a"), (1, 1, "b"), (2, None, None), (3, None, None)]
+    assert sorted(rows(D.unwind(df, {"path": "$v"}))) == [(1, "a"), (1, "b")]
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """One parent with 10,001 matches, one with two, one with none, one without key."""
+    parents = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y"), (None, "y")], "k int, kind string")
+    children = spark.range(10_001).select(F.lit(1).alias("f"), F.col("id").alias("n")).unionByName(
+        spark.createDataFrame([(2, 8), (2, 7), (None, 1)], "f int, n long"))
+    join = {"from": children, "localField": "k", "foreignField": "f", "as": "found", "order": ["n"]}
+    return parents, {"$lookup": join}
+
+
+def test_a_parent_counts_once_whatever_it_has(many):
+    parents, join = many
+    counted = D.aggregate(parents, [join, {"$group": {"_id": "$kind", "n": {"$sum": 1}}}])
+    assert sorted(rows(counted)) == [("x", 2), ("y", 2)]
+    sizes = D.aggregate(parents, [join, {"$match": {"kind": "x"}}, {"$project": {"k": 1, "n": {"$size": "$found"}}}])
+    assert sorted(rows(sizes)) == [(1, 10_001), (2, 2)]
+    assert "collect_list" not in plan(counted) + plan(sizes)
+    whole = D.aggregate(parents, [join])
+    assert whole.columns == ["k", "kind", "found"] and whole.count() == 4
+    kept = D.aggregate(parents, [join, {"$project": {"kind": 1, "found": 1, "n": {"$size": "$found"}}}])
+    assert sorted(rows(kept, "kind", "n")) == [("x", 2), ("x", 10_001), ("y", 0), ("y", 1)]
+
+
+def test_lookup_then_unwind_is_a_flat_join(many):
+    parents, join = many
+    flat = D.aggregate(parents, [join, {"$unwind": "$found"}, {"$group": {"_id": "$kind", "t": {"$sum": "$found.n"}}}])
+    assert sorted(rows(flat)) == [("x", 10_000 * 10_001 / 2 + 15.0), ("y", 1.0)]
+    assert "collect_list" not in plan(flat)
+    spec = {"path": "$found", "includeArrayIndex": "i", "preserveNullAndEmptyArrays": True}
+    placed = D.aggregate(parents, [join, {"$unwind": spec}, {"$project": {"k": 1, "i": 1, "n": "$found.n"}}])
+    found = rows(placed.where("k is null or k <> 1"))
+    assert sorted(found, key=repr) == [(2, 0, 7), (2, 1, 8), (3, None, None), (None, 0, 1)]
+
+
+def test_lookups_in_a_row(spark, many):
+    parents, join = many
+    again = {"$lookup": join["$lookup"] | {"as": "twice"}}
+    both = D.aggregate(parents, [join, again, {"$project": {"k": 1, "a": {"$size": "$found"}, "b": {"$size": "$twice"}}}])
+    assert sorted(rows(both), key=repr) == [(1, 10_001, 10_001), (2, 2, 2), (3, 0, 0), (None, 1, 1)]
 
 
 def test_lookup(spark):
