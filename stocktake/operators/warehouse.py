@@ -206,11 +206,13 @@ def _versions_before(
 def scd2_merge(
     dim: DataFrame, changes: DataFrame, key: str, tracked: list[str], day: str, sequence: str,
     surrogate: str, hot_rows: int | None = None, rejects: str | None = None,
+    highest: int | None = None,
 ) -> DataFrame:
     """The dimension after a batch of changes: changed versions are closed, new ones
     inserted with fresh keys, everything else is passed through unshuffled when the
     batch touches few keys. ``dim`` should be a stored table. Changes that come too late
-    are written to the folder ``rejects``, if one is named.
+    are written to the folder ``rejects``, if one is named. Where ``dim`` is a part of the
+    dimension only, ``highest`` is the highest key of all.
 
     Merging batch by batch gives the versions of ``scd2_history`` over all changes, wherever
     the batches are cut, as long as no change is late."""
@@ -232,7 +234,7 @@ def scd2_merge(
     )
     fresh = with_surrogate_keys(
         merged.where(F.col(surrogate).isNull()).drop(surrogate),
-        ["effective_date", key], surrogate, highest_key(dim, surrogate),
+        ["effective_date", key], surrogate, highest_key(dim, surrogate) if highest is None else highest,
     )
     known = merged.where(F.col(surrogate).isNotNull())
     parts = [closed, untouched, known, fresh]

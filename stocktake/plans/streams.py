@@ -79,10 +79,11 @@ def stream_scd2_load(shop) -> DataFrame:
     )
     root, checkpoint = scratch_path(shop.spark, "dim"), scratch_path(shop.spark, "stream-ck")
     X.scd2_stream(
-        feed, root, checkpoint, "customer_id", ["payment"], "order_date", "order_id", "customer_sk"
+        feed, root, checkpoint, "customer_id", ["payment"], "order_date", "order_id", "customer_sk",
+        buckets=16,
     )
-    version = X.latest_version(shop.spark, root)
-    return shop.spark.read.parquet(f"{root}/version={version}")
+    schema = X.versions_schema(feed, "customer_id", "order_date", "order_id", "customer_sk")
+    return X.read_dimension(shop.spark, root, schema, "customer_id")
 
 
 @query(

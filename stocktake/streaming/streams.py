@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from stocktake.operators.warehouse import scd2_history, scd2_merge, with_surrogate_keys
+from stocktake.operators.warehouse import scd2_merge
+from stocktake.session import stage
+from stocktake.sources.versions import MOST_FOLDERS, Buckets
+
+# Parts of a stored dimension: current versions, and those that have ended.
+OPEN, CLOSED = "open", "closed"
 
 
 def read_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
@@ -139,76 +144,82 @@ def first_in_window(events: DataFrame, key: str, at: str, event_id: str, seconds
 # --- SCD type 2 from a stream of changes ------------------------------------
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    """Highest complete version folder of a stored dimension."""
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(base)]
-    versions = [int(n.split("=")[1]) for n in names if n.startswith("version=")]
-    done = [
-        v for v in versions if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/version={v}/_SUCCESS"))
-    ]
-    return max(done, default=None)
-
-
-def _claim_version(spark: SparkSession, root: str, batch: str, free: int) -> int:
-    """The version that ``batch`` has claimed before, or ``free``, which it claims now. A claim
-    on ``free`` that another batch left without completing the version is void."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    base = path(f"{root}/_merged")
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(path(f"{root}/_merged/version=*/{batch}")) or []
-    claims = [int(s.getPath().getParent().getName().split("=")[1]) for s in found]
-    if claims:
-        return max(claims)
-    fs.delete(path(f"{root}/_merged/version={free}"), True)
-    fs.mkdirs(path(f"{root}/_merged/version={free}/{batch}"))
-    return free
-
-
-def read_dimension(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    version = latest_version(spark, root)
-    if version is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/version={version}")
+def read_dimension(spark: SparkSession, root: str, schema: T.StructType, key: str) -> DataFrame:
+    """All versions of a stored dimension, as of its newest manifest."""
+    stored = Buckets(spark, root, key)
+    return stored.rows(schema, OPEN).unionByName(stored.rows(schema, CLOSED))
+
+
+def merge_changes(
+    root: str, changes: DataFrame, key: str, tracked: list[str], day: str, sequence: str,
+    surrogate: str, source: str, batch: int, buckets: int = 64,
+) -> list[int]:
+    """Merge a batch of changes into the dimension below ``root``; gives the buckets written.
+
+    Versions lie in buckets by key. Only those of the changed keys are read and written: their
+    current versions anew, while versions that end are added to what has ended before. An ended
+    version is touched again only if a change of the day it ended on makes it go on. A version
+    of the manifest publishes all of it, with the highest surrogate and the batch, so that a
+    repeated batch does nothing. Late changes are in ``<root>/_rejects/<source>-<batch>``.
+    """
+    spark = changes.sparkSession
+    stored = Buckets(spark, root, key, buckets)
+    if int(stored.table.value("batch", source) or -1) >= batch:
+        return []
+    done = {("batch", source): str(batch)}
+    schema = versions_schema(changes, key, day, sequence, surrogate)
+    touched = [r[0] for r in changes.select(stored.number()).distinct().collect()]  # a number per bucket
+    highest = int(stored.table.value("highest") or 0)
+    current = stored.rows(schema, OPEN, touched)
+    same_day = current.join(
+        changes.select(key, F.col(day).alias("effective_date")).distinct(), [key, "effective_date"], "left_semi"
+    ).select(key, F.col("effective_date").alias("end_date"))
+    ended = stored.rows(schema, CLOSED, touched)
+    prior = stage(ended.join(same_day, [key, "end_date"], "left_semi"), "scd2-prior")
+    merged = stage(
+        scd2_merge(
+            current.unionByName(prior), changes, key, tracked, day, sequence, surrogate,
+            rejects=f"{root}/_rejects/{source}-{batch}", highest=highest,
+        ),
+        "scd2-merged",
+    )
+    closed = merged.where(~F.col("is_current")).join(prior.select(surrogate, "end_date"), [surrogate, "end_date"], "left_anti")
+    closed = closed.select(*schema.names)
+    # Ended versions that go on, or end on another day, leave the ended ones.
+    again = stage(prior.join(merged.where(~F.col("is_current")), [surrogate, "end_date"], "left_anti").select(key, surrogate), "scd2-again")
+    anew = {r[0] for r in again.select(stored.number()).distinct().collect()}
+    anew |= {b for b in touched if stored.folders(CLOSED, b) >= MOST_FOLDERS}
+    if anew:
+        kept = stored.rows(schema, CLOSED, sorted(anew)).join(again.select(surrogate), surrogate, "left_anti")
+        closed = closed.unionByName(kept.select(*schema.names))
+    written = stored.write(merged.where("is_current"), OPEN) + stored.write(closed, CLOSED)
+    top = max(highest, merged.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0])
+    replaced = {OPEN: touched, CLOSED: sorted(anew)}
+    stored.commit(replaced, written, {**done, ("highest", ""): str(top)})
+    return touched
+
+
+def versions_schema(changes: DataFrame, key: str, day: str, sequence: str, surrogate: str) -> T.StructType:
+    """The columns of a dimension that these changes go into."""
+    own = [f for f in changes.schema if f.name not in (day, sequence)]
+    added = "effective_date date, end_date date, is_current boolean"
+    return T.StructType([T.StructField(surrogate, T.LongType()), *own, *T.StructType.fromDDL(added)])
 
 
 def scd2_stream(
     changes: DataFrame, root: str, checkpoint: str, key: str, tracked: list[str], day: str,
-    sequence: str, surrogate: str,
+    sequence: str, surrogate: str, buckets: int = 64,
 ) -> StreamingQuery:
-    """Merge each micro-batch of changes into the dimension below ``root``.
+    """Merge each micro-batch of changes into the dimension below ``root`` (``merge_changes``).
 
-    A batch writes a whole new version folder and reads the newest complete one, whichever
-    stream wrote that, so readers never see half and a new checkpoint goes on from the stored
-    dimension. ``<root>/_merged`` says which batch of which checkpoint a version holds: a
-    repeated batch is written again, or left if it was completed. Changes that come too late
-    are in ``<root>/_rejects/version=N``. One stream at a time may write to a dimension.
+    A new checkpoint goes on from the stored dimension, whichever stream wrote that. One stream
+    at a time may write to a dimension.
     """
     source = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch.isEmpty():
-            return
-        known = latest_version(spark, root)
-        version = _claim_version(spark, root, f"{source}-{batch_id}", 0 if known is None else known + 1)
-        if known is not None and version <= known:
-            return
-        if known is None:
-            built = scd2_history(batch, key, tracked, day, sequence)
-            result = with_surrogate_keys(built, ["effective_date", key], surrogate)
-        else:
-            dim = spark.read.parquet(f"{root}/version={known}")
-            result = scd2_merge(
-                dim, batch, key, tracked, day, sequence, surrogate,
-                rejects=f"{root}/_rejects/version={version}",
-            )
-        result.write.mode("overwrite").parquet(f"{root}/version={version}")
+        if not batch.isEmpty():
+            merge_changes(root, batch, key, tracked, day, sequence, surrogate, source, batch_id, buckets)
 
     query = (
         changes.writeStream.foreachBatch(merge)
