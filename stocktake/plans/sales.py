@@ -650,12 +650,9 @@ def product_performance(shop) -> DataFrame:
     )
 
 
-def monthly_sales(shop, sales: DataFrame) -> DataFrame:
-    """Orders, customers, units and revenue per month, region and category.
-
-    The two distinct counts come from grouping in steps (order, then customer, then
-    the report keys), which keeps the rows from being expanded once per count.
-    """
+def monthly_partials(shop, sales: DataFrame) -> DataFrame:
+    """Per month, region, category and customer: orders (``rows``), units and revenue. An order
+    belongs to one customer and month, so these add up over any split of the orders."""
     lines = shop.items.select("order_id", "product_id", "quantity", "line_total")
     orders = sales.select("order_id", "customer_id", S.month_of(F.col("order_date")).alias("month"))
     per_order = (
@@ -665,15 +662,24 @@ def monthly_sales(shop, sales: DataFrame) -> DataFrame:
         .agg(F.sum("quantity").alias("units"), total("line_total").alias("revenue"))
     )
     per_buyer = per_order.groupBy("customer_id", "month", "category").agg(
-        F.count(F.lit(1)).alias("orders"),
+        F.count(F.lit(1)).alias("rows"),
         F.sum("units").alias("units"),
         total("revenue").alias("revenue"),
     )
+    return per_buyer.join(shop.customers.select("customer_id", "region"), "customer_id")
+
+
+def monthly_sales(shop, sales: DataFrame) -> DataFrame:
+    """Orders, customers, units and revenue per month, region and category.
+
+    The two distinct counts come from grouping in steps (order, then customer, then
+    the report keys), which keeps the rows from being expanded once per count.
+    """
     return (
-        per_buyer.join(shop.customers.select("customer_id", "region"), "customer_id")
+        monthly_partials(shop, sales)
         .groupBy("month", "region", "category")
         .agg(
-            F.sum("orders").alias("order_count"),
+            F.sum("rows").alias("order_count"),
             F.count(F.lit(1)).alias("unique_customers"),
             F.sum("units").alias("units_sold"),
             total("revenue").alias("revenue"),

@@ -14,10 +14,11 @@ from stocktake.operators import documents as D
 from stocktake.operators import quality as Q
 from stocktake.plans import documents, quality
 from stocktake.plans.registry import query
-from stocktake.plans.sales import MONTHLY_SQL, monthly_sales, order_details, total
+from stocktake.plans.sales import MONTHLY_SQL, monthly_partials, monthly_sales, order_details, total
 from stocktake.session import scratch_path
 from stocktake.sources import files
 from stocktake.sources.tables import STORE_DEFAULTS, apply_table, schema_of
+from stocktake.sources.versions import Summary, append_batch, read_appended
 
 
 @query(
@@ -140,6 +141,40 @@ def stored_monthly_sales_refresh(shop) -> DataFrame:
     return files.refresh_summary(late, path, "month")
 
 
+@query("s9_monthly_sales_by_differences", MONTHLY_SQL, money="revenue", dates="month")
+def monthly_sales_by_differences(shop) -> DataFrame:
+    """The monthly summary as of mid-July 2001, when orders counted that were cancelled since;
+    then one refresh with the orders that came later and without the cancelled ones."""
+    spark, at = shop.spark, F.col("ordered_at")
+    early = (at < F.lit(dt.date(2001, 7, 15)).cast("timestamp_ntz")) | at.isNull()
+    keys = ("month", "region", "category")
+    summary = Summary(scratch_path(spark, "summary"), keys, "month", "customer_id", ("units", "revenue"))
+    first = monthly_partials(shop, shop.orders.where(early))
+    summary.refresh(first)
+    cancelled = shop.orders.where(early & (F.col("status") == "P"))
+    summary.refresh(
+        monthly_partials(shop, shop.sales.where(~early)), monthly_partials(shop, cancelled)
+    )
+    found = summary.read(spark, first.schema, "unique_customers")
+    return found.select(
+        *keys, F.col("rows").alias("order_count"), "unique_customers", F.col("units").alias("units_sold"), "revenue"
+    )
+
+
+@query(
+    "s10_batches_appended_once",
+    """SELECT order_id, line_no, product_id, quantity, line_total, return_flag FROM items""",
+    money="line_total",
+)
+def batches_appended_once(shop) -> DataFrame:
+    """Order lines loaded in three batches, two of them sent again."""
+    root = scratch_path(shop.spark, "facts")
+    lines = shop.items.select("order_id", "line_no", "product_id", "quantity", "line_total", "return_flag")
+    for batch in (0, 1, 1, 2, 0):
+        append_batch(lines.where(F.col("order_id") % 3 == batch), root, "return_flag", f"load-{batch}")
+    return read_appended(shop.spark, root, lines.schema)
+
+
 @query(
     "s11_clustered_layout",
     """SELECT order_id, status, order_date FROM all_orders

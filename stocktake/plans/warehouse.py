@@ -106,6 +106,30 @@ def scd2_incremental_merge(shop) -> DataFrame:
     )
 
 
+@query(
+    "h2_scd2_two_tracked_columns",
+    """WITH feed AS (SELECT customer_id, order_date, payment, status FROM (
+         SELECT *, row_number() OVER (PARTITION BY customer_id, order_date ORDER BY order_id DESC) AS rn
+         FROM all_orders) WHERE rn = 1)
+       SELECT customer_id, payment, status, order_date AS effective_date,
+              coalesce(lead(order_date) OVER w, DATE '9999-12-31') AS end_date,
+              lead(order_date) OVER w IS NULL AS is_current
+       FROM (SELECT *, lag(payment) OVER v AS payment_before, lag(status) OVER v AS status_before
+             FROM feed WINDOW v AS (PARTITION BY customer_id ORDER BY order_date))
+       WHERE payment_before IS NULL OR payment_before <> payment OR status_before <> status
+       WINDOW w AS (PARTITION BY customer_id ORDER BY order_date)""",
+    dates="effective_date end_date",
+)
+def scd2_two_tracked_columns(shop) -> DataFrame:
+    """A change of either column opens a version; history up to the cutover, then a batch."""
+    feed = shop.orders.select("customer_id", "payment", "status", "order_date", "order_id")
+    late, keys, tracked = F.col("order_date") >= F.lit(CUTOVER), ["effective_date", "customer_id"], ["payment", "status"]
+    before = W.scd2_history(feed.where(~late), "customer_id", tracked, "order_date", "order_id")
+    dim = W.with_surrogate_keys(before, keys, "customer_sk")
+    merged = W.scd2_merge(dim, feed.where(late), "customer_id", tracked, "order_date", "order_id", "customer_sk")
+    return merged.drop("customer_sk")
+
+
 @query(
     "h5_change_status",
     f"""WITH {VERSIONS_CTE.strip()}
