@@ -13,6 +13,9 @@ from stocktake.sources.tables import TOTAL
 from stocktake.streaming import streams as X
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _stream(shop, table: str) -> DataFrame:
     schema = shop.table(table).schema
     return X.read_stream(shop.spark, shop.path, f"{table}.parquet", schema)
@@ -113,3 +116,35 @@ def stream_enrichment(shop) -> DataFrame:
     profiles = shop.customers.select(F.col("customer_id").alias("user_id"), "segment")
     events = _timed(shop).select("event_id", "user_id")
     return _collected(shop, X.enrich(events, profiles, "user_id").select("event_id", "user_id", "segment"))
+
+
+@query(
+    "x4_stream_first_in_ttl_window",
+    """WITH RECURSIVE chain AS (
+         SELECT user_id, min(ts) AS opener FROM events GROUP BY user_id
+         UNION ALL
+         SELECT c.user_id, min(e.ts) FROM chain c JOIN events e
+           ON e.user_id = c.user_id AND e.ts > c.opener + INTERVAL 1 DAY GROUP BY c.user_id),
+       opening AS (SELECT c.user_id, opener, min(event_id) AS event_id FROM chain c
+         JOIN events e ON e.user_id = c.user_id AND e.ts = c.opener GROUP BY 1, 2)
+       SELECT e.event_id, e.user_id, o.event_id IS NULL AS is_repeat
+       FROM events e LEFT JOIN opening o ON e.event_id = o.event_id""",
+    retail=False,
+)
+def stream_first_in_ttl_window(shop) -> DataFrame:
+    """The events as a stream of three batches, up to two days out of order."""
+    spark = shop.spark
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    source, out, checkpoint = (scratch_path(spark, f"stream-{n}") for n in ("in", "out", "ck"))
+    events = shop.events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    low, high = events.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    arrives = F.unix_seconds("ts") + F.pmod(F.xxhash64("event_id"), F.lit(2 * 86_400))
+    length = ((high or 0) + 2 * 86_400 - (low or 0)) // 3 + 1
+    batch = F.floor((arrives - F.lit(low or 0)) / length)
+    marked = None
+    for number in range(3):
+        events.where(batch == number).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        marks = X.first_in_window(stream, "user_id", "ts", "event_id", 86_400, "49 hours")
+        marked = X.run_latest(marks, ["event_id"], out, checkpoint)
+    return marked.select("event_id", F.col("key").alias("user_id"), "is_repeat")

@@ -14,11 +14,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from stocktake.operators.warehouse import scd2_merge
 from stocktake.session import stage
-from stocktake.sources.versions import MOST_FOLDERS, Buckets
+from stocktake.sources.versions import MOST_FOLDERS, Buckets, Entry, Manifest
 
 # Parts of a stored dimension: current versions, and those that have ended.
 OPEN, CLOSED = "open", "closed"
 
+# Events in one piece of state, and in one frame given back.
+CHUNK = 65_536
+
 
 def read_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
     """The table ``name`` below ``folder`` as a stream of files, be it one file or a folder of
@@ -43,21 +46,37 @@ def run_available(df: DataFrame, out: str, checkpoint: str, mode: str = "append"
 def run_latest(df: DataFrame, keys: list[str], out: str, checkpoint: str) -> DataFrame:
     """Process what is there, then stop; gives the latest state of every key.
 
-    Each micro-batch writes the keys it changed to a folder of its own, again if it is
-    repeated; groups still open are part of it. The highest batch of a key counts.
+    Each micro-batch adds the keys it changed to a table in versions below ``out``, groups still
+    open among them; the highest batch of a key counts. When there are ``MOST_FOLDERS`` batches
+    they are merged, so that a read never touches more. A repeated batch is left.
     """
+    spark = df.sparkSession
+    schema = T.StructType([*df.schema, T.StructField("_batch", T.LongType())])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        table = Manifest(spark, out)
+        if int(table.value("batch") or -1) >= batch_id:
+            return
+        folder = table.folder()
+        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.parquet(table.path(folder))
+        folders = [*[e.value for e in table.of("rows")], folder]
+        if len(folders) > MOST_FOLDERS:
+            merged = table.folder()
+            _newest(table.rows(schema, folders), keys).write.parquet(table.path(merged))
+            folders = [merged]
+        table.commit([Entry("batch", "", str(batch_id)), *[Entry("rows", "", f) for f in folders]])
 
-    write(df.sparkSession.createDataFrame([], df.schema), -1)  # there may be no batch at all
     df.writeStream.foreachBatch(write).outputMode("update").option(
         "checkpointLocation", checkpoint
     ).trigger(availableNow=True).start().awaitTermination()
-    schema = T.StructType([*df.schema, T.StructField("batch", T.LongType())])
-    written = df.sparkSession.read.schema(schema).parquet(out)
-    latest = F.max_by(F.struct(*df.columns), "batch").alias("row")
-    return written.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(latest).select("row.*")
+    table = Manifest(spark, out)
+    return _newest(table.rows(schema, [e.value for e in table.of("rows")]), keys).drop("_batch")
+
+
+def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of the highest batch for each key; a batch has one row for a key."""
+    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), "_batch").alias("row")
+    return rows.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(newest).select("row.*")
 
 
 def first_per_key(events: DataFrame, keys: list[str], at: str, event_id: str) -> DataFrame:
@@ -92,28 +111,63 @@ def enrich(events: DataFrame, profiles: DataFrame, key: str) -> DataFrame:
     return events.join(profiles, key, "left")
 
 
+def _in_order(events: np.ndarray) -> np.ndarray:
+    return events[np.lexsort((events[:, 1], events[:, 0]))]
+
+
 class FirstInWindow(StatefulProcessor):
-    """Keeps one timestamp per key: the start of the open window."""
+    """Marks events in time order although they arrive out of it.
+
+    Kept per key: the start of the window that the last settled event lies in, and the pending
+    events, as chunks of (time, id) pairs. Events behind the watermark are settled, since no
+    event before them can come any more; the others are marked again with whatever comes
+    between them. A batch is never gathered in one frame: 16 bytes of an event are held.
+    """
 
     def __init__(self, micros: int):
         self.micros = micros
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("start", T.LongType())])
-        self.start = handle.getValueState("start", schema)
+        self.handle = handle
+        self.start = handle.getValueState("start", T.StructType([T.StructField("start", T.LongType())]))
+        self.pending = handle.getListState("pending", T.StructType([T.StructField("chunk", T.BinaryType())]))
 
     def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+        chunks = [frame[["at", "event_id"]].to_numpy("int64") for frame in rows]
+        pending = _in_order(np.concatenate([*self._pending(), *chunks]))
+        starts, repeats = self._marked(pending[:, 0])
+        self._settle(pending, starts, timer_values)
+        for at in range(0, len(pending), CHUNK):
+            part = slice(at, at + CHUNK)
+            yield pd.DataFrame(
+                {"key": key[0], "event_id": pending[part, 1], "at": pending[part, 0], "is_repeat": repeats[part]}
+            )
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """No event of the key came since its pending ones were marked: they stay as they are."""
+        chunks = list(self._pending())
+        if chunks:
+            pending = _in_order(np.concatenate(chunks))
+            self._settle(pending, self._marked(pending[:, 0])[0], timerValues)
+        yield pd.DataFrame({"key": [], "event_id": [], "at": [], "is_repeat": []}).astype(
+            {"key": "int64", "event_id": "int64", "at": "int64", "is_repeat": "bool"}
+        )
+
+    def _pending(self) -> Iterator[np.ndarray]:
+        for (chunk,) in self.pending.get():
+            yield np.frombuffer(chunk, "int64").reshape(-1, 2)
+
+    def _marked(self, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For sorted events: the start of the window each lies in, and whether it is a repeat."""
         start = self.start.get()[0] if self.start.exists() else None
-        batch = pd.concat(list(rows)).sort_values(["at", "event_id"], kind="stable")
-        times = batch["at"].to_numpy()
-        repeats = np.ones(len(times), bool)
+        starts, repeats = np.empty(len(times), "int64"), np.ones(len(times), bool)
         at = 0 if start is None else self._after(times, start)
+        starts[:at] = start or 0
         while at < len(times):
-            repeats[at] = False
-            start = int(times[at])
-            at = max(at + 1, self._after(times, start))
-        self.start.update((int(start),))
-        yield batch.assign(is_repeat=repeats)[["key", "event_id", "at", "is_repeat"]]
+            stop = max(at + 1, self._after(times, int(times[at])))
+            repeats[at], starts[at:stop] = False, times[at]
+            at = stop
+        return starts, repeats
 
     def _after(self, times: np.ndarray, start: int) -> int:
         """Place of the first event outside the window opened at ``start``."""
@@ -121,23 +175,38 @@ class FirstInWindow(StatefulProcessor):
             return len(times)
         return int(np.searchsorted(times, start + self.micros, side="right"))
 
+    def _settle(self, pending: np.ndarray, starts: np.ndarray, timer_values) -> None:
+        behind = int(np.searchsorted(pending[:, 0], timer_values.getCurrentWatermarkInMs() * 1000))
+        if behind:
+            self.start.update((int(starts[behind - 1]),))
+        self.pending.clear()
+        left = pending[behind:]
+        if len(left):
+            chunks = [(left[at : at + CHUNK].tobytes(),) for at in range(0, len(left), CHUNK)]
+            self.pending.put(chunks)
+            self.handle.registerTimer(int(left[-1, 0]) // 1000 + 1)
+
     def close(self) -> None:
         pass
 
 
-def first_in_window(events: DataFrame, key: str, at: str, event_id: str, seconds: float) -> DataFrame:
-    """Streaming form of the fixed-window repeat marking. Events of a key must arrive in
-    time order across batches. Needs the RocksDB state store provider."""
+def first_in_window(
+    events: DataFrame, key: str, at: str, event_id: str, seconds: float, delay: str
+) -> DataFrame:
+    """Streaming form of the fixed-window repeat marking, for ``run_latest`` by event_id: an
+    event is marked again while events before it may still come. Events that are more than
+    ``delay`` behind the latest one are dropped. Needs the RocksDB state store provider."""
     rows = events.select(
         F.col(key).cast("long").alias("key"),
         F.col(event_id).cast("long").alias("event_id"),
-        F.unix_micros(F.col(at).cast("timestamp")).alias("at"),
+        F.col(at).cast("timestamp").alias("time"),
     )
-    return rows.groupBy("key").transformWithStateInPandas(
+    timed = rows.withWatermark("time", delay).withColumn("at", F.unix_micros("time"))
+    return timed.groupBy("key").transformWithStateInPandas(
         FirstInWindow(int(seconds * 1_000_000)),
         "key long, event_id long, at long, is_repeat boolean",
-        "append",
-        "none",
+        "update",
+        "eventTime",
     )
 
 

@@ -56,21 +56,36 @@ def test_expiry_is_strictly_after(spark):
     assert sorted(rows(got, "n", "is_repeat")) == [(1, False), (2, True), (3, False)]
 
 
-def test_stateful_marking_over_batches(spark, lookups, tmp_path):
+def test_stateful_marking_of_shuffled_events(spark, lookups, tmp_path, monkeypatch):
+    """Batches overlap by 600 seconds, and each is shuffled."""
+    monkeypatch.setattr(X, "CHUNK", 7)
     ids = {"hot": 0, "k0": 1, "k1": 2, "k2": 3, "k3": 4}
-    data = sorted(lookups, key=lambda r: (r[1], r[2]))
-    src = str(tmp_path / "src")
-    for start in (0, 150):
-        part = [(ids[k], at, n) for k, at, n, _ in data[start:start + 150]]
-        spark.createDataFrame(part, "k long, at timestamp_ntz, n long").coalesce(1).write.mode("append").parquet(src)
-        events = spark.readStream.schema("k long, at timestamp_ntz, n long").parquet(src)
-        marked = X.first_in_window(events, "k", "at", "n", 60)
-        X.run_available(marked, str(tmp_path / "out"), str(tmp_path / "ck"))
-    got = spark.read.parquet(str(tmp_path / "out"))
+    rng = random.Random(3)
+    late = {n: rng.randrange(600) for _, _, n, _ in lookups}
+    data = sorted(lookups, key=lambda r: r[1] + dt.timedelta(seconds=late[r[2]]))
+    src, schema = str(tmp_path / "src"), "k long, at timestamp, n long"
+    for start in range(0, 300, 75):
+        part = [(ids[k], at, n) for k, at, n, _ in data[start:start + 75]]
+        rng.shuffle(part)
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        marked = X.first_in_window(spark.readStream.schema(schema).parquet(src), "k", "at", "n", 60, "601 seconds")
+        got = X.run_latest(marked, ["event_id"], str(tmp_path / "out"), str(tmp_path / "ck"))
     want = brute([(k, at, n, True) for k, at, n, _ in lookups], 60)
     assert sorted(rows(got, "event_id", "is_repeat")) == want
 
 
+def test_reads_of_the_latest_state_stay_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(X, "MOST_FOLDERS", 3)
+    src, schema = str(tmp_path / "src"), "k long, at timestamp, n long"
+    for batch in range(5):
+        part = [(k, T0 + dt.timedelta(minutes=10 - batch), batch) for k in range(batch + 1)]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        first = X.first_per_key(spark.readStream.schema(schema).parquet(src), ["k"], "at", "n")
+        got = X.run_latest(first, ["k"], str(tmp_path / "out"), str(tmp_path / "ck"))
+        assert len(Manifest(spark, str(tmp_path / "out")).of("rows")) <= 3
+    assert sorted(rows(got, "k", "n")) == [(k, 4) for k in range(5)]
+
+
 def test_scd2_stream_in_batches(spark, tmp_path):
     src, root, ck = (str(tmp_path / n) for n in ("src", "dim", "ck"))
     schema = "id long, city string, day date, seq long"
