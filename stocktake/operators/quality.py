@@ -5,15 +5,18 @@ Rows are all-text DataFrames as read from CSV unless stated otherwise.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocktake.functions.scalar import CAST_NULLS, is_missing, parse_as, share_percent
 from stocktake.operators.ordered import HOT_ROWS, OrderedGroups, ordered_groups
 from stocktake.session import stage
+from stocktake.sources.versions import Entry, Manifest, partitions_of
 
 
 def _long(df: DataFrame, *records: Column) -> DataFrame:
@@ -400,3 +403,75 @@ class Cleaning:
         return recommendations(
             self.summary, self.profile, self.outliers if self.numeric else None
         )
+
+
+class GateClosed(ValueError):
+    """The data is empty, or columns that must be complete have missing values."""
+
+    def __init__(self, broken: list[str]):
+        super().__init__(f"not published: missing values in {broken}" if broken else "not published: no rows")
+        self.broken = broken
+
+
+CLEAN, SET_ASIDE = "clean", "set aside"
+
+
+def publish_cleaned(
+    raw: DataFrame, root: str, schema: dict[str, str], row_no: str, gate: tuple[str, ...] = (),
+    required: tuple[str, ...] = (),
+) -> None:
+    """Remove exact copies, cast, set rows without a required value aside, and publish the
+    result below ``root``, unless a column of ``gate`` has a missing value or there are no rows:
+    then ``GateClosed`` is raised and readers keep what was published before.
+
+    The input is read once. Missing values are counted while the result is written, and the
+    gate is decided from that before a manifest names the files; a stage that runs again can
+    count a value twice, which does not change whether there are any. What the run has removed
+    is part of the result: each row says how many copies it stands for.
+    """
+    table = Manifest(raw.sparkSession, root)
+    gate = tuple(c for c in gate if c in raw.columns)
+    seen = Observation("gate")
+    counts = [F.count_if(is_missing(F.col(f"`{c}`"))).alias(f"n{i}") for i, c in enumerate(gate)]
+    watched = raw.observe(seen, *counts) if gate else raw
+    content = [c for c in raw.columns if c != row_no]
+    unique = watched.groupBy(*content).agg(F.min(row_no).alias(row_no), F.count(F.lit(1)).alias("_copies"))
+    checks = [is_missing(F.col(f"`{c}`")) for c in required if c in raw.columns]
+    lacking = reduce(lambda a, b: a | b, checks, F.lit(False))
+    typed = cast_with_rejects(unique.withColumn("_lacking", lacking), schema)
+    folder = table.folder()
+    typed.withColumn("_kind", F.when(F.col("_lacking"), 1).otherwise(0)).drop("_lacking").write.partitionBy(
+        "_kind"
+    ).parquet(table.path(folder))
+    names = {0: CLEAN, 1: SET_ASIDE}
+    parts = [Entry(names[k], "", f"{folder}/_kind={k}") for k in partitions_of(table, folder, "_kind")]
+    found = seen.get if parts and gate else {}  # without rows nothing is counted
+    broken = [c for i, c in enumerate(gate) if found.get(f"n{i}")]
+    if broken or not parts:
+        raise GateClosed(broken)
+    columns = [f for f in typed.schema if f.name != "_lacking"]
+    table.commit([*parts, Entry("schema", "", T.StructType(columns).json())])
+
+
+def published(spark: SparkSession, root: str, kind: str = CLEAN) -> DataFrame:
+    """Published rows: typed columns, row number, ``_copies`` and ``_rejects``."""
+    table = Manifest(spark, root)
+    schema = T.StructType.fromJson(json.loads(table.value("schema")))
+    return table.rows(schema, [e.value for e in table.of(kind)])
+
+
+def published_summary(spark: SparkSession, root: str) -> DataFrame:
+    """Rows in and out of the run that was published, and why rows were left out. Reads counts
+    of the result only."""
+    kinds = [(CLEAN, 0), (SET_ASIDE, 1)]
+    parts = [published(spark, root, k).select("_copies", F.lit(i).alias("aside")) for k, i in kinds]
+    rows_in, rows_out = F.col("rows_in"), F.col("rows_out")
+    return (
+        parts[0].unionByName(parts[1])
+        .agg(
+            F.sum("_copies").alias("rows_in"), F.sum(F.col("_copies") - 1).alias("duplicates"),
+            F.count_if(F.col("aside") == 1).alias("incomplete_rows"),
+            F.count_if(F.col("aside") == 0).alias("rows_out"),
+        )
+        .withColumn("kept_pct", share_percent(rows_out, rows_in, 1))
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stocktake.operators import quality as Q
 from stocktake.plans.registry import query, scaled
+from stocktake.session import scratch_path
 from stocktake.sources import files
 
 RAW_SCHEMA = "order_id:int, units:int, amount:float, note"
@@ -297,3 +298,38 @@ def cleaned_rows(shop) -> DataFrame:
     """Gate, copies removed, incomplete rows set aside, values cast."""
     return _cleaned(shop).rows.withColumn("rejects", F.size("_rejects")).drop("_rejects")
 
+
+def _flow(shop) -> str:
+    """Raw rows from CSV files, through the gate, to a published table."""
+    files_, root = scratch_path(shop.spark, "csv"), scratch_path(shop.spark, "cleaned")
+    files.export_csv(raw_orders(shop), files_)
+    columns = ["row_no", *PARTS]
+    raw = files.read_csv(shop.spark, files_, columns).drop(files.CORRUPT)
+    raw = raw.withColumn("row_no", F.col("row_no").cast("long"))
+    schema = files.parse_schema(RAW_SCHEMA)
+    Q.publish_cleaned(raw, root, schema, "row_no", ("order_id", "amount"), tuple(REQUIRED))
+    return root
+
+
+@query(
+    "q15_published_rows",
+    f"""WITH {RAW_CTE.strip()} SELECT row_no, CAST(order_id AS BIGINT) AS order_id, customer_id,
+               CASE WHEN regexp_full_match(units, '[0-9]+') THEN CAST(units AS BIGINT) END AS units,
+               CAST(amount AS DOUBLE) AS amount, ordered, note,
+               CAST(units LIKE '%.%' AS INTEGER) AS rejects FROM complete""",
+)
+def published_rows(shop) -> DataFrame:
+    """The CSV flow as a whole: file, gate, copies removed, incomplete rows aside, cast."""
+    rows = Q.published(shop.spark, _flow(shop))
+    return rows.withColumn("rejects", F.size("_rejects")).drop("_rejects", "_copies")
+
+
+@query(
+    "q15_published_summary",
+    f"""WITH {RAW_CTE.strip()}, n AS (SELECT (SELECT count(*) FROM raw) AS rows_in,
+               (SELECT count(*) FROM once) AS unique_rows, (SELECT count(*) FROM complete) AS rows_out)
+        SELECT rows_in, rows_in - unique_rows AS duplicates, unique_rows - rows_out AS incomplete_rows,
+               rows_out, {scaled('rows_out * 100', 'rows_in', 1)} AS kept_pct FROM n""",
+)
+def published_summary(shop) -> DataFrame:
+    return Q.published_summary(shop.spark, _flow(shop))

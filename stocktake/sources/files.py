@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocktake.functions.scalar import number_text, parse_as, quote_sql, strip
+from stocktake.functions.scalar import number_text, quote_sql, strip
 from stocktake.session import broadcast_if_few, stage
 from stocktake.sources.multiline import csv_records
 
@@ -111,13 +111,10 @@ def read_csv_numbered(
     return numbered.withColumn(name, place).drop("_file", "_block", "_no", "_first", "_before")
 
 
-def cast_columns(df: DataFrame, schema: dict[str, str]) -> DataFrame:
-    """Typed projection by a user schema; unlisted columns stay text."""
-    return df.select(*[parse_as(F.col(c), schema.get(c, "str")).alias(c) for c in df.columns])
-
-
 def export_csv(df: DataFrame, path: str) -> bool:
-    """Write CSV part files with a header, NULL as empty. An empty result is not written."""
+    """Write CSV part files with a header, NULL as empty. An empty result is not written. The
+    rows are computed once and staged, since whether there are any is known only then."""
+    df = stage(df, "export")
     if df.isEmpty():
         return False
     doubles = {f.name: number_text(F.col(f"`{f.name}`")) for f in df.schema
@@ -158,11 +155,6 @@ def write_inserts(df: DataFrame, table: str, path: str) -> None:
 # --- stored summaries -------------------------------------------------------
 
 
-def append_rows(df: DataFrame, path: str, by: str) -> None:
-    """Append loaded facts or dimension rows to a table partitioned by ``by``."""
-    df.hint("rebalance", F.col(by)).write.mode("append").partitionBy(by).parquet(path)
-
-
 def _write_partitioned(df: DataFrame, path: str, by: str, mode: str) -> DataFrame:
     # The rebalance hint gathers the rows of a partition value into few files and still
     # splits a value that is much larger than the others.

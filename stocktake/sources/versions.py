@@ -160,7 +160,7 @@ class Summary:
         merged = self._partial(table.rows(delta.schema, old).unionByName(delta)).withColumn("_part", number)
         folder = table.folder()
         merged.hint("rebalance", F.col("_part")).write.partitionBy("_part").parquet(table.path(folder))
-        entries = [Entry("rows", found[n], f"{folder}/_part={n}") for n in _written(table, folder, "_part")]
+        entries = [Entry("rows", found[n], f"{folder}/_part={n}") for n in partitions_of(table, folder, "_part")]
         table.commit([*kept, *entries])
         return touched
 
@@ -175,7 +175,7 @@ class Summary:
         return stored.groupBy(*self.keys).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias(members), *sums)
 
 
-def _written(table: Manifest, folder: str, column: str) -> list[int]:
+def partitions_of(table: Manifest, folder: str, column: str) -> list[int]:
     """The partitions that a write has made; none if it had no rows."""
     try:
         written = table.spark.read.parquet(table.path(folder)).select(F.col(column).cast("long")).distinct()
@@ -213,7 +213,7 @@ class Buckets:
         folder = self.table.folder()
         dealt = df.withColumn("_bucket", self.number())
         dealt.hint("rebalance", F.col("_bucket")).write.partitionBy("_bucket").parquet(self.table.path(folder))
-        return [Entry(kind, str(b), f"{folder}/_bucket={b}") for b in _written(self.table, folder, "_bucket")]
+        return [Entry(kind, str(b), f"{folder}/_bucket={b}") for b in partitions_of(self.table, folder, "_bucket")]
 
     def commit(self, replaced: dict[str, list[int]], written: list[Entry], settings: dict[tuple[str, str], str]) -> None:
         """Publish ``written``, in place of what ``replaced`` names by kind, and settings by kind

@@ -246,3 +246,23 @@ def test_bounds_that_miss_the_median_are_dropped(spark, monkeypatch):
     moments = Q._moments(df, ["v"])["v"][:5]
     monkeypatch.setattr(Q, "_moments", lambda df, columns: {"v": (*moments, [7.0, 8.0])})
     assert Q.column_stats(df, ["v"]).first().median == 4.0
+
+
+def test_a_closed_gate_publishes_nothing(spark, tmp_path):
+    def publish(*data, gate=("id",)):
+        raw = spark.createDataFrame([(i, *r) for i, r in enumerate(data, 1)], "n long, id string, units string")
+        Q.publish_cleaned(raw, str(tmp_path), {"id": "int", "units": "int"}, "n", gate, ("units",))
+
+    with pytest.raises(Q.GateClosed, match="no rows"):
+        publish()
+    publish(("1", "5"), ("1", "5"), ("2", ""), ("3", "x"))
+    good = [(1, 1, 5, 2), (4, 3, None, 1)]
+    assert sorted(rows(Q.published(spark, str(tmp_path)), "n", "id", "units", "_copies")) == good
+    assert rows(Q.published(spark, str(tmp_path), Q.SET_ASIDE), "n", "id") == [(3, 2)]
+    assert rows(Q.published_summary(spark, str(tmp_path))) == [(4, 1, 1, 2, 50.0)]
+    with pytest.raises(Q.GateClosed) as closed:
+        publish(("1", "5"), ("null", "6"))
+    assert closed.value.broken == ["id"]
+    assert sorted(rows(Q.published(spark, str(tmp_path)), "n", "id", "units", "_copies")) == good
+    publish(("7", "8"), gate=("id", "not there"))
+    assert rows(Q.published(spark, str(tmp_path)), "id") == [(7,)]
