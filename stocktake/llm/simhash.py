@@ -166,22 +166,31 @@ def near_groups(
 def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
     """One row of each group: the one with the smallest key. Columns are those of ``df``.
 
-    Of several rows with that key one stays; a group in which no row has a key keeps one row.
+    Rows of one key can have different texts, and so lie in different groups. Such keys, and
+    rows without a key, are matched by their fingerprint, which is computed once more for them
+    only. Of several rows with the smallest key one stays, of the smallest fingerprint; a group
+    in which no row has a key keeps one row. Null and empty texts are one group; an empty table
+    stays empty.
     """
     found = stage(near_groups(df, key, text, **how), "simhash-rows")
-    kept = found.where(named(key) == F.col("component_id")).select(F.col("component_id").alias("kept")).distinct()
-    with_key = df.join(kept, named(key) == F.col("kept"), "left_semi").dropDuplicates([key])
-    fp, root = fresh("fp"), fresh("root")
+    fp, root, same = fresh("fp"), fresh("root"), fresh("key")
     shingle = how.get("shingle", SHINGLE)
-    keyless = found.where("component_id IS NULL").select(F.col("fp").alias(fp), F.col("root").alias(root)).distinct()
-    without = (
-        df.where(named(key).isNull())
-        .withColumn(fp, fingerprints(named(text), shingle))
-        .join(keyless, fp)
-        .dropDuplicates([root])
-        .drop(fp, root)
+    picked = found.where(named(key) == F.col("component_id")).groupBy(F.col("root").alias(root)).agg(
+        F.min("fp").alias(fp), F.min("component_id").alias(same)
     )
-    return with_key.unionByName(without)
+    picked = stage(picked, "simhash-picked")
+    several = found.groupBy(named(key).alias(same)).agg(F.min("fp").alias("least"), F.max("fp").alias("most"))
+    several = stage(several.where(F.col(same).isNotNull() & (F.col("least") < F.col("most"))).select(same), "simhash-keys")
+    plain = picked.join(several, same, "left_anti").select(same)
+    with_key = df.join(plain, named(key) == F.col(same), "left_semi").dropDuplicates([key])
+    keyless = found.where("component_id IS NULL").select(F.col("fp").alias(fp), F.col("root").alias(root)).distinct()
+    unclear = df.join(several, named(key) == F.col(same), "left_semi").withColumn(fp, fingerprints(named(text), shingle))
+    chosen = picked.join(several, same).withColumnRenamed(fp, f"{fp}_")
+    by_print = unclear.join(chosen, (named(key) == F.col(same)) & (F.col(fp) == F.col(f"{fp}_")))
+    unkeyed = df.where(named(key).isNull()).withColumn(fp, fingerprints(named(text), shingle)).join(keyless, fp)
+    parts = [by_print.drop(same, f"{fp}_"), unkeyed.select(*by_print.drop(same, f"{fp}_").columns)]
+    rest = parts[0].unionByName(parts[1]).dropDuplicates([root]).drop(fp, root)
+    return with_key.unionByName(rest)
 
 
 def as_hex(fp: Column) -> Column:

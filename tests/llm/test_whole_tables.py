@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from stocktake.llm import audit, queries, sharding, trie
+from stocktake.llm import audit, queries, sharding, simhash, trie
 from stocktake.session import scratch_path
 
 DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())])
@@ -211,3 +211,18 @@ def test_forests_merge_across_borders(llm, seed):
     turns = llm.createDataFrame(rows, "conv_id long, depth long, digest binary, size long, total long")
     got = trie.prefix_trie(turns, llm.createDataFrame([(c,) for c in sequences], "conv_id long")).collect()
     assert {tuple(r)[:7] for r in got} == brute_trie(sequences) and len(got) == len(brute_trie(sequences))
+
+
+def test_one_document_of_each_group_stays(llm):
+    """Rows of one key with unlike texts are groups of their own; columns may have any name."""
+    texts = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcde"}
+    rows = [(1, texts["a"]), (1, texts["b"]), (2, texts["c"]), (3, texts["a"]), (0, texts["d"]), (0, texts["d"]), (0, texts["e"]),
+            (None, texts["e"]), (None, "no key"), (None, "no key"), (9, None), (8, "")]
+    df = llm.createDataFrame([(k, t, i, "x") for i, (k, t) in enumerate(rows)], "doc_id long, text string, kept int, root string")
+    got = simhash.representatives(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
+        [(1, texts["a"]), (1, texts["b"]), (2, texts["c"]), (0, texts["d"]), (0, texts["e"]), (None, "no key"), (8, "")],
+        key=repr,
+    )
+    assert simhash.representatives(df.limit(0)).count() == 0
