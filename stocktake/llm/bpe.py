@@ -279,6 +279,19 @@ class Bpe:
 
         return decoded(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """Ids as ``encode`` gives them, and the bytes that they decode to, in one pass."""
+        ranks, pattern = self.ranks, self.pattern
+
+        @F.pandas_udf("ids binary, decoded binary")
+        def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            coder = _coder(ranks.value, pattern)
+            for batch in batches:
+                ids = [coder.encode(t or "") for t in batch]
+                yield pd.DataFrame({"ids": ids, "decoded": [coder.decode(i) for i in ids]}, dtype=object)
+
+        return both(text)
+
 
 def round_trip(df: DataFrame, bpe: Bpe, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row of ``df``: key, ids, n_tokens and the decoded bytes.
@@ -287,10 +300,10 @@ def round_trip(df: DataFrame, bpe: Bpe, text: str = "text", key: str = "doc_id")
     keys each give one row; other columns are ignored, whatever their names; an empty table
     gives none. A text of any length is encoded whole, a segment at a time.
     """
-    ids = df.select(named(key).alias(key), bpe.encode(whole(text)).alias("ids"))
-    return ids.select(
+    coded = df.select(named(key).alias(key), bpe.round_trip(whole(text)).alias("_coded"))
+    return coded.select(
         named(key),
-        "ids",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        bpe.decode(F.col("ids")).alias("decoded"),
+        "_coded.ids",
+        (F.length("_coded.ids") / 4).cast("long").alias("n_tokens"),
+        "_coded.decoded",
     )
