@@ -112,9 +112,8 @@ def read_csv_numbered(
 
 
 def export_csv(df: DataFrame, path: str) -> bool:
-    """Write CSV part files with a header, NULL as empty. An empty result is not written. The
-    rows are computed once and staged, since whether there are any is known only then."""
-    df = stage(df, "export")
+    """Write CSV part files with a header, NULL as empty, in the order of the rows. An empty
+    result is not written."""
     if df.isEmpty():
         return False
     doubles = {f.name: number_text(F.col(f"`{f.name}`")) for f in df.schema
