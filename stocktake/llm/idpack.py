@@ -17,6 +17,7 @@ of a block: any stretch of ids can be read by ``unpack`` without the rest of its
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -72,12 +73,14 @@ class WordTokenizer:
 
     The tokenizer drops white space, so a text has the ids of its words one after the other.
     New words are encoded together: a word of letters is one piece, whose last token carries
-    the word end. Anything less plain is encoded on its own.
+    the word end. Anything less plain is encoded on its own. The library cuts strings of added
+    tokens out before it splits, so a text that may hold one goes to it whole.
     """
 
     def __init__(self, json: str):
         self.library = Tokenizer.from_str(json)
-        self.library.encode_special_tokens = True  # their strings are ordinary text
+        added = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)", re.IGNORECASE)
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.size = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.size, bool)
@@ -134,7 +137,7 @@ class WordTokenizer:
             plain = unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)
             # The tokenizer composes, then lowers letter by letter; where nothing is to be
             # composed and no letter depends on its neighbours, lowering first is the same.
-            if plain and "Σ" not in text:
+            if plain and "Σ" not in text and not self.added.search(text):
                 for gap in "\n\t\r":
                     low = low.replace(gap, " ")
                 split.append(low.split(" "))

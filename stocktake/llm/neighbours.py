@@ -2,7 +2,8 @@
 
 Vectors are quantised to int8 with one scale each, and packed into blocks. A tile is the
 product of a query block and a candidate block. The quantised products bound the true ones:
-with q = q' + e and c = c' + f, q.c differs from q'.c' by at most |e||c| + |q'||f|. Per query
+with q = q' + e and c = c' + f, q.c differs from q'.c' by at most |e||c| + |q'||f|. Vectors
+are scaled by powers of two first, so that no bound of a finite vector overflows. Per query
 the k-th best lower bound, and the k-th best score found so far, rule out most candidates;
 the survivors are recomputed from the original vectors in double precision and kept in a
 heap. Recall is therefore 1.
@@ -56,13 +57,15 @@ class _Block:
         self.ids = ids.values.to_numpy()
         self.vectors = flat.values.to_numpy().reshape(-1, dim).astype(np.float64)
         top = np.abs(self.vectors).max(axis=1)
-        # A scale under the smallest normal number would lose the vector: then all is error.
-        self.scale = np.maximum(top / 127.0, np.finfo(np.float64).tiny)
-        self.int8 = np.rint(self.vectors / self.scale[:, None]).astype(np.int8)
+        # Divided by a power of two, the largest component lies from 1 to 2.
+        self.power = np.frexp(top)[1] - 1
+        unit = np.ldexp(self.vectors, -self.power[:, None])
+        self.scale = np.ldexp(top, -self.power) / 127.0
+        self.int8 = np.rint(unit / self.scale[:, None]).astype(np.int8)
         near = self.int8 * self.scale[:, None]
-        self.norm = np.linalg.norm(self.vectors, axis=1)
+        self.norm = np.linalg.norm(unit, axis=1)
         self.near_norm = np.linalg.norm(near, axis=1)
-        self.error = np.linalg.norm(self.vectors - near, axis=1)
+        self.error = np.linalg.norm(unit - near, axis=1)
 
 
 def _exact(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -82,15 +85,18 @@ def _tile(q: _Block, c: _Block, best: list[list[tuple[float, int]]], k: int) ->
     middle = dots * q.scale[:, None] * c.scale[None, :]
     reach = q.error[:, None] * c.norm[None, :] + q.near_norm[:, None] * c.error[None, :]
     reach += _ROUNDING * q.norm[:, None] * c.norm[None, :]
+    # The query's own power is left out: it is the same for all its candidates. What is beyond
+    # the largest number or under the smallest keeps its order, or becomes a tie.
+    power = np.ldexp(1.0, c.power)
     for i, own in enumerate(q.ids):
         heap = best[i]
-        upper = middle[i] + reach[i]
-        floor = heap[0][0] if len(heap) == k else -np.inf
+        upper = (middle[i] + reach[i]) * power
+        floor = np.ldexp(heap[0][0], -q.power[i]) if len(heap) == k else -np.inf
         # One more than k, since one candidate may be the query's own.
         if len(c.ids) > k + 1:
-            lower = middle[i] - reach[i]
+            lower = (middle[i] - reach[i]) * power
             floor = max(floor, np.partition(lower, len(lower) - k - 1)[len(lower) - k - 1])
-        some = np.flatnonzero(upper >= floor)
+        some = np.flatnonzero(~(upper < floor))
         some = some[c.ids[some] != own]
         if not len(some):
             continue
@@ -116,7 +122,8 @@ def nearest(
     take no part, and neither do rows without an id. Only vectors of equal length meet. A row
     that repeats id and vector counts once; of several vectors under one id each is a
     candidate, scored under that id, and the least one is the query. Other columns are left
-    out. Empty tables give an empty result.
+    out. Empty tables give an empty result. Vectors of any magnitude take part; a score beyond
+    the range of doubles is infinite, or NaN where infinities of both signs meet in its sum.
 
     Blocks hold a bounded number of vectors, dealt by a hash of the id, and only blocks meet:
     every query block is sent to every candidate block of its length. A candidate block is

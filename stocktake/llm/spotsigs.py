@@ -27,8 +27,9 @@ ANCHORS = (
     "und von zu con del el los las lo no por se su una y"
 ).split()
 CHAIN = 2
-SPARSE = 20  # words for each signature by anchors from which chains of words are taken too
-EVERY = 4  # of these chains one in so many, chosen by its hash
+EVERY = 5  # words for each signature, which chains of words make up for where anchors are rare
+FEW = 20  # signatures of a text that has words for no more
+ANCHORED = 4  # of these few, what one by an anchor counts for
 # Scripts without spaces between words: each letter is a word.
 _SPACELESS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 BLOCK_BITS = 7  # 128 neighbouring document ids are a block
@@ -50,25 +51,39 @@ def _is_anchor(word: Column) -> Column:
     return word.isin(*ANCHORS)
 
 
-def _chains(words: Column, chain: int) -> Column:
-    """Hashes of chains of ``chain`` + 1 words: one in EVERY, or all if that is none."""
+def _chains(words: Column, chain: int, share: Column) -> Column:
+    """Hashes of chains of ``chain`` + 1 words: the lowest ``share`` of all hashes."""
     of = F.transform(
         words, lambda w, i: F.when(i + chain < F.size(words), F.hash(w, *[F.get(words, i + 1 + c) for c in range(chain)]))
     )
-    every = F.filter(of, lambda h: h.isNotNull())
-    some = F.filter(every, lambda h: F.pmod(h, F.lit(EVERY)) == 0)
-    return F.when(F.size(some) > 0, some).otherwise(every)
+    return F.filter(of, lambda h: h.isNotNull() & (F.pmod(h, F.lit(1 << 16)) < share * (1 << 16)))
+
+
+def _share(words: Column, listed: Column) -> Column:
+    """The share of chains that fills the signatures up to one in EVERY words, or up to FEW, of
+    which a signature by an anchor counts for ANCHORED. A word or an anchor more or less changes
+    the number wanted by a few, so nothing hangs on a limit that a small edit passes."""
+    wanted = F.greatest(F.least(words, F.lit(FEW)) - ANCHORED * listed, words / EVERY - listed)
+    return F.greatest(F.lit(0.0), wanted / F.greatest(words, F.lit(1)))
+
+
+def _own(text: Column) -> Column:
+    """A 64-bit hash in two halves."""
+    hashed = F.xxhash64(text)
+    halves = (F.shiftright(F.shiftleft(hashed, 32), 32), F.shiftright(hashed, 32))
+    return F.array_sort(F.array_distinct(F.array(*[h.cast("int") for h in halves])))
 
 
 def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> DataFrame:
     """Adds the sorted set of signatures, as 32-bit hashes.
 
     The content words after the j-th anchor, at place p, begin at place p - j of the content
-    words. An anchor followed by fewer than ``chain`` of them makes no signature. A text of
-    SPARSE words and more for each of these signatures has chains of neighbouring words as
-    signatures too, so that an edit changes a part of them only. A shorter text without any
-    signature has one: its own hash (so equal texts agree, others do not); an empty text has
-    none.
+    words. An anchor followed by fewer than ``chain`` of them makes no signature. Where these
+    signatures are few for the words, chains of neighbouring words, chosen by their hash, are
+    signatures too, so that an edit changes a part of them only; how many are taken changes by
+    degrees with the words and anchors. A text without any signature (of up to ``chain`` words,
+    as a rule) has its own 64-bit hash in two halves, so equal texts agree and others do not;
+    an empty text has none.
     """
     words, content, anchors = f"{out}_words", f"{out}_content", f"{out}_anchors"
     chained = F.transform(
@@ -79,11 +94,11 @@ def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN) -> D
         ),
     )
     anchored, listed = f"{out}_anchored", F.col(f"{out}_anchored")
-    sparse = (F.size(words) >= SPARSE) & (F.size(words) >= SPARSE * F.size(listed))
-    both = F.when(sparse, F.concat(listed, _chains(F.col(words), chain))).otherwise(listed)
+    share = _share(F.size(words), F.size(listed))
+    both = F.when(share > 0, F.concat(listed, _chains(F.col(words), chain, share))).otherwise(listed)
     found = F.array_sort(F.array_distinct(both))
     places = F.transform(words, lambda w, i: F.when(_is_anchor(w), i))
-    plain = F.when(named(text) == "", F.array().cast("array<int>")).otherwise(F.array(F.hash(named(text))))
+    plain = F.when(named(text) == "", F.array().cast("array<int>")).otherwise(_own(named(text)))
     return (
         df.withColumn(words, tokens(named(text)))
         .withColumn(content, F.filter(words, lambda w: ~_is_anchor(w)))

@@ -15,9 +15,11 @@ import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stocktake.llm.features import Words, grams, hashes
 from stocktake.llm.shared import named, whole
+from stocktake.session import stage
 
 BITS = 20
 SAMPLE = 6_000  # labelled documents that the model is fitted on at most
@@ -102,7 +104,10 @@ def sample(
     """At most ``rows`` labelled texts, and ``chars`` characters of them, by a hash of the id.
 
     The bound does not depend on the size of the tables: it is what the driver holds. Rows
-    without a label are left out; a document with several labels is one example for each.
+    without a label are left out; a document with several labels is one example for each, and
+    rows that repeat id, label and text are one example. A text that the characters left do
+    not hold is passed over, and the next ones are tried. What is chosen is known from ids,
+    lengths and digests; only chosen texts leave the tasks.
     """
     order = F.xxhash64(F.col("key"))
     chosen = (
@@ -112,20 +117,23 @@ def sample(
         .limit(rows)
     )
     texts = documents.select(named(key).alias("key"), whole(text).alias("text"))
-    found = texts.join(F.broadcast(chosen), "key").select("key", "label", "text")  # bounded rows
-    so_far = F.sum(F.length("text")).over(_by_hash())
-    kept = found.withColumn("so_far", so_far).where(F.col("so_far") <= chars)
-    got = kept.orderBy(F.xxhash64("key"), "key", "label", "text").limit(rows).collect()
+    labelled = texts.join(F.broadcast(chosen), "key")  # bounded rows
+    found = stage(labelled.select("key", "label", "text", F.sha2("text", 256).alias("digest")), "labelled")
+    sizes = found.groupBy("key", "label", "digest").agg(F.first(F.length("text")).alias("n"))
+    left, kept = chars, []
+    for r in sizes.orderBy(order, "key", "label", "digest").limit(rows).collect():  # bounded rows
+        if r.n <= left:
+            left -= r.n
+            kept.append((r.key, r.label, r.digest))
+    if not kept:
+        return [], []
+    fields = [f for f in found.schema if f.name in ("key", "label", "digest")]
+    wanted = F.broadcast(documents.sparkSession.createDataFrame(kept, StructType(fields)))  # bounded rows
+    got = found.join(wanted, ["key", "label", "digest"]).groupBy("key", "label", "digest").agg(F.first("text").alias("text"))
+    got = got.orderBy(order, "key", "label", "digest").collect()
     return [r.text for r in got], [r.label for r in got]
 
 
-def _by_hash():
-    from pyspark.sql import Window
-
-    order = [F.xxhash64("key"), F.col("key"), F.col("label"), F.col("text")]
-    return Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def held_out(key: Column) -> Column:
     """Rows that are never learned from."""
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(3)) == 1

@@ -28,6 +28,7 @@ LEAST = 20  # pages that a literal branch has at least
 Z = 1.96  # sibling branches closer than this many standard errors are one
 PRIOR = 20.0  # labelled pages that the smoothing counts as
 PURITY = 0.5
+WILD = "?"  # a wildcard in a template: a path ends before the first question mark
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -59,7 +60,7 @@ def with_templates(pages: DataFrame) -> DataFrame:
     Level by level, a segment stays literal with at least LEAST pages of its node; the others
     are one wildcard, and go on as a node if they are as many together. Of a node with fewer
     pages all that follows is one wildcard. Every level needs LEAST pages that reach it, so
-    the rounds end with the paths.
+    the rounds end with the paths. No segment of a path reads like the wildcard.
     """
     rows, level, done = pages.withColumn("template", F.lit("")), 0, []
     while True:
@@ -72,7 +73,7 @@ def with_templates(pages: DataFrame) -> DataFrame:
             .drop("n"),
             "branches",
         )
-        wild = F.concat("template", F.lit("/*"))
+        wild = F.concat("template", F.lit(f"/{WILD}"))
         if nodes.isEmpty():
             last = F.when(F.col("segment").isNull(), F.col("template")).otherwise(wild)
             done.append(rows.withColumn("template", last).drop("segment"))
@@ -124,7 +125,7 @@ def merged(templates: DataFrame) -> DataFrame:
             "host", "above", "own",
             ((F.col("branches") > 1) & ~F.coalesce(apart, F.lit(False))).alias("similar"),
         )
-        wild = F.concat("above", F.array(F.lit("*")), F.slice("branch", level + 2, 1 << 30))
+        wild = F.concat("above", F.array(F.lit(WILD)), F.slice("branch", level + 2, 1 << 30))
         rows = stage(
             rows.join(tested, ["host", "above", "own"], "left")
             .withColumn("branch", F.when(F.col("similar"), wild).otherwise(F.col("branch")))

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from stocktake.llm import graph, neighbours, quality, queries, simhash, spotsigs, toxicity, urls
 from tests.llm.conftest import docs
@@ -84,7 +85,7 @@ def test_urls(llm):
     assert [got[i].verdict for i in (1, 2, 6, 7)] == ["block", "block", "allow", "block"]
     # Two branches apart: 150 labelled pages each, all bad or none, smoothed by 20 at one half.
     assert {(got[100 + i].template, got[100 + i].verdict) for i in range(400)} == {
-        ("/bad/*", "block"), ("/good/*", "allow")
+        (f"/bad/{urls.WILD}", "block"), (f"/good/{urls.WILD}", "allow")
     }
     assert abs(got[101].purity - 10 / 170) < 0.01
     assert urls.judged(pages.limit(0), labels).count() == 0
@@ -108,7 +109,44 @@ def test_section_deep_in_a_path(llm):
     labels = llm.createDataFrame([(r[0], r[2]) for r in rows], "page_id long, bad int")
     got = {r.page_id: r for r in urls.judged(pages, labels).collect()}
     assert {key: r.verdict for key, r in got.items()} == {key: "block" if bad else "allow" for key, _, bad in rows}
-    assert got[0].template == "/2024/05/12/spam/*" and got[1000].template == "/*/en/cat/spam/*/v"
+    assert got[0].template == "/2024/05/12/spam/?" and got[1000].template == "/?/en/cat/spam/?/v"
+
+
+def test_segment_that_is_a_star(llm):
+    """Bad pages below a segment that is a star, and good ones of which each has its own."""
+    rows = [(i, f"http://h.net/*/p{i}", 1) for i in range(30)]
+    rows += [(1000 + i, f"http://h.net/u{i}/p{i}", 0) for i in range(200)]
+    pages = llm.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = llm.createDataFrame([(r[0], r[2]) for r in rows], "page_id long, bad int")
+    got = {r.page_id: r for r in urls.judged(pages, labels).collect()}
+    assert {key: r.verdict for key, r in got.items()} == {key: "block" if bad else "allow" for key, _, bad in rows}
+    assert got[0].template == "/*/?" and got[1000].template == "/?/?"
+
+
+def signed(h):
+    return h - (1 << 32) if h >> 31 else h
+
+
+def murmur(*words):
+    """Murmur3 as Spark's hash function has it: rest bytes are mixed one by one."""
+    low = 0xFFFFFFFF
+    h = 42
+
+    def turned(x, by):
+        return ((x << by) | (x >> (32 - by))) & low
+
+    for word in words:
+        data = word.encode()
+        whole = len(data) // 4 * 4
+        parts = [int.from_bytes(data[i : i + 4], "little") for i in range(0, whole, 4)]
+        for part in parts + [b - 256 if b > 127 else b for b in data[whole:]]:
+            k = turned(part * 0xCC9E2D51 & low, 15) * 0x1B873593 & low
+            h = (turned(h ^ k, 13) * 5 + 0xE6546B64) & low
+        h ^= len(data)
+        h = (h ^ (h >> 16)) * 0x85EBCA6B & low
+        h = (h ^ (h >> 13)) * 0xC2B2AE35 & low
+        h ^= h >> 16
+    return signed(h)
 
 
 def brute_signatures(text):
@@ -116,13 +154,18 @@ def brute_signatures(text):
 
     words = [w for w in regex.split(r"[^\p{L}\p{M}\p{N}]+", text.lower()) if w]
     content = [w for w in words if w not in spotsigs.ANCHORS]
-    out, seen = set(), 0
+    out, seen = [], 0
     for w in words:
         if w not in spotsigs.ANCHORS:
             seen += 1
         elif seen + 2 <= len(content):
-            out.add((w, *content[seen : seen + 2]))
-    return out or ({text} if text else set())
+            out.append(murmur(w, *content[seen : seen + 2]))
+    wanted = max(min(len(words), 20) - 4 * len(out), len(words) / 5 - len(out))
+    share = max(0.0, wanted / max(len(words), 1))
+    chains = [murmur(*three) for three in zip(words, words[1:], words[2:])]
+    out = set(out) | {h for h in chains if h % 65536 < share * 65536}
+    own = xxhash.xxh64_intdigest(text.encode(), 42)
+    return out or ({signed(own & 0xFFFFFFFF), signed(own >> 32)} if text else set())
 
 
 def test_spotsigs(llm):
@@ -168,6 +211,62 @@ def test_spotsigs_without_anchors(llm):
         assert pairs.count() == 1 or {r["class"] for r in members.collect()} == {1}
 
 
+def test_spotsigs_change_by_degrees(llm):
+    """A word more changes few signatures, whatever the number of words and of anchors."""
+    draw = random.Random(9)
+    words = ["".join(draw.choice("bcdfgklmnprst") for _ in range(6)) for _ in range(1700)]
+    for anchored in (0, 1, 20, 40):
+        rows = []
+        for n in (12, 19, 20, 21, 39, 40, 79, 80, 399, 400, 401, 799, 800, 801, 1600):
+            own = list(words[:n])
+            for at in range(min(anchored, n // 3)):
+                own[3 * at] = "the"
+            rows += [(len(rows), " ".join(own)), (len(rows) + 1, " ".join(own + ["more"]))]
+        sets = spotsigs.with_signatures(docs(llm, rows), "text", "sig").select("doc_id", "sig").collect()
+        found = {r.doc_id: set(r.sig) for r in sets}
+        for key, text in rows[::2]:
+            one, two = found[key], found[key + 1]
+            # Of few signatures, one more or less weighs more.
+            assert len(one & two) / len(one | two) >= (0.8 if len(text.split()) > 40 else 0.6)
+            assert one == brute_signatures(text)
+
+
+def test_spotsigs_of_short_texts(llm):
+    """Texts without a signature have 64 bits of their own."""
+    rows = llm.range(200_000).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    sets = spotsigs.with_signatures(rows, "text", "sig")
+    assert sets.select("sig").distinct().count() == 200_000
+
+
+def test_sample_passes_over_what_does_not_fit(llm):
+    long = [(i, "long " * 40) for i in range(4)]
+    rows = docs(llm, long + [(10 + i, f"short {i}") for i in range(20)] + [(10, "short 0"), (11, "another")])
+    labels = llm.createDataFrame([(i, 0) for i in range(4)] + [(10 + i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    texts, toxic = toxicity.sample(rows, labels, "toxic", chars=190)
+    assert sorted(texts) == sorted([f"short {i}" for i in range(20)] + ["another"])
+    assert {t: y for t, y in zip(texts, toxic)} == {f"short {i}": i % 2 for i in range(20)} | {"another": 1}
+    assert toxicity.sample(rows, labels, "toxic", chars=3) == ([], [])
+    assert toxicity.sample(rows.limit(0), labels, "toxic") == ([], [])
+    texts, _ = toxicity.sample(rows, labels, "toxic", rows=5)
+    assert len(texts) == 5
+
+
+def test_neighbours_of_any_magnitude(llm):
+    """Vectors whose norms leave the range of doubles, in tiles that rule candidates out."""
+    draw = np.random.default_rng(6)
+    vectors = {i: draw.normal(size=3) * 10.0 ** draw.integers(-300, 100) for i in range(300)}
+    vectors |= {300: np.array([1e200, 0.0, 0.0]), 301: np.array([0.0, 1e-310, 0.0]), 302: np.array([1e200, 1e200, -1e200])}
+    rows = llm.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    asked = [0, 20, 40, 300, 301, 302]
+    got = neighbours.nearest(rows.where(F.col("vec_id").isin(*asked)), rows, k=5).collect()
+    for query in asked:
+        with np.errstate(all="ignore"):
+            every = [(i, neighbours._exact(vectors[query], v[None, :])[0]) for i, v in vectors.items() if i != query]
+        best = sorted(every, key=lambda x: (-x[1], x[0]))[:5]
+        found = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == query)
+        assert [(i, s) for _, i, s in found] == best
+
+
 def test_spotsigs_pairs(llm):
     base = [f"the w{i} x{i}" for i in range(60)]
     rows = [(1, " ".join(base)), (2, " ".join(base)), (3, " ".join(base[:56] + ["the q r"])), (4, " ".join(base[:20])), (5, None), (6, "")]

@@ -67,14 +67,20 @@ def test_packing(bits):
         assert idpack.unpack(packed, bits, start, count).tolist() == ids[start : start + count].tolist()
 
 
+SPECIAL = [
+    "<|endoftext|>", "a<|endoftext|>b", "one <|startoftext|> two", "<|ENDOFTEXT|>", "<|endoftext", "é<|endoftext|>Σ",
+    "<|endoftext|><|endoftext|>", " <|endoftext|> ",
+]
+
+
 def test_packed_corpus(llm, monkeypatch):
     rows = [(i * 3, t) for i, t in enumerate(AWKWARD)] + [(500 + i, "some words, again") for i in range(50)]
     rows += [(600, "long " * 40000), (600, "twice")]
+    rows += [(700 + i, t) for i, t in enumerate(SPECIAL)]
     path = scratch_path(llm, "test-ids")
     idpack.write_ids(docs(llm, rows), path)
     got = sorted((r.start, r.doc_id, r.n_tokens, bytes(r.ids)) for r in idpack.read_ids(llm, path).collect())
     tokenizer = Tokenizer.from_file(public_tokenizers.path(idpack.VOCABULARY))
-    tokenizer.encode_special_tokens = True
     start = 0
     for (at, doc, n, ids), (key, text) in zip(got, sorted(rows, key=lambda r: (r[0], r[1] or ""))):
         want = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
