@@ -6,6 +6,7 @@ Each writes to a new folder below the session's shared scratch folder and reads
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from stocktake.operators import quality as Q
 from stocktake.plans import documents, quality
 from stocktake.plans.registry import query
 from stocktake.plans.sales import MONTHLY_SQL, monthly_partials, monthly_sales, order_details, total
-from stocktake.session import scratch_path
+from stocktake.session import scratch_path, stage
 from stocktake.sources import files
 from stocktake.sources.tables import STORE_DEFAULTS, apply_table, schema_of
 from stocktake.sources.versions import Summary, append_batch, read_appended
@@ -190,3 +191,42 @@ def clustered_layout(shop) -> DataFrame:
     stored = files.read_summary(rows, path)
     days = F.col("order_date").between(F.lit(dt.date(1997, 1, 1)), F.lit(dt.date(1997, 6, 30)))
     return stored.where((F.col("status") == "F") & days).select("order_id", "status", "order_date")
+
+
+@query(
+    "s11_z_ordered_layout",
+    """WITH placed AS (
+         SELECT order_id, line_no, customer_id, order_date, product_id, quantity
+         FROM items JOIN all_orders USING (order_id)),
+       picked AS (
+         SELECT max(customer_id) // 2 AS customer, max(product_id) // 2 AS product FROM placed)
+       SELECT 'customer' AS found_by, order_id, line_no, quantity FROM placed, picked
+       WHERE customer_id BETWEEN customer AND customer + 20
+       UNION ALL
+       SELECT 'product', order_id, line_no, quantity FROM placed, picked
+       WHERE product_id BETWEEN product AND product + 20
+       UNION ALL
+       SELECT 'date', order_id, line_no, quantity FROM placed
+       WHERE order_date BETWEEN DATE '1997-03-01' AND DATE '1997-03-07'""",
+)
+def z_ordered_layout(shop) -> DataFrame:
+    """Order lines along a Z-curve over customer, date and product; a filter on each of the
+    three reads a small part of the files."""
+    path = scratch_path(shop.spark, "z-order")
+    lines = shop.items.select("order_id", "line_no", "product_id", "quantity")
+    orders = shop.orders.select("order_id", "customer_id", "order_date")
+    rows = stage(lines.join(orders, "order_id"), "lines")
+    files.write_z_ordered(rows, path, ["customer_id", "order_date", "product_id"], lookups=("order_id",))
+    stored = files.read_summary(rows, path)
+    top = stored.agg(F.max("customer_id").alias("customer"), F.max("product_id").alias("product")).first()
+    customer, product = (top.customer or 0) // 2, (top.product or 0) // 2
+    days = F.col("order_date").between(F.lit(dt.date(1997, 3, 1)), F.lit(dt.date(1997, 3, 7)))
+    parts = (
+        ("customer", F.col("customer_id").between(customer, customer + 20)),
+        ("product", F.col("product_id").between(product, product + 20)),
+        ("date", days),
+    )
+    return reduce(DataFrame.unionByName, [
+        stored.where(hit).select(F.lit(name).alias("found_by"), "order_id", "line_no", "quantity")
+        for name, hit in parts
+    ])

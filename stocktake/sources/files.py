@@ -188,6 +188,74 @@ def write_clustered(df: DataFrame, path: str, partition: str, cluster: list[str]
     ).write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
+def _interleaved(places: list[Column], bits: int) -> Column:
+    """The bits of all places in turn, highest first: the way along a Z-curve."""
+    n, out = len(places), F.lit(0).cast("long")
+    for bit in range(bits):
+        for i, place in enumerate(places):
+            own = F.shiftright(place, bit).bitwiseAND(F.lit(1))
+            out = out.bitwiseOR(F.shiftleft(own.cast("long"), bit * n + n - 1 - i))
+    return out
+
+
+def write_z_ordered(
+    df: DataFrame, path: str, columns: list[str], lookups: tuple[str, ...] = (), bits: int = 8,
+    files: int | None = None,
+) -> None:
+    """Parquet along a Z-curve over numeric or date ``columns``, so that a filter on any one of
+    them skips most files by their footers: the role of one index for each column.
+
+    A value's place is its quantile among 2^``bits`` (a sketch of each column, in one pass), so
+    skewed values spread over the curve; nulls share the lowest place. Rows are range-partitioned
+    by the curve, then by all columns, so a value on many rows is cut into several files.
+    ``lookups`` are key columns that get bloom filters, for equality on values in no order.
+    ``files`` is the number of files; by default Spark chooses. For a narrow filter on one of n
+    columns to read a fifth of them there should be some 7^n or more; one that lies across a
+    border of the coarsest halves reads twice as many. An empty table is written with its schema. ``df`` is read three times (sketch, range borders, write): stage it if it
+    is costly.
+    """
+    if bits * len(columns) > 62:
+        raise ValueError("more bits than a long holds")
+    ranked = {c: _number(df, c) for c in columns}
+    steps = 1 << bits
+    shares = F.array(*[F.lit(i / steps) for i in range(1, steps)])
+    found = df.agg(*[F.percentile_approx(v, shares, 20 * steps).alias(c) for c, v in ranked.items()]).first()
+    named = {f"_place {i}": _place(v, sorted(set(found[c] or []))) for i, (c, v) in enumerate(ranked.items())}
+    placed = df.withColumns(named)
+    placed = placed.withColumn("_z curve", _interleaved([F.col(f"`{p}`") for p in named], bits)).drop(*named)
+    order = [F.col("`_z curve`"), *[F.col(f"`{c}`") for c in columns]]
+    dealt = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
+    writer = dealt.sortWithinPartitions(*order).drop("_z curve").write.mode("overwrite")
+    for c in lookups:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(kind, T.NumericType):
+        return c.cast("double")
+    raise ValueError(f"no order of numbers: {name}")
+
+
+def _place(value: Column, bounds: list[float]) -> Column:
+    """How many of the ascending bounds are not above the value, by halving; 0 for null."""
+    if not bounds:
+        return F.lit(0)
+
+    def among(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value >= bounds[middle], among(middle + 1, high)).otherwise(among(low, middle))
+
+    return F.when(value.isNull(), 0).otherwise(among(0, len(bounds)))
+
+
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     """Bucketed table: joins and aggregates on ``key`` then need no shuffle."""
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
