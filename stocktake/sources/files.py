@@ -210,7 +210,7 @@ def write_z_ordered(
     by the curve, then by all columns, so a value on many rows is cut into several files.
     ``lookups`` are key columns that get bloom filters, for equality on values in no order.
     ``files`` is the number of files; by default Spark chooses. For a narrow filter on one of n
-    columns to read a fifth of them there should be some 7^n or more; one that lies across a
+    columns to read a fifth of them there should be some 10^n or more; one that lies across a
     border of the coarsest halves reads twice as many. An empty table is written with its schema. ``df`` is read three times (sketch, range borders, write): stage it if it
     is costly.
     """

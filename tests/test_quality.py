@@ -230,12 +230,12 @@ def test_z_order_skips_on_every_column(spark, tmp_path):
     ] + [(30_000, None, None, None)]
     df = spark.createDataFrame(made, "id long, customer long, day date, price double")
     path = str(tmp_path / "z")
-    files.write_z_ordered(df, path, ["customer", "day", "price"], lookups=("id",), files=400)
+    files.write_z_ordered(df, path, ["customer", "day", "price"], lookups=("id",), files=1000)
     back = spark.read.parquet(path)
     assert back.columns == df.columns and sorted(rows(back), key=lambda r: r[0]) == made
     footers = [pq.ParquetFile(f).metadata for f in (tmp_path / "z").glob("*.parquet")]
     groups = [m.row_group(i) for m in footers for i in range(m.num_row_groups)]
-    assert len(groups) > 300
+    assert len(groups) > 900
     days = (start + dt.timedelta(days=500), start + dt.timedelta(days=506))
     for place, (low, high) in ((1, (2500, 2520)), (2, days), (3, (230.0, 234.0))):
         stats = [g.column(place).statistics for g in groups]
