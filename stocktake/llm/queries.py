@@ -114,7 +114,7 @@ lines AS (
          unnest(range(len(regexp_extract_all(t, '{LINE}')))) AS l
   FROM (SELECT DISTINCT row, doc_id, t FROM docs)),
 parts AS (
-  SELECT row, doc_id, l, unnest(ps) AS u, unnest(range(len(ps))) AS p, len(ps) = 1 AS alone
+  SELECT row, doc_id, l, unnest(ps) AS u, unnest(range(len(ps))) AS p
   FROM (SELECT *, regexp_extract_all(line, '{SENTENCE}') AS ps FROM lines)),
 placed AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY l, p) AS i FROM parts),
 normal AS (
@@ -123,18 +123,39 @@ normal AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM placed),
 worded AS (
-  SELECT row, doc_id, i, plain, alone, len(string_split(plain, ' ')) AS words,
-         row_number() OVER (PARTITION BY row ORDER BY i) AS place
+  SELECT row, doc_id, l, i, plain, len(string_split(plain, ' ')) AS words,
+         row_number() OVER (PARTITION BY row ORDER BY i) AS place,
+         count(*) OVER (PARTITION BY row, l) AS size,
+         row_number() OVER (PARTITION BY row, l ORDER BY i DESC) AS to_end
   FROM normal WHERE plain <> ''),
+-- A sentence under five words within a line is hashed with those after it, or, where the line
+-- ends before there are five words, with the last ones of the line.
+ahead AS (
+  SELECT *, list(plain) OVER onward AS next, list(words) OVER onward AS counts FROM worded
+  WINDOW onward AS (PARTITION BY row, l ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+tails AS (
+  SELECT row, l, list(plain ORDER BY i DESC)[:5] AS back, list(words ORDER BY i DESC)[:5] AS back_counts,
+         string_agg(plain, chr(10) ORDER BY i) AS everything
+  FROM worded GROUP BY row, l),
+reach AS (
+  SELECT *, len(list_filter(range(1, len(counts) + 1), lambda k: list_sum(counts[1:k]) < 5)) + 1 AS m,
+         len(list_filter(range(1, len(back_counts) + 1), lambda k: list_sum(back_counts[1:k]) < 5)) + 1 AS n
+  FROM ahead JOIN tails USING (row, l)),
+hashed AS (
+  SELECT row, doc_id, i, place, words, CASE
+           WHEN size = 1 OR words >= 5 THEN plain
+           WHEN m <= len(counts) THEN chr(10) || array_to_string(next[1:m], chr(10))
+           WHEN n <= len(back) THEN to_end || chr(10) || chr(10) || array_to_string(back[1:n], chr(10))
+           ELSE to_end || chr(10) || everything END AS hashed
+  FROM reach),
 later AS (
   SELECT *, place - row_number() OVER (PARTITION BY row ORDER BY place) AS run
-  FROM (SELECT *, row_number() OVER (PARTITION BY plain ORDER BY doc_id NULLS LAST, row, place) AS nth
-        FROM worded)
+  FROM (SELECT *, row_number() OVER (PARTITION BY hashed ORDER BY doc_id NULLS LAST, row, place) AS nth
+        FROM hashed)
   WHERE nth > 1),
 removed AS (
   SELECT row, i, words FROM (
-    SELECT *, sum(CASE WHEN alone OR words >= 5 THEN words ELSE 0 END) OVER (PARTITION BY row, run)
-                AS length FROM later)
+    SELECT *, sum(words) OVER (PARTITION BY row, run) AS length FROM later)
   WHERE length >= 10),
 totals AS (
   SELECT row, count(*) AS units, sum(words) AS words FROM removed GROUP BY row),

@@ -3,10 +3,12 @@
 A text is cut into lines, and lines into sentences, so that a passage is found in whatever
 line it stands. Each unit that has a word is normalised (lower case, white space runs as one
 space) and hashed; the digests of all documents are grouped, and the occurrence ranked first
-(smallest document id, then place) is the one that stays. Repeats are removed in runs:
-consecutive repeated units of a document go if the run has at least ``min_words`` words.
-Sentences of few words repeat by chance, so they only count where they are a line of their
-own. What stays keeps its original offsets.
+(smallest document id, then place) is the one that stays. Sentences of few words repeat by
+chance, so one that is not a line of its own is hashed as a chain: together with as many of
+the line's next sentences (at the end of the line: of the ones before) as make up the words
+that a sentence needs to tell something. Repeats are removed in runs: consecutive repeated
+units of a document go if the run has at least ``min_words`` words. What stays keeps its
+original offsets.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ _WIDER = {SENTENCE: SENTENCE.replace(".!?", ".!?" + OTHER_ENDS)}
 # Scripts without spaces between words: two letters count as a word.
 _SPACELESS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 MIN_WORDS = 10
-SENTENCE_WORDS = 5  # words from which a sentence within a line counts
+SENTENCE_WORDS = 5  # words from which a sentence within a line is hashed by itself
 
 # The white space of normalisation.
 _BLANK = " \t\n\x0b\f\r"
@@ -54,41 +56,67 @@ def _words(plain: Column) -> Column:
     return F.when(possible, F.greatest(spaced, F.floor(letters / 2).cast("int"))).otherwise(spaced)
 
 
+def _chain(units_of_line: Column) -> Column:
+    """The first units, as many as have SENTENCE_WORDS words, each after a line end (which no
+    unit holds); null if all of them have fewer. A unit has a word at least."""
+    begin = F.struct(F.lit("").alias("text"), F.lit(0).alias("words"))
+    return F.aggregate(
+        units_of_line,
+        begin,
+        lambda done, u: F.when(done["words"] >= SENTENCE_WORDS, done).otherwise(
+            F.struct(
+                F.concat(done["text"], F.lit("\n"), u["plain"]).alias("text"),
+                (done["words"] + u["words"]).alias("words"),
+            )
+        ),
+        lambda done: F.when(done["words"] >= SENTENCE_WORDS, done["text"]),
+    )
+
+
+def _hashed(us: Column, u: Column, i: Column) -> Column:
+    """What is hashed for unit ``i`` of a line's units: its own text if it has the words or the
+    line; else its chain. A chain that the end of the line cuts off is the one that ends there,
+    and the number of units to the end tells the units that share it apart."""
+    size = F.size(us)
+    onward = _chain(F.slice(us, i + 1, F.lit(SENTENCE_WORDS)))
+    # The whole line if that has too few words.
+    last = F.reverse(F.slice(us, F.greatest(size - SENTENCE_WORDS + 1, F.lit(1)), F.lit(SENTENCE_WORDS)))
+    all_of_it = F.array_join(F.transform(us, lambda x: x["plain"]), "\n")
+    ending = F.concat_ws("\n", (size - i).cast("string"), F.coalesce(_chain(last), all_of_it))
+    alone = (size == 1) | (u["words"] >= SENTENCE_WORDS)
+    return F.when(alone, u["plain"]).otherwise(F.coalesce(onward, ending))
+
+
 def units(df: DataFrame, key: str, text: str, line: str = LINE, part: str = SENTENCE) -> DataFrame:
-    """One row per unit with a word: row key, document id, place among these units, digest,
-    number of words, and the number that counts for a run."""
+    """One row per unit with a word: row key, document id, place among these units, digest and
+    number of words."""
     other = reduce(Column.__or__, [F.contains(whole(text), F.lit(end)) for end in OTHER_ENDS])
     lines = F.regexp_extract_all(F.lower(whole(text)), F.lit(line), F.lit(0))
 
     def cut(pattern: str) -> Column:
         return F.transform(lines, lambda l: F.regexp_extract_all(l, F.lit(pattern), F.lit(0)))
 
+    def normal(p: Column) -> Column:
+        return F.trim(F.regexp_replace(p, r"[ \t\n\x0B\f\r]+", " "))
+
     # The choice is made once for a text, not once for a line.
     parts = F.when(other, cut(_WIDER.get(part, part))).otherwise(cut(part))
-    normal = F.flatten(
-        F.transform(
-            parts,
-            lambda ps: F.transform(
-                ps,
-                lambda p: F.struct(
-                    F.trim(F.regexp_replace(p, r"[ \t\n\x0B\f\r]+", " ")).alias("plain"),
-                    (F.size(ps) == 1).alias("alone"),
-                ),
-            ),
-        )
+    worded = F.transform(parts, lambda ps: F.filter(F.transform(ps, normal), lambda p: p != ""))
+    sized = F.transform(
+        worded,
+        lambda ps: F.transform(ps, lambda p: F.struct(p.alias("plain"), _words(p).alias("words"))),
+    )
+    hashed = F.transform(
+        sized,
+        lambda us: F.transform(
+            us, lambda u, i: F.struct(_hashed(us, u, i).alias("hashed"), u["words"].alias("words"))
+        ),
     )
-    worded = F.filter(normal, lambda u: u["plain"] != "")
-    plain = F.col("unit.plain")
-    words = F.col("words")
     return (
-        df.select(_row_key(key, text).alias("row"), named(key).alias("doc"), worded.alias("units"))
+        df.select(_row_key(key, text).alias("row"), named(key).alias("doc"), F.flatten(hashed).alias("units"))
         .select("row", "doc", F.posexplode("units").alias("place", "unit"))
-        .withColumn("words", _words(plain))
-        .select(
-            "row", "doc", "place", F.unhex(F.md5(plain)).alias("digest"), "words",
-            F.when(F.col("unit.alone") | (words >= SENTENCE_WORDS), words).otherwise(0).alias("counted"),
-        )
-    )
+        .select("row", "doc", "place", F.unhex(F.md5("unit.hashed")).alias("digest"), "unit.words")
+    )
 
 
 def repeats(
@@ -110,12 +138,10 @@ def repeats(
         "row <> kept_row OR place <> kept_place"
     )
     # Repeated rows of the table give the same units twice.
-    once = later.groupBy("row", "place").agg(
-        F.first("words").alias("words"), F.first("counted").alias("counted")
-    )
+    once = later.groupBy("row", "place").agg(F.first("words").alias("words"))
     along = W.Window.partitionBy("row").orderBy("place")
     runs = once.withColumn("run", F.col("place") - F.row_number().over(along))
-    length = F.sum("counted").over(W.Window.partitionBy("row", "run"))
+    length = F.sum("words").over(W.Window.partitionBy("row", "run"))
     return (
         runs.withColumn("length", length)
         .where(F.col("length") >= min_words)

@@ -133,11 +133,39 @@ def test_mix(llm):
 
 
 def pieces(text):
-    """(piece, whether it is a line of its own): lines cut after the ends of sentences."""
+    """The lines, each as the list of its pieces, cut after the ends of sentences."""
     for line in re.split("(?<=\n)", text):
         cut = re.split(r"(?<=[.!?])(?=[^.!? \t\n\x0b\f\r])|(?<=[.!?][ \t\n\x0b\f\r])(?=[^.!? \t\n\x0b\f\r])"
                        r"|(?<=[.!?][ \t\n\x0b\f\r]{2})(?=[^.!? \t\n\x0b\f\r])", line)
-        yield from ((c, len(cut) == 1) for c in cut if c)
+        yield [c for c in cut if c]
+
+
+def brute_units(text):
+    """(piece, words, what stands for it) in order; None stands for a piece without words."""
+    for line in pieces(text):
+        plain = [re.sub("[ \t\n\x0b\f\r]+", " ", piece.lower()).strip(" ") for piece in line]
+        worded = [p.split(" ") for p in plain if p]
+        at = -1
+        for piece, own in zip(line, plain):
+            if not own:
+                yield piece, 0, None
+                continue
+            at += 1
+            size = len(worded[at])
+            if size >= 5 or len(worded) == 1:
+                yield piece, size, (own,)
+                continue
+            chain, until = [], at
+            while until < len(worded) and sum(map(len, chain)) < 5:
+                chain.append(worded[until])
+                until += 1
+            if sum(map(len, chain)) >= 5:
+                yield piece, size, ("onward", *map(tuple, chain))
+                continue
+            back = len(worded)
+            while back > 0 and sum(map(len, worded[back:])) < 5:
+                back -= 1
+            yield piece, size, ("ending", len(worded) - at, *map(tuple, worded[back:]))
 
 
 def brute_lines(rows, least=10):
@@ -145,19 +173,17 @@ def brute_lines(rows, least=10):
     seen, out = set(), {}
     for _, doc, text in keyed:
         marks = []
-        for piece, alone in pieces(text):
-            plain = re.sub("[ \t\n\x0b\f\r]+", " ", piece.lower()).strip(" ")
-            words = len(plain.split(" ")) if plain else 0
-            marks.append((piece, words, plain in seen, words if alone or words >= 5 else 0))
-            if plain:
-                seen.add(plain)
+        for piece, words, unit in brute_units(text):
+            marks.append((piece, words, unit in seen))
+            if unit:
+                seen.add(unit)
         worded, kept = [i for i, m in enumerate(marks) if m[1]], set(range(len(marks)))
         run = []
         for i in [*worded, None]:
             if i is not None and marks[i][2]:
                 run.append(i)
                 continue
-            if sum(marks[j][3] for j in run) >= least:
+            if sum(marks[j][1] for j in run) >= least:
                 kept -= set(run)
             run = []
         out[doc, text] = "".join(marks[i][0] for i in sorted(kept))
@@ -167,12 +193,15 @@ def brute_lines(rows, least=10):
 def test_repeated_lines(llm):
     long, short = " ".join(f"w{i}" for i in range(60)), "few words"
     passage = " ".join(" ".join(f"p{i}" for i in range(n, n + 9)) + "." for n in range(0, 63, 9))
+    chat = " ".join(f"Yes {i}. No! Go on, {i * 7 % 5}. Why {i % 3}?" for i in range(40))
     rows = [
         (1, f"start\n{long}\nend"), (2, f"other\n\n  {long.upper()} \nmore"), (3, long), (4, f"{short}\n{short}"),
         (5, f"{short}\nalone"), (6, "a b c d e\nf g h i j"), (7, "x\na b c d e\n\nf g h i j\ny"), (8, None), (9, ""),
         (10, "q\n" * 30), (11, "unique text"), (11, "unique text"), (None, long),
         (12, f"Begin here. {passage} The end."), (13, f"Another way to begin, {passage} Done.\n  And on."),
         (14, "Ja. Nein. Ja ja. So so. Ja. Nein. Ja ja. So so. Ja. Nein. Ja ja. So so."),
+        (15, chat), (16, chat.upper()), (17, f"Quite another start. {chat} And another end of it."),
+        (18, "No. Yes. Go on. Why? Not now. Yes. No. Ja. Nein. Go. Stop it. Who? Me. Yes. Why? No. No."),
     ]
     source = docs(llm, rows).withColumn("spans", mixing.words())
     got = substring.dedup(source).select("doc.doc_id", "doc.text", "text", "spans").collect()
@@ -184,6 +213,8 @@ def test_repeated_lines(llm):
     texts = {r.doc_id: r[2] for r in got}
     assert texts[13].split() == ["Another", "way", "to", "begin,", *passage.split()[:9], "Done.", "And", "on."]
     assert texts[14].startswith("Ja. Nein.") and len(texts[14].split()) == 18
+    # Copies go however short their sentences are, and sentences that only occur apart stay.
+    assert texts[16] == "" and len(texts[17].split()) < 20 and texts[18] == dict(rows)[18]
     assert substring.dedup(source.limit(0)).count() == 0
 
 
@@ -205,7 +236,7 @@ def test_repeated_sentences_of_other_scripts(llm):
 def test_sql(llm, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     df = queries.QUERIES[name](llm, folder)
     columns = sorted(df.columns)
