@@ -124,7 +124,8 @@ def repeats(
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """Per document with repeats to remove: row key, places (sorted) and words removed."""
-    found = units(df, key, text, line, part)
+    # Texts are cut and hashed once; what is staged is the digests.
+    found = stage(units(df, key, text, line, part), "units")
     rank = F.struct(F.col("doc").isNull().alias("last"), "doc", "row", "place")
     # Staged, so that neither side of the join is an aggregate: Spark can split a hot digest.
     groups = stage(
