@@ -89,6 +89,8 @@ class Coder:
                 token, number = line.split()
                 self.rank[base64.b64decode(token)] = int(number)
         self.bytes_of = [b""] * (max(self.rank.values()) + 1)
+        if any(bytes([b]) not in self.rank for b in range(256)):
+            raise ValueError("the rank file lacks a byte")
         self.number: dict[str, int] = {}  # by the bytes as Latin-1
         self.automaton = ahocorasick.Automaton()
         for token, number in self.rank.items():
@@ -96,7 +98,10 @@ class Coder:
             self.number[token.decode("latin-1")] = number
             self.automaton.add_word(token.decode("latin-1"), number)
         self.automaton.make_automaton()
-        self.width = max(map(len, self.rank))
+        self.sizes = [len(t) for t in self.bytes_of]
+        self.packed = [n.to_bytes(4, "little") for n in range(len(self.bytes_of))]
+        self.width = max(self.sizes)
+        self.span = 8 * self.width  # bytes searched at once
         self.shorter: dict[int, int] = {}
         self.split: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
@@ -159,52 +164,51 @@ class Coder:
             self.shorter[token] = next((p for p in prefixes if p >= 0), -1)
         return self.shorter[token]
 
-    def longest(self, data: str, at: int) -> int:
-        """The longest token that begins at ``at``."""
-        window = data[at : at + self.width]
-        length = self.automaton.longest_prefix(window)
-        token = self.number.get(window[:length])
-        while token is None:
-            length -= 1
-            if length <= 0:
-                raise ValueError("the rank file lacks a byte")
-            token = self.number.get(window[:length])
-        return token
-
     def piece(self, data: str) -> list[int]:
         """The ids of one match of the pattern, given as Latin-1."""
         whole_piece = self.number.get(data)
         if whole_piece is not None:
             return [whole_piece]
-        size, verdicts, bytes_of = len(data), self.pairs, self.bytes_of
-        alive = bytearray(b"\x01") * (size + 1)
+        size, span, width = len(data), self.span, self.width
+        verdicts, sizes, shorter = self.pairs, self.sizes, self.shorter
+        dead: set[int] = set()
         taken: list[int] = []
-        at, last, token = 0, -1, self.longest(data, 0)
-        while at < size:
+        at, last, base = 0, -1, 0
+        # The longest tokens one after the other; each byte is a token, so none is passed over.
+        run = self.automaton.iter_long(data[:span])
+        _, token = next(run)
+        longest = True
+        while True:
             while token >= 0:
-                end = at + len(bytes_of[token])
-                if alive[end]:
+                end = at + sizes[token]
+                if end not in dead:
                     verdict = verdicts.get((last, token))
                     if verdict or verdict is None and self.stands(last, token):
                         break
-                token = self.next_shorter(token)
+                longest = False
+                token = shorter.get(token) or self.next_shorter(token)
             if token >= 0:
                 taken.append(token)
+                if end == size:
+                    return taken
                 at, last = end, token
-                if at < size:
-                    token = self.longest(data, at)
+                if not longest or at + width > base + span:
+                    # Back on another way, or too near to the end of what is searched.
+                    base, longest = at, True
+                    run = self.automaton.iter_long(data[at : at + span])
+                _, token = next(run)
             else:
-                alive[at] = 0
+                dead.add(at)
                 token = taken.pop()
-                at -= len(bytes_of[token])
+                at -= sizes[token]
                 last = taken[-1] if taken else -1
-        return taken
+                longest = False
 
     def _stretch(self, stretch: str) -> bytes:
         ids: list[int] = []
         for piece in self.pattern.findall(stretch):
             ids += self.piece(piece if piece.isascii() else piece.encode().decode("latin-1"))
-        return np.array(ids, "<u4").tobytes()
+        return b"".join(map(self.packed.__getitem__, ids))
 
     def _segment(self, text: str) -> Iterator[bytes]:
         parts = text.replace("\n", " \n").split(" ")
