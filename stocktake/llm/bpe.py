@@ -12,7 +12,6 @@ walk is linear in the length of the piece.
 from __future__ import annotations
 
 import base64
-import functools
 import re
 from collections.abc import Iterator
 
@@ -24,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocktake.llm.shared import named, whole
+from stocktake.llm.shared import held, named, whole
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -243,9 +242,8 @@ def _segments(text: str) -> Iterator[str]:
     yield text[begin:] if begin else text
 
 
-@functools.lru_cache(maxsize=2)
 def _coder(ranks: bytes, pattern: str) -> Coder:
-    return Coder(ranks, pattern)
+    return held(("byte bpe", ranks, pattern), lambda: Coder(ranks, pattern))
 
 
 class Bpe:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Hashable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from stocktake.session import tune
 # twice by a Python worker, so batches are kept far below Spark's 10,000 rows.
 BATCH_ROWS = "1000"
 
+# And its bytes: a thousand very long texts would be gigabytes.
+BATCH_BYTES = str(8 << 20)
+
 # The characters that separate words in the contracts of the queries.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -20,6 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 def prepare(spark: SparkSession) -> SparkSession:
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
@@ -39,3 +45,24 @@ def fresh(prefix: str = "c") -> str:
 
 def whole(column: str = "text") -> Column:
     return F.coalesce(named(column), F.lit(""))
+
+
+T = TypeVar("T")
+_held: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], T]) -> T:
+    """What ``make`` gives for ``key``, kept from one task to the next of a Python worker.
+
+    Workers are reused by all stages of an application, so a worker keeps one such thing: what
+    another operator left is dropped when this one comes.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def forget() -> None:
+    """Drop what a task before left in this worker; for tasks that keep nothing themselves."""
+    _held.clear()

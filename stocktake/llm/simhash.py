@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktake.llm.graph import components
-from stocktake.llm.shared import fresh, named, whole
+from stocktake.llm.shared import forget, fresh, named, whole
 from stocktake.session import stage
 
 SHINGLE = 4
@@ -61,6 +61,7 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
 
     @F.pandas_udf("long")
     def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         for batch in batches:
             found = [fingerprint((t or "").encode(), shingle) for t in batch]
             yield pd.Series(np.array(found, np.uint64).view(np.int64))
@@ -127,6 +128,7 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     pairs = pairs.where((F.col("from") != F.col("tile")) | (F.col("a_part") <= F.col("b_part")))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for a, b in zip(batch.column(0), batch.column(1)):
                 one, two = (x.values.to_numpy().view(np.uint64) for x in (a, b))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from stocktake.llm.shared import fresh, named, whole
+from stocktake.llm.shared import forget, fresh, named, whole
 from stocktake.session import stage
 
 # Patterns whose matches, one after the other, are the whole text. White space after an end
@@ -156,6 +156,7 @@ def _without(line: str, part: str):
 
     @F.pandas_udf("text string, spans array<struct<begin:long,end:long>>")
     def cut(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
+        forget()
         out = []
         for text, gone in zip(texts, places):
             gone = {int(p) for p in gone}

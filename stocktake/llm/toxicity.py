@@ -6,7 +6,6 @@ buckets at zero, so the model that is broadcast is a short list of buckets and w
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stocktake.llm.features import Words, grams, hashes
-from stocktake.llm.shared import named, whole
+from stocktake.llm.shared import held, named, whole
 from stocktake.session import stage
 
 BITS = 20
@@ -53,11 +52,13 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(margin, -35, 35))))
 
 
-@functools.lru_cache(maxsize=1)
 def _spread(buckets: bytes, weights: bytes, bits: int) -> np.ndarray:
-    table = np.zeros(1 << bits, np.float32)
-    table[np.frombuffer(buckets, np.int64)] = np.frombuffer(weights, np.float32)
-    return table
+    def spread() -> np.ndarray:
+        table = np.zeros(1 << bits, np.float32)
+        table[np.frombuffer(buckets, np.int64)] = np.frombuffer(weights, np.float32)
+        return table
+
+    return held(("weights", buckets, weights, bits), spread)
 
 
 def _table(model: Model) -> np.ndarray:
