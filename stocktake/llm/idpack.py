@@ -16,13 +16,13 @@ of a block: any stretch of ids can be read by ``unpack`` without the rest of its
 
 from __future__ import annotations
 
-import functools
 import re
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 from tokenizers import Tokenizer
 
-from stocktake.llm.shared import named, whole
+from stocktake.llm.shared import held, named, whole
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -89,7 +89,8 @@ class WordTokenizer:
         self.before: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
+        # The batch form that leaves out the offsets, which nobody reads here.
+        ids = self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, "<u4").tobytes()
 
     def _learn_letters(self, words: list[str]) -> None:
@@ -105,34 +106,52 @@ class WordTokenizer:
         spans = zip(words, (4 * starts).tolist(), (4 * stops).tolist())
         self.words.update((w, raw[a:b]) for w, a, b in spans)
 
-    def _learn(self, wanted: set[str]) -> None:
+    def _learn(self, wanted: list[str]) -> None:
         if len(self.words) >= WORDS:
             self.before, self.words = self.words, {"": b""}
-        letters, marked = [], []
-        for word in wanted - self.words.keys():
-            ids = self.before.get(word)
-            if ids is not None:
-                self.words[word] = ids
-            elif len(word) > WORD_CHARS:
-                continue
-            elif word.isalpha():
-                letters.append(word)
-            elif (stem := word.rstrip(MARKS)).isalpha():
-                marked.append((word, stem, word[len(stem) :]))
-            else:
-                self.words[word] = self._encode(word)
-        stems = {stem for _, stem, _ in marked} - self.words.keys() - set(letters)
-        self.words.update((w, self.before[w]) for w in stems if w in self.before)
-        self._learn_letters(letters + [w for w in stems if w not in self.before])
-        for word, stem, marks in marked:
-            if marks not in self.words:
-                self.words[marks] = self._encode(marks)
-            self.words[word] = self.words[stem] + self.words[marks]
+        words, before = self.words, self.before
+        new = [w for w in wanted if w not in words]
+        again = [w for w in new if w in before]
+        words.update(zip(again, map(before.__getitem__, again)))
+        new = [w for w in new if w not in before and len(w) <= WORD_CHARS]
+        letters = [w for w in new if w.isalpha()]
+        other = [w for w in new if not w.isalpha()]
+        stems = [w.rstrip(MARKS) for w in other]
+        marked = [(w, stem) for w, stem in zip(other, stems) if stem.isalpha()]
+        words.update((w, self._encode(w)) for w, stem in zip(other, stems) if not stem.isalpha())
+        lacking = {stem for _, stem in marked if stem not in words}.difference(letters)
+        words.update((w, before[w]) for w in lacking if w in before)
+        self._learn_letters(letters + [w for w in lacking if w not in before])
+        for word, stem in marked:
+            marks = word[len(stem) :]
+            if marks not in words:
+                words[marks] = self._encode(marks)
+            words[word] = words[stem] + words[marks]
+
+    def _words(self, lowered: list[str]) -> list[bytes]:
+        """Ids of texts whose words are parted by spaces. Arrow numbers the distinct words, so
+        only these are looked up, and their ids are gathered by number."""
+        split = pc.split_pattern(pa.array(lowered, pa.large_string()), " ")
+        coded = split.values.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn(distinct)
+        known = self.words
+        # Long words are not remembered.
+        ids = [known[w] if w in known else self._encode(w) for w in distinct]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin = np.cumsum(size) - size
+        number = coded.indices.to_numpy()
+        count = size[number]
+        stop = np.cumsum(count)
+        at = np.repeat(begin[number] - stop + count, count) + np.arange(stop[-1])
+        raw = np.frombuffer(b"".join(ids), "<u4")[at].tobytes()
+        bounds = (4 * np.concatenate([[0], stop])[split.offsets.to_numpy()]).tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
-        split = []
-        for text in texts:
+        out, lowered, places = [b""] * len(texts), [], []
+        for place, text in enumerate(texts):
             low = text.lower()
             plain = unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)
             # The tokenizer composes, then lowers letter by letter; where nothing is to be
@@ -140,25 +159,18 @@ class WordTokenizer:
             if plain and "Σ" not in text and not self.added.search(text):
                 for gap in "\n\t\r":
                     low = low.replace(gap, " ")
-                split.append(low.split(" "))
-            else:
-                split.append(None)
-        self._learn(set().union(*(words for words in split if words)))
-        known, out = self.words, []
-        for text, words in zip(texts, split):
-            if words is None:
-                out.append(self._encode(text))
+                lowered.append(low)
+                places.append(place)
             else:
-                try:
-                    out.append(b"".join(map(known.__getitem__, words)))
-                except KeyError:  # long words are not remembered
-                    out.append(b"".join(known.get(w) or self._encode(w) for w in words if w))
+                out[place] = self._encode(text)
+        if lowered:
+            for place, ids in zip(places, self._words(lowered)):
+                out[place] = ids
         return out
 
 
-@functools.lru_cache(maxsize=2)
 def _tokenizer(json: str) -> WordTokenizer:
-    return WordTokenizer(json)
+    return held(("words", json), lambda: WordTokenizer(json))
 
 
 _BLOCK = pa.schema(
