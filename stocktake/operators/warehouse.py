@@ -126,6 +126,9 @@ def scd2_compare(
     on the day the current version began replaces it and takes over its ``surrogate``; where
     it leads back to the values of the version before (one of ``previous``), that version
     goes on. So a day's changes give the same versions in one batch or in several.
+
+    What several branches read is staged. Otherwise each branch would run the joins and sorts
+    of all, and a union of branches by one key runs them in the same task.
     """
     since = current.select(key, F.col("effective_date").alias("_since"))
     batch = (
@@ -135,6 +138,7 @@ def scd2_compare(
         .drop("_since")
         .withColumn("_step", F.lit(1))
     )
+    batch = stage(batch, "scd2-dated")
     known = current if previous is None else previous.unionByName(current)
     existing = known.withColumn("_step", F.lit(0)).withColumn("_late", F.lit(False))
     rows = existing.unionByName(batch.where(~F.col("_late")), allowMissingColumns=True)
@@ -154,7 +158,9 @@ def scd2_compare(
         .framed(lambda w: {"_old": _superseded("effective_date", w)}, following=1)
         .each(lambda df: df.where("_step = 0 OR NOT _old").drop("_old"))
     )
-    compared = daily.framed(lambda w: {"_status": status(w)}, preceding=1)
+    compared = daily.framed(lambda w: {"_status": status(w)}, preceding=1).each(
+        lambda df: stage(df, "scd2-compared")
+    )
     versions = compared.each(lambda df: df.where(F.coalesce("_status", F.lit("")) != UNCHANGED))
     versions = _replace_same_day(versions, tracked, surrogate).framed(
         lambda w: {"_next": F.lead("effective_date").over(w)}, following=1
@@ -217,6 +223,7 @@ def scd2_merge(
     Merging batch by batch gives the versions of ``scd2_history`` over all changes, wherever
     the batches are cut, as long as no change is late."""
     touched, untouched = _split_current(dim, changes, key)
+    touched = stage(touched, "scd2-touched")
     previous, closed = _versions_before(dim, touched, changes, key, day)
     compared = stage(
         scd2_compare(
@@ -246,6 +253,7 @@ def scd2_statuses(
 ) -> DataFrame:
     """INSERTED_NEW / UPDATED_SCD2 / NO_CHANGE / REJECTED_LATE per change record."""
     current, _ = _split_current(dim, changes, key)
+    current = stage(current, "scd2-touched")
     compared = scd2_compare(current, changes, key, tracked, day, sequence)
     return compared.where(F.col("_status").isNotNull()).select(
         key, F.col("effective_date").alias(day), F.col("_status").alias("status")

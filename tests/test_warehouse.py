@@ -211,3 +211,16 @@ def test_junk_dimension(spark):
     facts = spark.createDataFrame([(True, "x"), (True, "x"), (False, "y"), (True, "y")], "gift boolean, pay string")
     got = W.junk_dimension(facts, ["gift", "pay"], "junk_key")
     assert sorted(rows(got, "junk_key", "gift", "pay")) == [(1, False, "y"), (2, True, "x"), (3, True, "y")]
+
+
+def test_a_large_batch_is_joined_and_sorted_once(spark, monkeypatch):
+    """Many changed keys are not broadcast; the branches of the result read what was staged."""
+    monkeypatch.setattr(W, "broadcast_if_few", lambda side, counted=None, limit=0: side)
+    data = random_changes(200)
+    changes = feed(spark, data).drop("email")
+    early, late = (changes.where(c) for c in ("day < '2024-05-01'", "day >= '2024-05-01'"))
+    dim = W.scd2_history(early, "id", TRACKED, "day", "seq")
+    statuses = W.scd2_statuses(dim, late, "id", TRACKED, "day", "seq")
+    last = {(k, d) for k, _, _, d, _ in data if d >= "2024-05-01"}
+    assert sorted((k, str(d)) for k, d in rows(statuses, "id", "day")) == sorted(last)
+    assert "SortMergeJoin" not in plan(statuses)
