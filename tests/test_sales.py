@@ -178,3 +178,14 @@ def test_number_text(spark):
 def test_percent_change_guards_zero(spark):
     df = spark.sql("SELECT CAST(5 AS DECIMAL(12,2)) a, CAST(0 AS DECIMAL(12,2)) b")
     assert rows(df.select(S.percent_change(F.col("a"), F.col("b"), 2))) == [(None,)]
+
+
+def test_partitions_are_put_together_to_a_bound_unless_the_session_says(spark):
+    from stocktake.session import UNLESS_SET, tune
+
+    (name, size), = UNLESS_SET.items()
+    other = spark.newSession()
+    other.conf.unset(name)
+    assert tune(other).conf.get(name) == size
+    other.conf.set(name, "4m")
+    assert tune(other).conf.get(name) == "4m"
