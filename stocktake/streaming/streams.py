@@ -111,17 +111,18 @@ def enrich(events: DataFrame, profiles: DataFrame, key: str) -> DataFrame:
     return events.join(profiles, key, "left")
 
 
-def _in_order(events: np.ndarray) -> np.ndarray:
-    return events[np.lexsort((events[:, 1], events[:, 0]))]
+# The bucket of the rows without a key.
+NO_KEY = -1
 
 
 class FirstInWindow(StatefulProcessor):
-    """Marks events in time order although they arrive out of it.
+    """Marks events in time order although they arrive out of it, for a bucket of keys at once:
+    a call for each key would cost more than its events.
 
-    Kept per key: the start of the window that the last settled event lies in, and the pending
-    events, as chunks of (time, id) pairs. Events behind the watermark are settled, since no
-    event before them can come any more; the others are marked again with whatever comes
-    between them. A batch is never gathered in one frame: 16 bytes of an event are held.
+    Kept per bucket, in chunks: the start of the window that the last settled event of each key
+    lies in, and the pending events as (key, time, id). Events behind the watermark are settled,
+    since no event before them can come any more; the others are marked again with whatever
+    comes between them. A batch is never gathered in one frame: 24 bytes of an event are held.
     """
 
     def __init__(self, micros: int):
@@ -129,80 +130,111 @@ class FirstInWindow(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.start = handle.getValueState("start", T.StructType([T.StructField("start", T.LongType())]))
-        self.pending = handle.getListState("pending", T.StructType([T.StructField("chunk", T.BinaryType())]))
+        chunk = T.StructType([T.StructField("chunk", T.BinaryType())])
+        self.starts = handle.getListState("starts", chunk)
+        self.pending = handle.getListState("pending", chunk)
 
     def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-        chunks = [frame[["at", "event_id"]].to_numpy("int64") for frame in rows]
-        pending = _in_order(np.concatenate([*self._pending(), *chunks]))
-        starts, repeats = self._marked(pending[:, 0])
-        self._settle(pending, starts, timer_values)
+        nameless = key[0] == NO_KEY
+        pending, repeats = self._step([self._columns(frame, nameless) for frame in rows], timer_values)
         for at in range(0, len(pending), CHUNK):
             part = slice(at, at + CHUNK)
             yield pd.DataFrame(
-                {"key": key[0], "event_id": pending[part, 1], "at": pending[part, 0], "is_repeat": repeats[part]}
+                {"key": None if nameless else pending[part, 0], "event_id": pending[part, 2],
+                 "at": pending[part, 1], "is_repeat": repeats[part]}
             )
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """No event of the key came since its pending ones were marked: they stay as they are."""
-        chunks = list(self._pending())
-        if chunks:
-            pending = _in_order(np.concatenate(chunks))
-            self._settle(pending, self._marked(pending[:, 0])[0], timerValues)
+        """No event of the bucket came since its pending ones were marked: they stay as they are."""
+        self._step([], timerValues)
         yield pd.DataFrame({"key": [], "event_id": [], "at": [], "is_repeat": []}).astype(
             {"key": "int64", "event_id": "int64", "at": "int64", "is_repeat": "bool"}
         )
 
-    def _pending(self) -> Iterator[np.ndarray]:
-        for (chunk,) in self.pending.get():
-            yield np.frombuffer(chunk, "int64").reshape(-1, 2)
-
-    def _marked(self, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For sorted events: the start of the window each lies in, and whether it is a repeat."""
-        start = self.start.get()[0] if self.start.exists() else None
-        starts, repeats = np.empty(len(times), "int64"), np.ones(len(times), bool)
-        at = 0 if start is None else self._after(times, start)
-        starts[:at] = start or 0
-        while at < len(times):
-            stop = max(at + 1, self._after(times, int(times[at])))
-            repeats[at], starts[at:stop] = False, times[at]
-            at = stop
-        return starts, repeats
-
-    def _after(self, times: np.ndarray, start: int) -> int:
-        """Place of the first event outside the window opened at ``start``."""
+    def _columns(self, frame: pd.DataFrame, nameless: bool) -> np.ndarray:
+        keys = np.zeros(len(frame), "int64") if nameless else frame["key"].to_numpy("int64")
+        return np.column_stack([keys, frame["at"].to_numpy("int64"), frame["event_id"].to_numpy("int64")])
+
+    def _step(self, chunks: list[np.ndarray], timer_values) -> tuple[np.ndarray, np.ndarray]:
+        """Pending and new events in order, and which are repeats. What is settled is let go."""
+        pending = np.concatenate([self._held(self.pending, 3), *chunks])
+        pending = pending[np.lexsort((pending[:, 2], pending[:, 1], pending[:, 0]))]
+        known = self._held(self.starts, 2)
+        starts, repeats = self._marked(pending, known)
+        self._settle(pending, starts, known, timer_values)
+        return pending, repeats
+
+    def _held(self, state, width: int) -> np.ndarray:
+        found = [np.frombuffer(chunk, "int64").reshape(-1, width) for (chunk,) in state.get()]
+        return np.concatenate([np.empty((0, width), "int64"), *found])
+
+    def _hold(self, state, values: np.ndarray) -> None:
+        state.clear()
+        if len(values):
+            state.put([(values[at : at + CHUNK].tobytes(),) for at in range(0, len(values), CHUNK)])
+
+    def _marked(self, events: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For events sorted by key and time: the start of the window each lies in, and whether
+        it is a repeat. ``known`` has keys, sorted, with the start of their last window."""
+        n = len(events)
+        keys, first, group = np.unique(events[:, 0], return_index=True, return_inverse=True)
+        ends = np.append(first[1:], n)
+        place = np.searchsorted(known[:, 0], keys)
+        held = np.isin(keys, known[:, 0])
+        start = np.zeros(len(keys), "int64")
+        start[held] = known[place[held], 1]
+        after = self._after(events[:, 1], group, ends, np.concatenate([events[:, 1], start]), np.concatenate([group, np.arange(len(keys))]))
+        opens = np.zeros(n, bool)
+        at, stop = np.where(held, after[n:], first), ends
+        while len(at):  # one window of every key in a round
+            at, stop = at[at < stop], stop[at < stop]
+            opens[at] = True
+            at = after[at]
+        last = np.maximum.accumulate(np.where(opens, np.arange(n), -1))
+        own = last >= first[group]
+        return np.where(own, events[last, 1], start[group]), ~opens
+
+    def _after(self, times: np.ndarray, group: np.ndarray, ends: np.ndarray, opened: np.ndarray, by: np.ndarray) -> np.ndarray:
+        """Place of the first event outside the window ``opened`` by a key."""
         if self.micros <= 0:
-            return len(times)
-        return int(np.searchsorted(times, start + self.micros, side="right"))
-
-    def _settle(self, pending: np.ndarray, starts: np.ndarray, timer_values) -> None:
-        behind = int(np.searchsorted(pending[:, 0], timer_values.getCurrentWatermarkInMs() * 1000))
-        if behind:
-            self.start.update((int(starts[behind - 1]),))
-        self.pending.clear()
-        left = pending[behind:]
+            return ends[by]
+        n = len(times)
+        order = np.lexsort((np.arange(n + len(opened)) >= n, np.append(times, opened + self.micros), np.append(group, by)))
+        found = np.empty(len(order), "int64")
+        found[order] = np.cumsum(order < n)  # the events up to here
+        return found[n:]
+
+    def _settle(self, pending: np.ndarray, starts: np.ndarray, known: np.ndarray, timer_values) -> None:
+        behind = pending[:, 1] < timer_values.getCurrentWatermarkInMs() * 1000
+        if behind.any():
+            settled = np.column_stack([pending[behind, 0], starts[behind]])
+            both = np.concatenate([known, settled])[::-1]
+            keys, newest = np.unique(both[:, 0], return_index=True)
+            self._hold(self.starts, np.column_stack([keys, both[newest, 1]]))
+        left = pending[~behind]
+        self._hold(self.pending, left)
         if len(left):
-            chunks = [(left[at : at + CHUNK].tobytes(),) for at in range(0, len(left), CHUNK)]
-            self.pending.put(chunks)
-            self.handle.registerTimer(int(left[-1, 0]) // 1000 + 1)
+            self.handle.registerTimer(int(left[:, 1].max()) // 1000 + 1)
 
     def close(self) -> None:
         pass
 
 
 def first_in_window(
-    events: DataFrame, key: str, at: str, event_id: str, seconds: float, delay: str
+    events: DataFrame, key: str, at: str, event_id: str, seconds: float, delay: str, buckets: int = 1024
 ) -> DataFrame:
     """Streaming form of the fixed-window repeat marking, for ``run_latest`` by event_id: an
     event is marked again while events before it may still come. Events that are more than
-    ``delay`` behind the latest one are dropped. Needs the RocksDB state store provider."""
+    ``delay`` behind the latest one are dropped. Needs the RocksDB state store provider.
+    The keys are dealt to ``buckets``, each a group of the state; a checkpoint keeps to one number."""
     rows = events.select(
         F.col(key).cast("long").alias("key"),
         F.col(event_id).cast("long").alias("event_id"),
         F.col(at).cast("timestamp").alias("time"),
     )
+    bucket = F.when(F.col("key").isNull(), NO_KEY).otherwise(F.pmod(F.xxhash64("key"), F.lit(buckets)))
     timed = rows.withWatermark("time", delay).withColumn("at", F.unix_micros("time"))
-    return timed.groupBy("key").transformWithStateInPandas(
+    return timed.withColumn("bucket", bucket.cast("int")).groupBy("bucket").transformWithStateInPandas(
         FirstInWindow(int(seconds * 1_000_000)),
         "key long, event_id long, at long, is_repeat boolean",
         "update",

@@ -74,6 +74,21 @@ def test_stateful_marking_of_shuffled_events(spark, lookups, tmp_path, monkeypat
     assert sorted(rows(got, "event_id", "is_repeat")) == want
 
 
+def test_many_keys_are_few_groups_of_state(spark, tmp_path, monkeypatch):
+    """300 keys and rows without one, in two buckets; the second batch lies between the first."""
+    monkeypatch.setattr(X, "CHUNK", 11)
+    rng = random.Random(5)
+    data = [(rng.choice([None, *range(300)]), T0 + dt.timedelta(seconds=rng.randrange(900)), n) for n in range(1500)]
+    src, schema = str(tmp_path / "src"), "k long, at timestamp, n long"
+    for part in (data[:800], data[800:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        marked = X.first_in_window(stream, "k", "at", "n", 60, "901 seconds", buckets=2)
+        got = X.run_latest(marked, ["event_id"], str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert sorted(rows(got, "event_id", "is_repeat")) == brute([(k, at, n, True) for k, at, n in data], 60)
+    assert {n: k for n, k in rows(got, "event_id", "key")} == {n: k for k, _, n in data}
+
+
 def test_reads_of_the_latest_state_stay_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(X, "MOST_FOLDERS", 3)
     src, schema = str(tmp_path / "src"), "k long, at timestamp, n long"
